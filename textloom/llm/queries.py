@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, packing, pieces
+from . import encode, packing, pieces, repeated
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.split_documents(table(spark, d, "mini_corpus"), table(spark, d, "limites"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return repeated.repeated_lines(table(spark, d, "mini_corpus"))
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return repeated.without_repeated(table(spark, d, "mini_corpus")).distinct()
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(table(spark, d, "documents"))
 
