@@ -89,3 +89,50 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def parts_for(rows: int, each: int) -> int:
     return max(1, math.ceil(rows / each))
+
+
+def sample_rows(df: DataFrame, id_col: str, columns: list[str], most: int) -> list:
+    """About `most` rows (never over twice as many) picked by a hash of their id, alike on every run; all rows if there are fewer."""
+    total = df.select(id_col).count()
+    if not total:
+        return []
+    part = min(2**30, math.ceil(most / total * 2**30))
+    return df.filter(F.pmod(F.xxhash64(F.lit(41), id_col), F.lit(2**30)) < part).select(*columns).limit(2 * most).collect()
+
+
+#: Two-letter codes of the languages whose three-letter codes occur as labels.
+CODES3 = {
+    "spa": "es", "eng": "en", "por": "pt", "fra": "fr", "fre": "fr", "ita": "it", "cat": "ca", "deu": "de", "ger": "de", "zho": "zh", "chi": "zh", "jpn": "ja", "rus": "ru",
+    "ara": "ar", "tha": "th", "hin": "hi", "nld": "nl", "dut": "nl", "ron": "ro", "rum": "ro", "pol": "pl", "ukr": "uk", "kor": "ko", "tur": "tr", "heb": "he", "ell": "el", "gre": "el",
+    "eus": "eu", "baq": "eu", "glg": "gl", "vie": "vi", "ind": "id", "ben": "bn", "fas": "fa", "per": "fa", "urd": "ur", "swe": "sv", "dan": "da", "fin": "fi", "nor": "no", "ces": "cs", "hun": "hu",
+}
+NO_LANGUAGE = ("und", "xx", "xxx", "unk", "unknown", "na", "n/a", "none", "null", "mul", "zxx", "mis")
+
+
+def language_of(label: str | None) -> str | None:
+    """The two-letter code a label names, in any letter case, with or without a region; None if it names none."""
+    text = (label or "").strip().lower()
+    if text in NO_LANGUAGE:
+        return None
+    code = text.replace("_", "-").split("-")[0]
+    if code in NO_LANGUAGE or not code.isascii() or not code.isalpha():
+        return None
+    return code if len(code) == 2 else CODES3.get(code)
+
+
+def paragraphs(text: str) -> list[tuple[int, int, int]]:
+    """(number, start, end) of the pieces between lines with at most white space, without white space at their ends, numbered from 1."""
+    out, start, number, at = [], None, 0, 0
+    for line in text.split("\n"):
+        if line.strip():
+            if start is None:
+                start = at
+            end = at + len(line)
+        elif start is not None:
+            number += 1
+            out.append((number, start, end))
+            start = None
+        at += len(line) + 1
+    if start is not None:
+        out.append((number + 1, start, end))
+    return [(k, a + len(s) - len(s.lstrip()), a + len(s.rstrip())) for k, a, b in out for s in [text[a:b]]]

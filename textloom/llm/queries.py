@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, packing, pieces, repeated
+from . import encode, packing, pieces, repeated, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return shape.not_prose(table(spark, d, "mini_corpus"))
+
+
+def p2_stats(spark: SparkSession, d: str) -> DataFrame:
+    return shape.statistics(table(spark, d, "mini_corpus")).distinct()
+
+
+def p2_shapes(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return shape.shapes(docs, shape.learn_profiles(docs)).distinct()
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.oversized(table(spark, d, "mini_corpus"), table(spark, d, "limites"))
 
@@ -57,5 +70,14 @@ ORACLE: dict[str, str] = {
     "p5_found": """
 WITH d AS (SELECT DISTINCT doc_id, texto, max_chars FROM mini_corpus JOIN limites ON lower(trim(mini_corpus.formato)) = limites.formato WHERE length(texto) > max_chars)
 SELECT doc_id, CASE WHEN list_max(list_transform(regexp_split_to_array(texto, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}.!?…。！？؟।]'), lambda x: length(x))) > max_chars THEN 'sin_corte' ELSE 'natural' END AS clase FROM d
+""",
+    "p2_stats": r"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(texto, '') AS t FROM mini_corpus),
+w AS (SELECT doc_id, length(t) AS chars, regexp_extract_all(lower(t), '[\p{L}\p{M}\p{N}]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\s\x{a0}\x{0b}]')) AS l,
+  len(regexp_extract_all(t, '[^\p{L}\p{M}\p{N}\s\x{a0}\x{0b}]')) AS s, len(regexp_extract_all(t, '\p{Nd}')) AS n FROM d)
+SELECT doc_id, chars, len(w) AS palabras, round(CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0 END, 6) AS largo_medio,
+  round(CASE WHEN chars > 0 THEN s / chars ELSE 0 END, 6) AS simbolos, round(CASE WHEN chars > 0 THEN n / chars ELSE 0 END, 6) AS digitos, len(l) AS lineas,
+  round(CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda x: regexp_matches(x, '[.!?…。！？؟।]["''”’»)\]」』]*[\s\x{a0}\x{0b}]*$'))) / len(l) ELSE 0 END, 6) AS fin_punto,
+  round(CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0 END, 6) AS distintas FROM w
 """,
 }
