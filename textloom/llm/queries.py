@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, packing, pieces, repeated, shape
+from . import encode, packing, pieces, repeated, sentences, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,16 @@ def p2_shapes(spark: SparkSession, d: str) -> DataFrame:
     return shape.shapes(docs, shape.learn_profiles(docs)).distinct()
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return sentences.sentences(docs, sentences.learn(docs), ("txt",))
+
+
+def p3_sentences(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return sentences.sentences(docs, sentences.learn(docs))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.oversized(table(spark, d, "mini_corpus"), table(spark, d, "limites"))
 
