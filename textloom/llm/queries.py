@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, packing, pieces, repeated, sentences, shape
+from . import encode, language, packing, pieces, repeated, sentences, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def p3_sentences(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(docs, sentences.learn(docs))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.mislabelled(table(spark, d, "mini_corpus"))
+
+
+def p4_languages(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return language.identify(docs, language.learn(docs))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.oversized(table(spark, d, "mini_corpus"), table(spark, d, "limites"))
 
