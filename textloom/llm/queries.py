@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encode, language, packing, pieces, repeated, sentences, shape
+from . import areas, encode, language, packing, pieces, repeated, sentences, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,11 @@ def p9_usage(spark: SparkSession, d: str) -> DataFrame:
     return per.select("clase", "contenedores", "tokens", F.round(1 - F.col("tokens") / (F.col("contenedores") * F.col("capacidad")), 6).alias("libre"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return areas.document_areas(docs, areas.learn(docs, table(spark, d, "area_ejemplos"), table(spark, d, "areas")))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("p") and name[1].isdigit()}
 
