@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import areas, encode, language, packing, pieces, repeated, sentences, shape
+from . import areas, body, encode, language, packing, pieces, repeated, sentences, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,16 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated.without_repeated(table(spark, d, "mini_corpus")).distinct()
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return body.boilerplate_lines(docs, body.learn(docs))
+
+
+def p7_body(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return body.main_bodies(docs, body.learn(docs))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(table(spark, d, "documents"))
 
