@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import areas, body, encode, language, packing, pieces, repeated, sentences, shape
+from . import areas, body, encode, language, packing, pieces, repeated, scans, sentences, shape
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return scans.noisy_lines(docs, scans.learn(docs))
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "mini_corpus")
+    return scans.repaired(docs, scans.learn(docs))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return shape.not_prose(table(spark, d, "mini_corpus"))
 
