@@ -29,7 +29,7 @@ from .common import emit, format_of, map_arrow, spread
 MOST_WORDS, LEAST_COUNT = 200_000, 3
 #: What a scanner reads, and what stood there.
 CONFUSIONS = (
-    ("ii", "u"), ("c", "e"), ("@", "a"), ("l", "i"), ("0", "o"), ("5", "s"), ("†", "t"), ("ri", "n"), ("cl", "d"), ("1", "l"), ("1", "i"), ("rn", "m"), ("y", "v"), ("9", "g"), ("6", "b"), ("li", "h"),
+    ("ii", "u"), ("c", "e"), ("@", "a"), ("l", "i"), ("0", "o"), ("5", "s"), ("†", "t"), ("ri", "n"), ("cl", "d"), ("d", "cl"), ("1", "l"), ("1", "i"), ("rn", "m"), ("y", "v"), ("9", "g"), ("6", "b"), ("li", "h"),
     ("vv", "w"), ("$", "s"), ("h", "b"), ("2", "z"), ("8", "b"), ("4", "a"), ("3", "e"), ("|", "l"), ("|", "i"), ("!", "i"), ("€", "e"), ("i", "l"), ("7", "t"), ("nn", "m"), ("in", "m"), ("6", "ó"), ("g", "q"), ("fi", "ñ"), ("m", "rn"), ("ﬁ", "fi"), ("ﬂ", "fl"),
     ("ì", "í"), ("ë", "é"), ("è", "é"), ("à", "á"), ("ò", "ó"), ("ù", "ú"), ("ï", "í"), ("ä", "á"), ("ö", "ó"), ("ü", "ú"), ("é", "è"), ("á", "à"), ("ê", "é"), ("â", "á"), ("ã", "á"), ("õ", "ó"), ("ô", "ó"), ("î", "í"),
 )
