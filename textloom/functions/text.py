@@ -33,6 +33,11 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))
 
 
+def bind(value: Column, fn) -> Column:
+    """fn(value), with the value computed once however often fn names it, also within lambdas."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at its ends."""
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
@@ -76,23 +81,25 @@ def ratio(a: Column, b: Column) -> Column:
 
 def text_quality(c: Column, cleaned: Column | None = None) -> Column:
     """A struct of the measures of a text, its score in 0..1 and its label; null for a null text."""
-    lines = lines_of(c)
-    filled = F.filter(F.transform(lines, strip), lambda x: F.length(x) > 0)
-    useful = F.size(F.filter(filled, lambda x: (F.length(x) >= 20) & (letter_ratio(x) >= 0.35)))
-    n, chars = F.size(lines), F.length(c)
+    chars = F.length(c)
     symbols = ratio(F.regexp_count(c, F.lit(rf"(?!{SPACE})[^\p{{L}}\p{{N}}]")), chars)
     numbers = ratio(F.regexp_count(c, F.lit(D)), chars)
-    repeated = F.when(F.size(filled) > 0, 1 - F.size(F.array_distinct(filled)) / F.size(filled)).otherwise(F.when(chars > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
     kept = F.least(F.lit(1.0), ratio(F.length(cleaned), chars)) if cleaned is not None else F.lit(1.0)
-    score = (0.45 * ratio(useful, n) + 0.20 * (1 - symbols) + 0.15 * (1 - numbers) + 0.20 * (1 - repeated)) * kept
-    score = F.when(chars > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))).otherwise(F.lit(0.0))
-    score = F.round(score, 6)
-    out = F.struct(
-        chars.alias("characters"), F.regexp_count(c, F.lit(rf"{W}+")).alias("words"), n.alias("lines"), useful.alias("useful_lines"), (n - useful).alias("garbage_lines"),
-        F.round(symbols, 6).alias("symbol_ratio"), F.round(numbers, 6).alias("number_ratio"), F.round(repeated, 6).alias("repetition_ratio"),
-        F.round(F.when(chars > 0, kept).otherwise(F.lit(0.0)), 6).alias("cleaning_ratio"), score.alias("quality_score"), quality_label(score).alias("quality_label"),
-    )
-    return F.when(c.isNotNull(), out)
+    counted = bind(lines_of(c), lambda lines: bind(F.filter(F.transform(lines, strip), lambda x: F.length(x) > 0), lambda filled: F.struct(F.size(lines).alias("n"), F.size(filled).alias("filled"), F.size(F.array_distinct(filled)).alias("distinct"), F.size(F.filter(filled, lambda x: (F.length(x) >= 20) & (letter_ratio(x) >= 0.35))).alias("useful"))))
+
+    def measures(m: Column) -> Column:
+        n, useful, symbols, numbers, kept = m["l"]["n"], m["l"]["useful"], m["symbols"], m["numbers"], m["kept"]
+        repeated = F.when(m["l"]["filled"] > 0, 1 - m["l"]["distinct"] / m["l"]["filled"]).otherwise(F.when(chars > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        score = (0.45 * ratio(useful, n) + 0.20 * (1 - symbols) + 0.15 * (1 - numbers) + 0.20 * (1 - repeated)) * kept
+        score = F.round(F.when(chars > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))).otherwise(F.lit(0.0)), 6)
+        return bind(score, lambda v: F.struct(
+            chars.alias("characters"), m["words"].alias("words"), n.alias("lines"), useful.alias("useful_lines"), (n - useful).alias("garbage_lines"),
+            F.round(symbols, 6).alias("symbol_ratio"), F.round(numbers, 6).alias("number_ratio"), F.round(repeated, 6).alias("repetition_ratio"),
+            F.round(F.when(chars > 0, kept).otherwise(F.lit(0.0)), 6).alias("cleaning_ratio"), v.alias("quality_score"), quality_label(v).alias("quality_label"),
+        ))
+
+    parts = F.struct(counted.alias("l"), symbols.alias("symbols"), numbers.alias("numbers"), kept.alias("kept"), F.regexp_count(c, F.lit(rf"{W}+")).alias("words"))
+    return F.when(c.isNotNull(), bind(parts, measures))
 
 
 def quality_label(score: Column) -> Column:
@@ -101,20 +108,30 @@ def quality_label(score: Column) -> Column:
 
 def guess_language(c: Column) -> Column:
     """The language with the most function words in the text; `und` if it has none or is shorter than 20 characters."""
+    def count(words: Column, own: list[str]) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(own)))
+
+    def best(words: Column) -> Column:
+        return F.greatest(*(F.struct(count(words, own).alias("n"), F.lit(-k).alias("k"), F.lit(lang).alias("lang")) for k, (lang, own) in enumerate(sorted(FUNCTION_WORDS.items()))))
+
     words = F.regexp_extract_all(F.lower(c), F.lit(rf"({L}+)"), 1)
-    scores = [F.struct(F.size(F.filter(words, lambda w, own=own: w.isin(own))).alias("n"), F.lit(-k).alias("k"), F.lit(lang).alias("lang")) for k, (lang, own) in enumerate(sorted(FUNCTION_WORDS.items()))]
-    best = F.greatest(*scores)
-    return F.when((F.length(strip(c)) < 20) | (best["n"] == 0) | c.isNull(), "und").otherwise(best["lang"])
+    name = bind(bind(words, best), lambda b: F.when(b["n"] == 0, "und").otherwise(b["lang"]))
+    return F.when((F.length(strip(c)) < 20) | c.isNull(), "und").otherwise(name)
 
 
 def truncate_to_sentences(c: Column, most: int = 250) -> Column:
     """The text if it has at most `most` words; else its first whole sentences within the limit, or its first `most` words if even one is longer."""
-    parts = F.split(strip(c), rf"(?<=[.!?]){SPACE}+")
+    sentences = F.transform(F.split(strip(c), rf"(?<=[.!?]){SPACE}+"), lambda s: F.struct(s.alias("s"), word_count(s).alias("w")))
     start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("n"), F.lit(False).alias("over"))
-    step = F.aggregate(parts, start, lambda a, s: F.when(a["over"] | (a["n"] + word_count(s) > most), F.struct(a["kept"].alias("kept"), a["n"].alias("n"), F.lit(True).alias("over"))).otherwise(F.struct(F.concat(a["kept"], F.array(s)).alias("kept"), (a["n"] + word_count(s)).alias("n"), F.lit(False).alias("over"))))
-    whole = F.array_join(step["kept"], " ")
+
+    def step(a: Column, x: Column) -> Column:
+        over = a["over"] | (a["n"] + x["w"] > most)
+        kept = F.when(over, a["kept"]).otherwise(F.concat(a["kept"], F.array(x["s"])))
+        return F.struct(kept.alias("kept"), F.when(over, a["n"]).otherwise(a["n"] + x["w"]).alias("n"), over.alias("over"))
+
+    whole = F.array_join(F.aggregate(sentences, start, step)["kept"], " ")
     first = F.array_join(F.slice(F.split(strip(c), rf"{SPACE}+"), 1, most), " ")
-    return F.when(word_count(c) <= most, c).when(F.length(whole) > 0, whole).otherwise(first)
+    return F.when(word_count(c) <= most, c).otherwise(bind(whole, lambda w: F.when(F.length(w) > 0, w).otherwise(first)))
 
 
 _END = re.compile(r"[.!?…](?=[\])}\"'»”’]*(?:\s|$))")

@@ -59,11 +59,10 @@ def repeated_page_lines(pages: DataFrame, doc: str, text_col: str, share: float
 
 def without_repeated_lines(pages: Column, share: float = 0.6, least_pages: int = 3) -> Column:
     """An array of page texts without the lines that stand on at least `share` of them; within the row, without a shuffle."""
-    split = F.transform(pages, lambda p: F.array_distinct(F.transform(F.split(p, "\n"), text.strip)))
-    every = F.flatten(split)
     n = F.size(pages)
-    common = F.filter(F.array_distinct(every), lambda x: (F.length(x) > 0) & (F.size(F.filter(every, lambda y: y == x)) >= share * n))
-    clean = F.transform(pages, lambda p: F.array_join(F.filter(F.split(p, "\n"), lambda x: ~F.array_contains(common, text.strip(x))), "\n"))
+    every = F.flatten(F.transform(pages, lambda p: F.array_distinct(F.transform(F.split(p, "\n"), text.strip))))
+    common = text.bind(every, lambda e: F.filter(F.array_distinct(e), lambda x: (F.length(x) > 0) & (F.size(F.filter(e, lambda y: y == x)) >= share * n)))
+    clean = text.bind(common, lambda c: F.transform(pages, lambda p: F.array_join(F.filter(F.split(p, "\n"), lambda x: ~F.array_contains(c, text.strip(x))), "\n")))
     return F.when(n < least_pages, pages).otherwise(clean)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import names, vectors
+from ..functions import names, text, vectors
 from .checks import ConstraintError, duplicate_keys, missing_columns, not_unit, require
 
 BLOCK = 2048
@@ -160,7 +160,7 @@ def check(base: DataFrame) -> None:
 
 def truncated(chunks: DataFrame, limit: int, most: int = 200) -> DataFrame:
     """Of the `most` longest chunks those with more words than an encoder takes (a report)."""
-    n = F.regexp_count("texto", F.lit(r"\S+"))
+    n = text.word_count(F.col("texto"))
     return chunks.orderBy(F.desc(F.length("texto")), "chunk_id").limit(most).select("chunk_id", F.length("texto").alias("largo"), n.alias("unidades")).filter(F.col("unidades") > limit)
 
 

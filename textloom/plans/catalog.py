@@ -1,11 +1,548 @@
-"""Every query of the engine with the SQL that gives the same rows."""
+"""Every query of the engine's own operators over the test tables, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import jsonx, names, text, vectors
+from ..operators import checks, chunker, corpus, search, vectorbase
+from ..sources import lines
+from . import pipeline
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+#: White space, and what is none, as RE2 classes.
+_SP = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NSP = _SP.replace("[", "[^", 1)
+
+
+# --- vectors and search -------------------------------------------------------------------------------------------
+
+
+def _vectors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The queries, which are the rows whose id is divisible by 100, and all rows."""
+    v = t(spark, d, "embeddings")
+    return v.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), v
+
+
+def _hits(spark: SparkSession, d: str, k: int) -> DataFrame:
+    q, v = _vectors(spark, d)
+    return search.knn(q, v, k).join(v.select("vec_id", F.col("label").alias("doc_id")), "vec_id")
+
+
+_KNN = """
+WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, v.label AS doc_id, round(list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0),
+h AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s)"""
+
+
+@query(_KNN + " SELECT query_id, vec_id, score, rank FROM h WHERE rank <= 10")
+def knn_topk(spark, d):
+    return search.knn(*_vectors(spark, d), 10)
+
+
+@query(_KNN + " SELECT query_id, vec_id, score, rank FROM h WHERE rank <= 5")
+def knn_blocks(spark, d):
+    """The same search where the queries are too many to go to every task."""
+    return search.knn(*_vectors(spark, d), 5, broadcast_bytes=0)
+
+
+@query(_KNN + " SELECT vec_id, score FROM h WHERE query_id = 0 AND rank <= 10")
+def knn_single_query(spark, d):
+    v = t(spark, d, "embeddings")
+    one = v.filter("vec_id = 0").first()
+    return search.knn_one(v, list(one["embedding"]) if one else [0.0], 10)
+
+
+_DOCS = """, g AS (SELECT query_id, doc_id, round(sum(score), 4) AS score, count(*) AS chunks, min(rank) AS primero FROM h WHERE rank <= 60 GROUP BY query_id, doc_id)"""
+
+
+@query(_KNN + _DOCS + " SELECT * EXCLUDE primero FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::int AS rank FROM g) WHERE rank <= 3")
+def doc_rank_sum_score(spark, d):
+    return search.rank_documents(_hits(spark, d, 60), 3)
+
+
+@query(_KNN + _DOCS + " SELECT query_id, doc_id, score, rank, primero, chunks AS n_trozos FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, primero)::int AS rank FROM g) WHERE rank <= 3")
+def doc_rank_with_chunks(spark, d):
+    x = search.documents_with_chunks(_hits(spark, d, 60), 3)
+    return x.select("query_id", "doc_id", "score", "rank", "primero", F.size("trozos").cast("long").alias("n_trozos"))
+
+
+_TIERS = """, n AS (SELECT count(*) AS n FROM embeddings), lv AS (SELECT DISTINCT least(t, n) AS tier FROM n, (VALUES (60), (240), (960), (3840), (15360), (61440)) x(t)),
+ok AS (SELECT query_id, tier, count(DISTINCT doc_id) AS docs, count(*) FILTER (WHERE vec_id % 3 = 0) AS frags FROM h, lv WHERE rank <= tier GROUP BY query_id, tier)"""
+
+
+@query(_KNN + _TIERS + " SELECT query_id, coalesce(min(tier) FILTER (WHERE docs >= 3 AND frags >= 10), max(tier))::int AS depth FROM ok GROUP BY query_id")
+def adaptive_k_results(spark, d):
+    n = t(spark, d, "embeddings").count()
+    hits = _hits(spark, d, search.tiers(max(n, 1))[-1])
+    return search.adaptive_depth(hits, max(n, 1), usable=F.col("vec_id") % 3 == 0)
+
+
+@query(_KNN + " SELECT query_id, vec_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM h WHERE rank <= 60 QUALIFY rank <= 10")
+def fragments_global(spark, d):
+    return search.fragments(_hits(spark, d, 60), most=10).select("query_id", "vec_id", "doc_id", "score", "rank")
+
+
+@query(_KNN + _DOCS + """, top AS (SELECT query_id, doc_id FROM g QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 3)
+SELECT h.query_id, vec_id, h.doc_id, score, row_number() OVER (PARTITION BY h.query_id ORDER BY score DESC, vec_id)::int AS rank FROM h JOIN top USING (query_id, doc_id) WHERE h.rank <= 60
+QUALIFY row_number() OVER (PARTITION BY h.query_id ORDER BY score DESC, vec_id) <= 10""")
+def fragments_within_docs(spark, d):
+    hits = _hits(spark, d, 60)
+    return search.fragments(hits, search.rank_documents(hits, 3), 10).select("query_id", "vec_id", "doc_id", "score", "rank")
+
+
+@query("SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS largo, abs(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) <= 0.00101 AS unitario FROM embeddings")
+def vector_norm_check(spark, d):
+    return t(spark, d, "embeddings").select("vec_id", F.round(vectors.norm(F.col("embedding")), 6).alias("largo"), vectors.is_unit(F.col("embedding")).alias("unitario"))
+
+
+@query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: (3 * x::DOUBLE / (3 * sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))))::FLOAT::DOUBLE)), 3) AS suma FROM embeddings")
+def vector_normalize(spark, d):
+    tripled = F.transform("embedding", lambda x: (x * 3).cast("float"))
+    return t(spark, d, "embeddings").select("vec_id", F.round(F.aggregate(vectors.normalize(tripled), F.lit(0.0), lambda a, x: a + x.cast("double")), 3).alias("suma"))
+
+
+@query("SELECT vec_id, embedding FROM embeddings WHERE false")
+def vector_unit_violations(spark, d):
+    return checks.not_unit(t(spark, d, "embeddings")).select("vec_id", "embedding")
+
+
+@query("""SELECT vec_id AS chunk_id, row_number() OVER (ORDER BY vec_id % 2 DESC, vec_id) - 1 AS ordinal FROM embeddings""")
+def index_extend(spark, d):
+    """Odd ids first, even ids appended behind them."""
+    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"))
+    old = vectorbase.with_ordinals(v.filter("chunk_id % 2 = 1"), ["chunk_id"])
+    start = old.count()
+    return old.select("chunk_id", "ordinal").unionByName(vectorbase.with_ordinals(v.filter("chunk_id % 2 = 0"), ["chunk_id"], start).select("chunk_id", "ordinal"))
+
+
+@query("SELECT vec_id AS chunk_id, round(CASE WHEN vec_id % 5 = 0 THEN -embedding[1]::DOUBLE ELSE embedding[1]::DOUBLE END, 6) AS primero FROM embeddings")
+def index_reencode(spark, d):
+    """Every fifth vector replaced by its opposite."""
+    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
+    new = v.filter("chunk_id % 5 = 0").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    return vectorbase.replace_vectors(v, new).select("chunk_id", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("primero"))
+
+
+@query("SELECT doc_id, floor((row_number() OVER (ORDER BY doc_id) - 1) / 2048)::int AS bloque FROM documents")
+def block_assignment(spark, d):
+    return vectorbase.with_ordinals(t(spark, d, "documents").select("doc_id"), ["doc_id"]).select("doc_id", vectorbase.block_of().alias("bloque"))
+
+
+@query("""WITH c AS (SELECT DISTINCT ON (chunk_id) * FROM chunks)
+SELECT count(*) AS filas, count(DISTINCT doc_id) AS documentos, count(DISTINCT fuente) AS fuentes, count(chunk_id) - count(DISTINCT chunk_id) AS repetidos, round(avg(num_palabras), 1) AS media_palabras, max(num_palabras) AS max_palabras, count(*) FILTER (WHERE num_palabras > 250) AS largos FROM c""")
+def index_verify_stats(spark, d):
+    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    return c.agg(
+        F.count("*").alias("filas"), F.count_distinct("doc_id").alias("documentos"), F.count_distinct("fuente").alias("fuentes"), (F.count("chunk_id") - F.count_distinct("chunk_id")).alias("repetidos"),
+        F.round(F.avg("num_palabras"), 1).alias("media_palabras"), F.max("num_palabras").alias("max_palabras"), F.count_if(F.col("num_palabras") > 250).alias("largos"),
+    )
+
+
+@query("SELECT dimension, valor, count(*) AS n FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) c, LATERAL (VALUES ('fenomeno', fenomeno::varchar), ('idioma', idioma), ('formato', lower(formato))) x(dimension, valor) WHERE valor IS NOT NULL GROUP BY ALL")
+def index_verify_counts(spark, d):
+    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    pairs = F.array(*(F.struct(F.lit(n).alias("dimension"), e.cast("string").alias("valor")) for n, e in (("fenomeno", F.col("fenomeno")), ("idioma", F.col("idioma")), ("formato", F.lower("formato")))))
+    return c.select(F.inline(pairs)).filter("valor is not null").groupBy("dimension", "valor").agg(F.count("*").alias("n"))
+
+
+@query(rf"SELECT chunk_id, largo, unidades FROM (SELECT DISTINCT chunk_id, length(texto) AS largo, len(regexp_extract_all(texto, '{_NSP}+'))::int AS unidades FROM chunks ORDER BY largo DESC, chunk_id LIMIT 200) WHERE unidades > 150")
+def truncation_candidates(spark, d):
+    return vectorbase.truncated(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), 150)
+
+
+@query()
+def vector_base(spark, d):
+    """Chunks of the whole corpus as a base with vectors of the stand-in encoder."""
+    return vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16))
+
+
+@query("SELECT NULL::bigint AS n WHERE false")
+def ordinal_violations(spark, d):
+    v = vectorbase.with_ordinals(t(spark, d, "documents").select("doc_id"), ["doc_id"])
+    return checks.ordinal_gaps(v).select("n")
+
+
+@query()
+def text_search_end_to_end(spark, d):
+    """The questions answered over the corpus's chunks: three documents and ten whole-sentence fragments each."""
+    base = vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16))
+    return pipeline.answer(base, t(spark, d, "consultas"), vectorbase.HashEncoder(16))
+
+
+@query("SELECT ''::varchar AS chunk_id, ''::varchar AS motivo WHERE false")
+def traceability_violations(spark, d):
+    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    frags = c.select("chunk_id", "doc_id", text.complete_sentences(F.col("texto")).alias("text")).filter("text is not null")
+    return checks.untraceable(frags, c)
+
+
+# --- text -----------------------------------------------------------------------------------------------------------
+
+_CLEAN = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(texto), '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g')"
+_D = "(SELECT DISTINCT doc_id, texto, lower(formato) AS formato FROM mini_corpus WHERE texto IS NOT NULL)"
+
+
+def _corpus(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct texts of the corpus."""
+    return t(spark, d, "mini_corpus").filter("texto is not null").select("doc_id", "texto", F.lower("formato").alias("formato")).distinct()
+
+
+@query(f"SELECT doc_id, length(c) AS largo, sha256(c) AS huella FROM (SELECT doc_id, {_CLEAN} AS c FROM {_D})")
+def clean_text(spark, d):
+    return _corpus(spark, d).select("doc_id", text.clean_text(F.col("texto")).alias("c")).select("doc_id", F.length("c").alias("largo"), F.sha2("c", 256).alias("huella"))
+
+
+@query(rf"""WITH a AS (SELECT doc_id, regexp_replace(texto, '([\p{{L}}\p{{N}}_])-\n([\p{{L}}\p{{N}}_])', '\1\2', 'g') AS x FROM {_D} WHERE formato = 'pdf'),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^\n([^\n])', ' \1'), '([^\n])\n$', '\1 '), '([^\n])\n([^\n])', '\1 \2', 'g'), '([^\n])\n([^\n])', '\1 \2', 'g') AS x FROM a)
+SELECT doc_id, sha256(regexp_replace(x, '(?:\.\s?){{4,}}', ' ', 'g')) AS huella FROM b""")
+def pdf_line_unwrap(spark, d):
+    return _corpus(spark, d).filter("formato = 'pdf'").select("doc_id", F.sha2(text.unwrap_lines(F.col("texto")), 256).alias("huella"))
+
+
+_LN = r"list_filter(string_split_regex(texto, '\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]'), lambda x, i: i < len(string_split_regex(texto, '\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]')) OR x <> '')"
+_QUALITY = rf"""
+WITH a AS (SELECT doc_id, texto, CASE WHEN texto = '' THEN [] ELSE {_LN} END AS ls, length(texto) AS ch, len(regexp_extract_all(texto, '[\p{{L}}\p{{N}}_]+')) AS w,
+  len(regexp_extract_all(texto, '[^\p{{L}}\p{{N}}\s\x0b\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]')) AS sy, len(regexp_extract_all(texto, '\p{{Nd}}')) AS nu FROM {_D}),
+b AS (SELECT *, list_filter(list_transform(ls, lambda x: regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g')), lambda x: x <> '') AS f FROM a),
+c AS (SELECT *, len(list_filter(f, lambda x: length(x) >= 20 AND len(regexp_extract_all(x, '\p{{L}}')) / length(x) >= 0.35)) AS us,
+  CASE WHEN len(f) > 0 THEN 1 - len(list_distinct(f)) / len(f) WHEN ch > 0 THEN 1 ELSE 0 END AS rp FROM b),
+q AS (SELECT doc_id, ch AS characters, w AS words, len(ls) AS lines, us AS useful_lines, len(ls) - us AS garbage_lines, round(CASE WHEN ch > 0 THEN sy / ch ELSE 0 END, 6) AS symbol_ratio, round(CASE WHEN ch > 0 THEN nu / ch ELSE 0 END, 6) AS number_ratio,
+  round(rp, 6) AS repetition_ratio, CASE WHEN ch > 0 THEN 1.0::DOUBLE ELSE 0 END AS cleaning_ratio,
+  round(CASE WHEN ch > 0 THEN least(1, greatest(0, 0.45::DOUBLE * (CASE WHEN len(ls) > 0 THEN us / len(ls) ELSE 0 END) + 0.20::DOUBLE * (1 - sy / ch) + 0.15::DOUBLE * (1 - nu / ch) + 0.20::DOUBLE * (1 - rp))) ELSE 0 END, 6) AS quality_score FROM c)"""
+
+
+@query(_QUALITY + " SELECT *, CASE WHEN quality_score >= 0.75 THEN 'alta' WHEN quality_score >= 0.45 THEN 'media' ELSE 'baja' END AS quality_label FROM q")
+def text_quality(spark, d):
+    return _corpus(spark, d).select("doc_id", text.text_quality(F.col("texto")).alias("q")).select("doc_id", "q.*")
+
+
+@query(_QUALITY + " SELECT CASE WHEN quality_score >= 0.75 THEN 'alta' WHEN quality_score >= 0.45 THEN 'media' ELSE 'baja' END AS etiqueta, count(*) AS n FROM q GROUP BY 1")
+def quality_buckets(spark, d):
+    return _corpus(spark, d).select(text.text_quality(F.col("texto"))["quality_label"].alias("etiqueta")).groupBy("etiqueta").agg(F.count("*").alias("n"))
+
+
+@query(rf"""SELECT doc_id, round(r, 6) AS letras, CASE WHEN n = 0 THEN 'vacio' WHEN n < 200 THEN 'corto' WHEN formato IN ('pdf', 'imagen') AND r < 0.40 THEN 'ruido' ELSE 'valido' END AS diagnostico FROM (
+SELECT doc_id, formato, CASE WHEN texto = '' THEN 0 ELSE len(regexp_extract_all(texto, '\p{{L}}')) / length(texto) END AS r, length(regexp_replace(texto, '^{_SP}+|{_SP}+$', '', 'g')) AS n FROM {_D})""")
+def letter_ratio_diagnosis(spark, d):
+    c = F.col("texto")
+    return _corpus(spark, d).select("doc_id", F.round(text.letter_ratio(c), 6).alias("letras"), corpus.diagnose(c, F.col("formato")).alias("diagnostico"))
+
+
+@query(rf"SELECT doc_id, len(regexp_extract_all(texto, '{_NSP}+'))::int AS palabras FROM {_D}")
+def word_count(spark, d):
+    return _corpus(spark, d).select("doc_id", text.word_count(F.col("texto")).alias("palabras"))
+
+
+@query(rf"""WITH l AS (SELECT doc_id, generate_subscripts(string_split(texto, chr(10)), 1)::int AS linea, unnest(string_split(texto, chr(10))) AS x FROM {_D}), s AS (SELECT doc_id, linea, regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g') AS x FROM l)
+SELECT doc_id, linea FROM s WHERE x <> '' AND NOT regexp_matches(x, '^\s*(?:[-*•]|\d+[.)])\s+') AND NOT regexp_matches(x, '[.?!…]$') AND len(regexp_extract_all(x, '{_NSP}+')) <= 10 AND length(x) <= 120""")
+def heading_lines(spark, d):
+    x = _corpus(spark, d).select("doc_id", F.posexplode(F.split("texto", "\n")).alias("linea", "x"))
+    return x.filter(text.is_heading_line(F.col("x"))).select("doc_id", (F.col("linea") + 1).alias("linea"))
+
+
+def _score_sql(lang: str, k: int) -> str:
+    words = ", ".join(f"'{w}'" for w in text.FUNCTION_WORDS[lang])
+    return f"{{'n': len(list_filter(w, lambda x: list_contains([{words}], x))), 'k': {-k}, 'lang': '{lang}'}}"
+
+
+@query(rf"""WITH w AS (SELECT doc_id, texto, regexp_extract_all(lower(texto), '\p{{L}}+') AS w FROM {_D}), s AS (SELECT doc_id, texto, list_max([{', '.join(_score_sql(x, k) for k, x in enumerate(sorted(text.FUNCTION_WORDS)))}]) AS b FROM w)
+SELECT doc_id, CASE WHEN length(regexp_replace(texto, '^{_SP}+|{_SP}+$', '', 'g')) < 20 OR b.n = 0 THEN 'und' ELSE b.lang END AS idioma FROM s""")
+def language_guess(spark, d):
+    return _corpus(spark, d).select("doc_id", text.guess_language(F.col("texto")).alias("idioma"))
+
+
+@query()
+def truncate_to_sentences(spark, d):
+    return _corpus(spark, d).select("doc_id", text.truncate_to_sentences(F.col("texto")).alias("x")).select("doc_id", text.word_count(F.col("x")).alias("palabras"), F.sha2("x", 256).alias("huella"))
+
+
+@query()
+def complete_sentence_prefix(spark, d):
+    return _corpus(spark, d).select("doc_id", text.complete_sentences(F.col("texto")).alias("x"))
+
+
+@query("""WITH p AS (SELECT doc_id, source, text FROM documents WHERE source IS NOT NULL AND text IS NOT NULL), n AS (SELECT source, count(*) AS de FROM p GROUP BY source),
+l AS (SELECT DISTINCT doc_id, source, regexp_replace(unnest(string_split_regex(text, '\\r\\n|[\\n\\x0b\\f\\r\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')), 'S+|Z+$', '', 'g') AS linea FROM p)
+SELECT source AS doc, linea, count(*) AS paginas FROM l JOIN n USING (source) WHERE linea <> '' GROUP BY source, linea, de HAVING de >= 3 AND count(*) >= 0.02 * de""".replace("'S+|Z+$'", f"'^{_SP}+|{_SP}+$'").replace("\\\\", "\\"))
+def boilerplate_lines(spark, d):
+    """Lines on 2 % of the pages or more, a source taken as a document and its rows as pages."""
+    pages = t(spark, d, "documents").filter("source is not null and text is not null")
+    return corpus.repeated_page_lines(pages, "source", "text", 0.02)
+
+
+@query()
+def boilerplate_removed(spark, d):
+    pages = t(spark, d, "mini_corpus").filter("formato = 'pdf' and texto is not null").select("doc_id", F.split("texto", r"\n[ \t]*\n").alias("p"))
+    return pages.select("doc_id", corpus.without_repeated_lines(F.col("p"), 0.6).alias("q")).select("doc_id", F.size("q").alias("paginas"), F.sha2(F.array_join("q", "\n\n"), 256).alias("huella"))
+
+
+# --- names, hashes, predicates ----------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT path, 'DOC-' || left(sha1(path), 10) AS id, nullif(regexp_extract(path, '(?i)^(?:.*/)?F([1-3])[_-]', 1), '')::int AS fenomeno FROM corpus_report")
+def doc_id_hash(spark, d):
+    p = F.col("path")
+    return t(spark, d, "corpus_report").select("path", names.doc_id(p).alias("id"), names.phenomenon(p).alias("fenomeno")).distinct()
+
+
+@query("SELECT doc_id, sha256(text) AS huella FROM documents WHERE text IS NOT NULL")
+def content_hash(spark, d):
+    return t(spark, d, "documents").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("huella"))
+
+
+@query("SELECT sha256(text) AS clave, count(*) AS n, min(doc_id) AS primero FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def duplicate_groups(spark, d):
+    return corpus.duplicates(t(spark, d, "documents"), F.sha2("text", 256), "doc_id")
+
+
+@query(r"""SELECT DISTINCT path, lower(regexp_extract(path, '(\.[^./]+)$', 1)) AS sufijo, CASE lower(regexp_extract(path, '(\.[^./]+)$', 1)) WHEN '.pdf' THEN 'pdf' WHEN '.html' THEN 'html' WHEN '.htm' THEN 'html' WHEN '.json' THEN 'json' WHEN '.csv' THEN 'csv' WHEN '.xlsx' THEN 'xlsx' WHEN '.txt' THEN 'texto' WHEN '.pbf' THEN 'pbf' END AS formato,
+regexp_matches(regexp_replace(regexp_extract(path, '([^/]+)$', 1), '\.[^.]*$', ''), '(?i)(catalog|registro|tiles-index)') AS manifiesto FROM corpus_report""")
+def format_dispatch(spark, d):
+    p = F.col("path")
+    return t(spark, d, "corpus_report").select("path", names.suffix(p).alias("sufijo"), names.format_of(p).alias("formato"), names.is_manifest(p).alias("manifiesto")).distinct()
+
+
+@query(r"""WITH x AS (SELECT doc_id, chunk_id, trim(texto) AS v FROM (SELECT DISTINCT doc_id, chunk_id, texto FROM chunks) UNION ALL SELECT 'nota', query_id, CASE query_id[-1] WHEN '1' THEN 'https://x.org/a' WHEN '2' THEN 'b.PDF' WHEN '3' THEN '' WHEN '4' THEN 'http://y.org/c.pdf?d' ELSE pregunta END FROM consultas)
+SELECT doc_id, chunk_id, CASE WHEN v = '' THEN 'empty_string' WHEN regexp_matches(v, '(?i)^https?://[^/?#\s]+') THEN 'url' WHEN lower(v) LIKE '%.pdf' OR lower(v) LIKE '%.pdf?%' OR lower(v) LIKE '%.pdf#%' THEN 'pdf_url' WHEN length(v) >= 160 THEN 'long_text' WHEN length(v) >= 40 THEN 'text' ELSE 'short_text' END AS tipo FROM x""")
+def value_kinds(spark, d):
+    c = t(spark, d, "chunks").select("doc_id", "chunk_id", "texto").distinct()
+    last = F.substring("query_id", -1, 1)
+    q = t(spark, d, "consultas").select(F.lit("nota").alias("doc_id"), F.col("query_id").alias("chunk_id"), F.when(last == "1", "https://x.org/a").when(last == "2", "b.PDF").when(last == "3", "").when(last == "4", "http://y.org/c.pdf?d").otherwise(F.col("pregunta")).alias("texto"))
+    return c.unionByName(q).select("doc_id", "chunk_id", names.string_kind(F.col("texto")).alias("tipo"))
+
+
+@query(r"SELECT DISTINCT source, regexp_replace(regexp_replace(string_split(source || '/' || upper(source) || ' v2.0', '/')[-1], '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g') AS nombre FROM documents WHERE source IS NOT NULL")
+def model_slugs(spark, d):
+    s = t(spark, d, "documents").filter("source is not null").select("source").distinct()
+    return s.select("source", names.slug(F.concat("source", F.lit("/"), F.upper("source"), F.lit(" v2.0"))).alias("nombre"))
+
+
+# --- reports and logs -------------------------------------------------------------------------------------------------
+
+_BUCKET = "CASE WHEN quality_score IS NULL THEN 'sin_calcular' WHEN quality_score >= 0.75 THEN 'alta' WHEN quality_score >= 0.45 THEN 'media' ELSE 'baja' END"
+
+
+@query(f"SELECT dimension, valor, count(*) AS n FROM corpus_report, LATERAL (VALUES ('format', format), ('strategy', strategy), ('institution', institution), ('language', language), ('status', status), ('quality', {_BUCKET}), ('error', error)) x(dimension, valor) WHERE valor IS NOT NULL AND valor <> '' GROUP BY ALL")
+def corpus_report(spark, d):
+    return corpus.report_histograms(t(spark, d, "corpus_report"))
+
+
+@query("SELECT count(*) AS registros, coalesce(sum(characters), 0)::bigint AS caracteres, min(nullif(characters, 0)) AS min_caracteres, max(nullif(characters, 0)) AS max_caracteres, coalesce(sum(size_bytes), 0)::bigint AS bytes, min(nullif(size_bytes, 0)) AS min_bytes, max(nullif(size_bytes, 0)) AS max_bytes FROM corpus_report")
+def corpus_report_totals(spark, d):
+    return corpus.report_totals(t(spark, d, "corpus_report"))
+
+
+@query("SELECT format, status, count(*) AS n, sum(characters)::bigint AS caracteres FROM corpus_report GROUP BY GROUPING SETS ((format, status), (format), ())")
+def report_grouping_sets(spark, d):
+    t(spark, d, "corpus_report").createOrReplaceTempView("_report")
+    return spark.sql("select format, status, count(*) as n, sum(characters) as caracteres from _report group by grouping sets ((format, status), (format), ())")
+
+
+@query("SELECT status, count(*) AS n, arg_min(path, {'a': registrado, 'b': path}) AS ejemplo, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::double AS porcentaje FROM checkpoint_pdf GROUP BY status")
+def status_summary_pct(spark, d):
+    return corpus.status_summary(t(spark, d, "checkpoint_pdf"))
+
+
+@query("SELECT path, status, registrado FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY registrado DESC, status DESC, pages DESC NULLS LAST) AS k FROM checkpoint_pdf) WHERE k = 1")
+def latest_validation(spark, d):
+    return corpus.latest(t(spark, d, "checkpoint_pdf").select("path", "registrado", "status", "pages"), "path", "registrado").select("path", "status", "registrado")
+
+
+@query("SELECT path, status, CASE WHEN status IN ('BATCH_RUNNER_ERROR', 'PDF_CORRUPTO', 'PDF_CIFRADO') THEN coalesce(nullif(reason, ''), errors[1]) END AS error FROM checkpoint_pdf")
+def report_errors(spark, d):
+    return t(spark, d, "checkpoint_pdf").select("path", "status", corpus.error_column(F.col("status"), F.col("reason"), F.try_element_at("errors", F.lit(1))).alias("error"))
+
+
+@query("WITH f AS (SELECT DISTINCT fuente || '/' || substr(doc_id, 5) || '.pdf' AS path FROM mini_corpus WHERE lower(formato) = 'pdf') SELECT path FROM f WHERE path NOT IN (SELECT path FROM checkpoint_pdf WHERE sha256 IS NOT NULL AND sha256 <> '')")
+def pending_files_anti_join(spark, d):
+    files = t(spark, d, "mini_corpus").filter("lower(formato) = 'pdf'").select(F.concat("fuente", F.lit("/"), F.expr("substring(doc_id, 5)"), F.lit(".pdf")).alias("path")).distinct().filter("path is not null")
+    done = t(spark, d, "checkpoint_pdf").filter("coalesce(sha256, '') <> ''").select("path").distinct()
+    return corpus.pending(files, done, "path")
+
+
+@query("""SELECT path, CASE WHEN pages = 0 THEN 'PDF_VACIO' WHEN characters = 0 AND pages_with_images > 0 THEN 'PDF_ESCANEADO' WHEN characters = 0 THEN 'PDF_VACIO' WHEN len(errors) > 0 THEN 'PDF_INCOMPLETO' WHEN pages_with_text < pages AND pages_with_images > 0 AND characters < 500 THEN 'PDF_SIN_OCR'
+WHEN pages_with_text < greatest(1, pages // 3) AND characters < 1000 THEN 'PDF_INCOMPLETO' ELSE 'PDF_OK' END AS estado, count(*) AS n FROM checkpoint_pdf WHERE pages IS NOT NULL AND characters IS NOT NULL GROUP BY ALL""")
+def pdf_decision(spark, d):
+    c = [F.col(x) for x in ("pages", "pages_with_text", "pages_with_images", "characters")]
+    x = t(spark, d, "checkpoint_pdf").filter("pages is not null and characters is not null")
+    return x.select("path", corpus.pdf_status(*c, F.coalesce(F.size("errors"), F.lit(0))).alias("estado")).groupBy("path", "estado").agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT DISTINCT path, 'capas/' || institution || '/tiles/' || (characters % 4) || '/' || path AS tesela FROM corpus_report WHERE format = 'pbf' UNION ALL SELECT DISTINCT path, path FROM corpus_report WHERE format = 'csv'),
+z AS (SELECT *, nullif(regexp_extract(tesela, '^(.*?(?:^|/)tiles)(?:/|$)', 1), '') AS r, try_cast(nullif(regexp_extract(tesela, '(?:^|/)tiles/(-?\\d+)(?:/|$)', 1), '') AS int) AS z FROM p)
+SELECT path, tesela FROM (SELECT *, max(z) OVER (PARTITION BY r) AS m FROM z) WHERE r IS NULL OR z IS NULL OR z = m""".replace("\\\\", "\\"))
+def max_zoom_pruning(spark, d):
+    r = t(spark, d, "corpus_report")
+    tiles = r.filter("format = 'pbf'").select("path", F.concat(F.lit("capas/"), "institution", F.lit("/tiles/"), (F.col("characters") % 4).cast("string"), F.lit("/"), "path").alias("tesela")).distinct()
+    return corpus.deepest_tiles(tiles.unionByName(r.filter("format = 'csv'").select("path", F.col("path").alias("tesela")).distinct()), "tesela")
+
+
+# --- constraints ------------------------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT doc_id, unnest(list_filter([CASE WHEN v(doc_id) THEN 'vacio:doc_id' END, CASE WHEN v(fuente) THEN 'vacio:fuente' END, CASE WHEN v(formato) THEN 'vacio:formato' END, CASE WHEN v(idioma) THEN 'vacio:idioma' END, CASE WHEN v(texto) THEN 'vacio:texto' END,
+CASE WHEN fenomeno IS NULL OR fenomeno NOT IN (1, 2, 3) THEN 'fenomeno' END], lambda x: x IS NOT NULL)) AS motivo FROM mini_corpus""".replace("v(doc_id)", "V<doc_id>").replace("v(fuente)", "V<fuente>").replace("v(formato)", "V<formato>").replace("v(idioma)", "V<idioma>").replace("v(texto)", "V<texto>").replace("V<", "regexp_replace(coalesce(").replace(">", r", ''), '[\s\x0b\x{a0}]+', '', 'g') = ''", 5))
+def required_field_violations(spark, d):
+    return checks.document_violations(t(spark, d, "mini_corpus"))
+
+
+@query("SELECT doc_id, count(*) AS n FROM mini_corpus GROUP BY doc_id HAVING count(*) > 1")
+def duplicate_keys(spark, d):
+    return checks.duplicate_keys(t(spark, d, "mini_corpus"), "doc_id")
+
+
+@query("SELECT DISTINCT path FROM corpus_report WHERE NOT regexp_matches(regexp_replace(regexp_extract(path, '([^/]+)$', 1), '\\.[^.]*$', ''), '(?i)(catalog|registro|tiles-index)')".replace("\\\\", "\\"))
+def manifest_exclusion(spark, d):
+    return t(spark, d, "corpus_report").select("path").distinct().filter(~names.is_manifest(F.col("path")))
+
+
+@query("SELECT doc_id, chunk_id, motivo FROM (SELECT c.doc_id, chunk_id, CASE WHEN substr(m.texto, char_start + 1, char_end - char_start) <> c.texto THEN 'no es su tramo' END AS motivo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) c JOIN (SELECT DISTINCT doc_id, texto FROM mini_corpus) m USING (doc_id)) WHERE motivo IS NOT NULL")
+def chunk_slice_violations(spark, d):
+    """The chunks of the table that aren't the slice of their document."""
+    c, m = t(spark, d, "chunks").dropDuplicates(["chunk_id"]), t(spark, d, "mini_corpus").select("doc_id", "texto").distinct()
+    return checks.chunk_violations(c, m, 10**9, 10**9).filter("motivo = 'no es su tramo'")
+
+
+@query("SELECT doc_id, chunk_id, 'texto_vacio' AS motivo FROM chunks WHERE regexp_replace(coalesce(texto, ''), '[\\s\\x0b\\x{a0}]+', '', 'g') = ''".replace("\\\\", "\\"))
+def discarded_fragments(spark, d):
+    return vectorbase.split_fragments(t(spark, d, "chunks"))[1]
+
+
+# --- chunking ---------------------------------------------------------------------------------------------------------
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each document with a text, the latest; labels may differ between its rows, texts don't."""
+    x = t(spark, d, "mini_corpus").filter("texto is not null").select("doc_id", "fuente", F.lower("formato").alias("formato"), "fenomeno", "idioma", "texto", "ingresado")
+    return x.dropDuplicates(["doc_id"]).drop("ingresado")
+
+
+@query()
+def sentences(spark, d):
+    @F.pandas_udf("array<struct<ini:int,fin:int,bloque:int,titulo:boolean>>")
+    def run(s):
+        return s.map(lambda x: [{"ini": p.start, "fin": p.end, "bloque": p.block, "titulo": p.heading} for p in chunker.pieces_of(x or "")])
+
+    return _documents(spark, d).select("doc_id", F.inline(run(F.col("texto"))))
+
+
+@query()
+def chunks(spark, d):
+    return chunker.chunk_documents(_documents(spark, d), chunker.ChunkConfig(120, 120, 1))
+
+
+@query()
+def chunk_errors(spark, d):
+    return chunker.errors_of(chunker.chunked(_documents(spark, d), chunker.ChunkConfig(12, 12, 0)))
+
+
+@query()
+def chunk_warnings(spark, d):
+    return chunker.warnings_of(chunker.chunked(_documents(spark, d), chunker.ChunkConfig(12, 12, 0)))
+
+
+@query("SELECT ''::varchar AS doc_id, ''::varchar AS chunk_id, ''::varchar AS motivo WHERE false")
+def chunk_coverage_violations(spark, d):
+    docs = _documents(spark, d)
+    return checks.chunk_violations(chunker.chunk_documents(docs, chunker.ChunkConfig(120, 120, 1)), docs, 120, 120)
+
+
+@query("""WITH RECURSIVE c AS (SELECT DISTINCT ON (chunk_id) doc_id, posicion, num_palabras AS n FROM chunks), o AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY posicion) AS k, n FROM c),
+r AS (SELECT doc_id, k, n AS s, 0 AS g FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.k, CASE WHEN r.s + o.n <= 300 THEN r.s + o.n ELSE o.n END, CASE WHEN r.s + o.n <= 300 THEN r.g ELSE r.g + 1 END FROM r JOIN o ON o.doc_id = r.doc_id AND o.k = r.k + 1)
+SELECT doc_id, g AS grupo, count(*) AS trozos, sum(o.n)::bigint AS palabras FROM r JOIN o USING (doc_id, k) GROUP BY doc_id, g""")
+def greedy_word_packing(spark, d):
+    """A document's chunks packed greedily into groups of at most 300 words, as one fold over an array."""
+    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    seq = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("posicion", F.col("num_palabras").alias("n")))).alias("a"))
+    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("g"), F.array().cast("array<struct<grupo:int,n:int>>").alias("out"))
+
+    def step(a, x):
+        fits = (F.size(a["out"]) == 0) | (a["s"] + x["n"] <= 300)
+        g = F.when(fits, a["g"]).otherwise(a["g"] + 1)
+        return F.struct(F.when(fits, a["s"] + x["n"]).otherwise(x["n"]).alias("s"), g.alias("g"), F.concat(a["out"], F.array(F.struct(g.alias("grupo"), x["n"].alias("n")))).alias("out"))
+
+    return seq.select("doc_id", F.inline(F.aggregate("a", start, step)["out"])).groupBy("doc_id", "grupo").agg(F.count("*").alias("trozos"), F.sum("n").alias("palabras"))
+
+
+@query("SELECT doc_id, posicion, chunk_id, sum(num_palabras) OVER (PARTITION BY doc_id ORDER BY posicion)::bigint AS acumuladas, coalesce(lead(fenomeno) OVER (PARTITION BY doc_id ORDER BY posicion) IS NULL, true) AS ultimo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks)")
+def chunk_prefix_sums(spark, d):
+    w = W.partitionBy("doc_id").orderBy("posicion")
+    return t(spark, d, "chunks").dropDuplicates(["chunk_id"]).select("doc_id", "posicion", "chunk_id", F.sum("num_palabras").over(w).alias("acumuladas"), F.lead("fenomeno").over(w).isNull().alias("ultimo"))
+
+
+# --- JSON and tables --------------------------------------------------------------------------------------------------
+
+
+@query("SELECT 'k' AS path, count(DISTINCT event_id) AS documentos, count(*) AS apariciones, 0::bigint AS caracteres, NULL::int AS min_caracteres, NULL::int AS max_caracteres, 0::bigint AS urls, 0::bigint AS pdfs FROM events WHERE props->>'$.k' IS NOT NULL")
+def json_field_profile(spark, d):
+    return corpus.field_profile(t(spark, d, "events"), "props", "event_id")
+
+
+@query("SELECT 'k' AS path, 'int' AS kind, count(*) AS n FROM events WHERE props->>'$.k' IS NOT NULL")
+def json_field_kinds(spark, d):
+    return corpus.field_kinds(t(spark, d, "events"), "props")
+
+
+@query()
+def json_schema_clusters(spark, d):
+    return corpus.schema_clusters(_articles(spark, d), "j", "doc_id")
+
+
+def _articles(spark: SparkSession, d: str) -> DataFrame:
+    """The json documents of the corpus as articles with different fields."""
+    x = t(spark, d, "mini_corpus").filter("lower(formato) = 'json' and texto is not null").select("doc_id", "fenomeno", "texto").dropDuplicates(["doc_id"])
+    title = F.element_at(F.split("texto", "\n"), 1)
+    forms = F.when(F.col("fenomeno") == 1, F.to_json(F.struct(title.alias("title"), F.split("texto", r"\n\s*\n").alias("body_paragraphs")))).when(F.col("fenomeno") == 2, F.to_json(F.struct(title.alias("headline"), F.lit("https://x.org/a.pdf").alias("pdf_url")))).otherwise(F.to_json(F.struct(title.alias("titulo"), F.col("texto").alias("resumen"))))
+    return x.select("doc_id", forms.alias("j"))
+
+
+@query("SELECT doc_id, CASE fenomeno WHEN 1 THEN CASE WHEN regexp_matches(texto, '[^\\s\\x{a0}]') THEN 'local' ELSE 'desconocida' END WHEN 2 THEN 'pdf' ELSE CASE WHEN regexp_matches(texto, '[^\\s\\x{a0}]') THEN 'abstract' ELSE 'desconocida' END END AS estrategia FROM (SELECT DISTINCT doc_id, fenomeno, texto FROM mini_corpus WHERE lower(formato) = 'json' AND texto IS NOT NULL)".replace("\\\\", "\\"))
+def json_resolution(spark, d):
+    return _articles(spark, d).select("doc_id", jsonx.resolution(F.col("j"))["strategy"].alias("estrategia"))
+
+
+@query()
+def json_article_text(spark, d):
+    return _articles(spark, d).select("doc_id", jsonx.json_text(F.col("j")).alias("texto"))
+
+
+@query("SELECT n_nationkey, 'n_nationkey: ' || n_nationkey || ' | n_name: ' || n_name || ' | n_regionkey: ' || n_regionkey AS linea FROM nation")
+def rows_as_pairs_text(spark, d):
+    return t(spark, d, "nation").select("n_nationkey", lines.pairs_text(["n_nationkey", "n_name", "n_regionkey"]).alias("linea"))
+
+
+@query("SELECT event_type AS clave, date_trunc('hour', ts) AS inicio, count(*) AS n, round(sum(value), 4) AS suma FROM events GROUP BY ALL")
+def event_windows(spark, d):
+    from ..streaming.ingest import windowed_status
+
+    return windowed_status(t(spark, d, "events")).withColumn("suma", F.round("suma", 4))

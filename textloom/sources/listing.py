@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -17,8 +19,10 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return reader.load(folder).select("path", "length", "modificationTime")
 
 
-def relative(path: F.Column, folder: str) -> F.Column:
-    return F.regexp_replace(path, rf"^.*?{folder.strip("'/'").replace("'/'", "'/+'")}/+", "")
+def relative(path: Column, folder: str) -> Column:
+    """The path below the folder."""
+    inner = "/+".join(re.escape(x) for x in folder.strip("/").split("/"))
+    return F.regexp_replace(path, rf"^.*?/+{inner}/+", "")
 
 
 def select_files(files: DataFrame, path: str = "path") -> DataFrame:
