@@ -119,8 +119,8 @@ SELECT doc_id, CASE WHEN list_max(list_transform(regexp_split_to_array(texto, '[
 WITH d AS (SELECT DISTINCT doc_id, coalesce(texto, '') AS t FROM mini_corpus),
 w AS (SELECT doc_id, length(t) AS chars, regexp_extract_all(lower(t), '[\p{L}\p{M}\p{N}]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\s\x{a0}\x{0b}]')) AS l,
   len(regexp_extract_all(t, '[^\p{L}\p{M}\p{N}\s\x{a0}\x{0b}]')) AS s, len(regexp_extract_all(t, '\p{Nd}')) AS n FROM d)
-SELECT doc_id, chars, len(w) AS palabras, round(CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0 END, 6) AS largo_medio,
-  round(CASE WHEN chars > 0 THEN s / chars ELSE 0 END, 6) AS simbolos, round(CASE WHEN chars > 0 THEN n / chars ELSE 0 END, 6) AS digitos, len(l) AS lineas,
+SELECT doc_id, chars::int AS chars, len(w)::int AS palabras, round(CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0 END, 6) AS largo_medio,
+  round(CASE WHEN chars > 0 THEN s / chars ELSE 0 END, 6) AS simbolos, round(CASE WHEN chars > 0 THEN n / chars ELSE 0 END, 6) AS digitos, len(l)::int AS lineas,
   round(CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda x: regexp_matches(x, '[.!?…。！？؟।]["''”’»)\]」』]*[\s\x{a0}\x{0b}]*$'))) / len(l) ELSE 0 END, 6) AS fin_punto,
   round(CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0 END, 6) AS distintas FROM w
 """,

@@ -175,7 +175,7 @@ def index_verify_counts(spark, d):
     return c.select(F.inline(pairs)).filter("valor is not null").groupBy("dimension", "valor").agg(F.count("*").alias("n"))
 
 
-@query(rf"SELECT chunk_id, largo, unidades FROM (SELECT DISTINCT chunk_id, length(texto) AS largo, len(regexp_extract_all(texto, '{_NSP}+'))::int AS unidades FROM chunks ORDER BY largo DESC, chunk_id LIMIT 200) WHERE unidades > 150")
+@query(rf"SELECT chunk_id, largo, unidades FROM (SELECT DISTINCT chunk_id, length(texto)::int AS largo, len(regexp_extract_all(texto, '{_NSP}+'))::int AS unidades FROM chunks ORDER BY largo DESC, chunk_id LIMIT 200) WHERE unidades > 150")
 def truncation_candidates(spark, d):
     return vectorbase.truncated(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), 150)
 
@@ -217,7 +217,7 @@ def _corpus(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "mini_corpus").filter("texto is not null").select("doc_id", "texto", F.lower("formato").alias("formato")).distinct()
 
 
-@query(f"SELECT doc_id, length(c) AS largo, sha256(c) AS huella FROM (SELECT doc_id, {_CLEAN} AS c FROM {_D})")
+@query(f"SELECT doc_id, length(c)::int AS largo, sha256(c) AS huella FROM (SELECT doc_id, {_CLEAN} AS c FROM {_D})")
 def clean_text(spark, d):
     return _corpus(spark, d).select("doc_id", text.clean_text(F.col("texto")).alias("c")).select("doc_id", F.length("c").alias("largo"), F.sha2("c", 256).alias("huella"))
 
@@ -241,7 +241,7 @@ q AS (SELECT doc_id, ch AS characters, w AS words, len(ls) AS lines, us AS usefu
   round(CASE WHEN ch > 0 THEN least(1, greatest(0, 0.45::DOUBLE * (CASE WHEN len(ls) > 0 THEN us / len(ls) ELSE 0 END) + 0.20::DOUBLE * (1 - sy / ch) + 0.15::DOUBLE * (1 - nu / ch) + 0.20::DOUBLE * (1 - rp))) ELSE 0 END, 6) AS quality_score FROM c)"""
 
 
-@query(_QUALITY + " SELECT *, CASE WHEN quality_score >= 0.75 THEN 'alta' WHEN quality_score >= 0.45 THEN 'media' ELSE 'baja' END AS quality_label FROM q")
+@query(_QUALITY + " SELECT * REPLACE (characters::int AS characters, words::int AS words, lines::int AS lines, useful_lines::int AS useful_lines, garbage_lines::int AS garbage_lines), CASE WHEN quality_score >= 0.75 THEN 'alta' WHEN quality_score >= 0.45 THEN 'media' ELSE 'baja' END AS quality_label FROM q")
 def text_quality(spark, d):
     return _corpus(spark, d).select("doc_id", text.text_quality(F.col("texto")).alias("q")).select("doc_id", "q.*")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names, text
-from ..operators import chunker, corpus, search, vectorbase
+from ..operators import chunker, search, vectorbase
 from ..sources import extract, listing
 
 
@@ -14,9 +14,8 @@ def documents_from_files(spark: SparkSession, folder: str) -> tuple[DataFrame, D
     """The documents of a folder (doc_id, fuente, formato, fenomeno, idioma, texto), and the files that gave none with the reason."""
     got = extract.extract(listing.read_content(spark, folder))
     fuente = listing.relative(F.col("path"), folder)
-    pages = F.when((F.col("formato") == "pdf") & (F.size("paginas") >= 3), corpus.without_repeated_lines(F.col("paginas"))).otherwise(F.col("paginas"))
-    joined = F.array_join(pages, "\n\n")
-    clean = text.clean_text(F.when(F.col("formato") == "pdf", text.unwrap_lines(joined)).otherwise(joined))
+    joined = F.array_join("paginas", "\n\n")
+    clean = text.clean_text(F.when(F.col("formato") == "pdf", text.unwrap_lines(joined)).otherwise(joined), composed=True)
     x = got.select(names.doc_id(fuente).alias("doc_id"), fuente.alias("fuente"), "formato", names.phenomenon(fuente).alias("fenomeno"), clean.alias("texto"), "motivo")
     x = x.withColumn("motivo", F.coalesce("motivo", F.when(F.coalesce(F.length("texto"), F.lit(0)) == 0, "texto vacio"), F.when(F.col("fenomeno").isNull(), "sin fenomeno")))
     docs = x.filter("motivo is null").select("doc_id", "fuente", "formato", "fenomeno", text.guess_language(F.col("texto")).alias("idioma"), "texto")

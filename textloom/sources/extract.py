@@ -6,7 +6,9 @@ import csv
 import io
 import json
 import struct
+import unicodedata
 import zipfile
+from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -192,6 +194,14 @@ def _varints(data: bytes) -> Iterator[bytes]:
             start = k + 1
 
 
+def drop_repeated(pages: Pages, share: float = 0.6, least: int = 3) -> Pages:
+    """The pages without the lines that stand on at least `share` of them; as they are if they are fewer than `least`."""
+    if len(pages) < least:
+        return pages
+    on = Counter(line for p in pages for line in {x.strip() for x in p.split("\n")} if line)
+    return ["\n".join(x for x in p.split("\n") if on[x.strip()] < share * len(pages)) for p in pages]
+
+
 REGISTRY: dict[str, Extractor] = {"html": html_pages, "json": json_pages, "csv": csv_pages, "xlsx": xlsx_pages, "texto": text_pages, "pbf": tile_pages}
 
 
@@ -201,7 +211,7 @@ def register(formato: str, extractor: Extractor) -> None:
 
 
 def extract(files: DataFrame) -> DataFrame:
-    """path, formato, paginas, motivo from path and content. A file that can't be read has null pages and the reason."""
+    """path, formato, paginas (composed; those of a pdf without repeated lines), motivo from path and content. A file that can't be read has null pages and the reason."""
     registry = dict(REGISTRY)
     schema = "path string, formato string, paginas array<string>, motivo string"
 
@@ -214,7 +224,8 @@ def extract(files: DataFrame) -> DataFrame:
                     why = f"sin extractor: {formato}"
                 else:
                     try:
-                        pages = [p for p in registry[formato](bytes(content)) if p.strip()]
+                        got = registry[formato](bytes(content))
+                        pages = [unicodedata.normalize("NFC", p) for p in (drop_repeated(got) if formato == "pdf" else got) if p.strip()]
                     except Exception as e:  # a broken file must not end the job
                         why = f"{type(e).__name__}: {e}"
                 rows.append((path, formato, pages, why))
