@@ -125,6 +125,28 @@ def adaptive_depth(hits: DataFrame, n: int, doc: str = "doc_id", usable: Column
     return sums.select("query_id", choice.alias("depth"))
 
 
+def adaptive_hits(queries: DataFrame, vectors: DataFrame, meta: DataFrame, n: int, usable: Column, doc: str = "doc_id", documents: int = 3, fragments: int = 10, first: int = 60) -> DataFrame:
+    """The hits of each query at the first tier with enough documents and usable fragments: only queries that lack some are searched again, four times as deep.
+
+    meta has vec_id, doc and what `usable` names. One search per tier that any query needs; nearly always one.
+    """
+    levels, left, out = tiers(n, first), queries, None
+    for t in levels:
+        hits = knn(left, vectors, t).join(meta, "vec_id").persist()
+        if t != levels[-1]:
+            enough = hits.groupBy("query_id").agg(F.count_distinct(doc).alias("d"), F.count_if(usable).alias("f")).filter((F.col("d") >= documents) & (F.col("f") >= fragments)).select("query_id")
+            lacking = left.join(enough, "query_id", "left_anti")
+            more = not lacking.isEmpty()
+            hits = hits.join(enough, "query_id", "left_semi") if more else hits
+        else:
+            more = False
+        out = hits if out is None else out.unionByName(hits)
+        if not more:
+            break
+        left = lacking
+    return out
+
+
 def fragments(hits: DataFrame, top: DataFrame | None = None, most: int = 10, doc: str = "doc_id", usable: Column | None = None) -> DataFrame:
     """The best hits of each query as fragments, rank from 1: of all documents, or within the documents of `top`."""
     x = hits.filter(usable) if usable is not None else hits

@@ -102,9 +102,10 @@ ok AS (SELECT query_id, tier, count(DISTINCT doc_id) AS docs, count(*) FILTER (W
 
 @query(_KNN + _TIERS + " SELECT query_id, coalesce(min(tier) FILTER (WHERE docs >= 3 AND frags >= 10), max(tier))::int AS depth FROM ok GROUP BY query_id")
 def adaptive_k_results(spark, d):
-    n = t(spark, d, "embeddings").count()
-    hits = _hits(spark, d, search.tiers(max(n, 1))[-1])
-    return search.adaptive_depth(hits, max(n, 1), usable=F.col("vec_id") % 3 == 0)
+    q, v = _vectors(spark, d)
+    meta = v.select("vec_id", F.col("label").alias("doc_id"))
+    hits = search.adaptive_hits(q, v, meta, max(v.count(), 1), F.col("vec_id") % 3 == 0)
+    return hits.groupBy("query_id").agg(F.max("rank").alias("depth"))
 
 
 @query(_KNN + " SELECT query_id, vec_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM h WHERE rank <= 60 QUALIFY rank <= 10")

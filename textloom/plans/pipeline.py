@@ -28,13 +28,9 @@ def answer(base: DataFrame, queries: DataFrame, encoder: vectorbase.Encoder, mod
     vec = base.select(F.col("ordinal").alias("vec_id"), "embedding")
     q = vectorbase.encode(queries.select("query_id", "pregunta"), "pregunta", encoder, names.prefixes_for(model)[0])
     q = vectorbase.with_ordinals(q, ["query_id"]).withColumnRenamed("query_id", "nombre").withColumnRenamed("ordinal", "query_id")
-    levels = search.tiers(max(n, 1), first)
-    hits = search.knn(q.select("query_id", "embedding"), vec, levels[-1])
     meta = base.select(F.col("ordinal").alias("vec_id"), "doc_id", "chunk_id", text.complete_sentences(F.col("texto")).alias("text"))
-    hits = hits.join(meta, "vec_id")
     usable = F.col("text").isNotNull()
-    depth = search.adaptive_depth(hits, max(n, 1), usable=usable, documents=documents, fragments=fragments, first=first)
-    hits = hits.join(depth, "query_id").filter(F.col("rank") <= F.col("depth"))
+    hits = search.adaptive_hits(q.select("query_id", "embedding"), vec, meta, max(n, 1), usable, documents=documents, fragments=fragments, first=first)
     top = search.rank_documents(hits, documents)
     frags = search.fragments(hits, top if within else None, fragments, usable=usable)
     return search.results(top, frags).join(q.select("query_id", "nombre"), "query_id").select(F.col("nombre").alias("query_id"), "documents", "fragments")
