@@ -71,22 +71,28 @@ class Grams:
 
 def _fit(ids: np.ndarray, own: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, start: np.ndarray | None = None) -> np.ndarray:
     """Weights (buckets and a bias x areas) of logistic regressions, one versus the rest, by gradient steps scaled by each feature's past gradients."""
-    used, at = np.unique(ids, return_inverse=True)
+    # what stands once among so many sentences tells nothing; dropped here, it has no weight
     n, k = y.shape
+    often = np.bincount(ids, minlength=BUCKETS)[ids] > (1 if n > 2000 else 0)
+    ids, own = ids[often], own[often]
+    used, at = np.unique(ids, return_inverse=True)
     length = np.sqrt(np.maximum(np.bincount(own, minlength=n), 1))
-    w, past, b = np.zeros((len(used), k)), np.full((len(used), k), 1e-3), np.full(k, -2.0)
+    w, past, b = np.zeros((len(used), k), np.float32), np.full((len(used), k), 1e-3, np.float32), np.full(k, -2.0)
     if start is not None:
-        w, b = start[used].astype(float), start[BUCKETS].astype(float)
+        w, b = start[used].copy(), start[BUCKETS].astype(float)
+    y = y.astype(np.float32)
     order = np.argsort(own, kind="stable")
     at, own = at[order], own[order]
     starts = np.searchsorted(own, np.arange(n))
     full = np.diff(np.append(starts, len(own))) > 0
+    turned = np.argsort(at, kind="stable")
+    by_word, word_starts = own[turned], np.searchsorted(at[turned], np.arange(len(used)))
     for _ in range(rounds):
-        z = np.zeros((n, k))
+        z = np.zeros((n, k), np.float32)
         z[full] = np.add.reduceat(w[at], starts[full], axis=0) / length[full, None]
         err = (1 / (1 + np.exp(-(z + b))) - y) * weight[:, None] / weight.sum() * 100
         back = err / length[:, None]
-        grad = np.stack([np.bincount(at, back[own, j], len(used)) for j in range(k)], axis=1) + 2e-4 * w
+        grad = np.add.reduceat(back.astype(np.float32)[by_word], word_starts, axis=0) + 2e-4 * w
         past += grad**2
         w -= 0.5 * grad / np.sqrt(past)
         b -= 0.05 * err.sum(0)
