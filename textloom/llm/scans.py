@@ -119,7 +119,7 @@ def _alike(a: str, b: str) -> bool:
 def is_page_number(line: str) -> bool:
     """Whether a line has only a page number: digits in any script, misread or not, roman, with a word for page, of how many, in brackets or dashes."""
     s = "".join(c for c in unicodedata.normalize("NFKD", line.strip()) if not unicodedata.combining(c))
-    if not s or len(s) > 24 or re.fullmatch(r"\(?\d{4}\)?[.,;:]?|\(?\d+\)[.,;:]", s):
+    if not s or len(s) > 24 or s[-1] in ".,;:" or re.fullmatch(r"\(?\d{4}\)?[.,;:]?|\(?\d+\)[.,;:]", s):
         return False
     if s.isalpha() and s.islower() is False and len(s) > 1 and not _ROMAN.match(s):
         return False
