@@ -132,7 +132,7 @@ def encode_blocks(base: DataFrame, path: str, encoder: Encoder, signature: dict)
 
 def _state(spark: SparkSession, path: str) -> dict | None:
     try:
-        return json.loads(spark.read.option("wholetext", "true").text(f"{path}/state").first()[0])
+        return json.loads(spark.read.text(f"{path}/state", wholetext=True).first()[0])
     except Exception:  # no state, or one that can't be read: start anew
         return None
 

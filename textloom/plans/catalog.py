@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import jsonx, names, text, vectors
-from ..operators import checks, chunker, corpus, search, vectorbase
+from ..operators import checks, chunker, corpus, reports, search, vectorbase
 from ..sources import lines
 from . import pipeline
 
@@ -547,3 +547,63 @@ def event_windows(spark, d):
     from ..streaming.ingest import windowed_status
 
     return windowed_status(t(spark, d, "events")).withColumn("suma", F.round("suma", 4))
+
+
+# --- diagnoses --------------------------------------------------------------------------------------------------------
+
+_DIAG = rf"""WITH a AS (SELECT doc_id, lower(formato) AS f, coalesce(texto, '') AS x FROM (SELECT DISTINCT doc_id, formato, texto FROM mini_corpus)),
+b AS (SELECT doc_id, f, length(x) AS n, length(regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g')) AS s, CASE WHEN x = '' THEN 0 ELSE len(regexp_extract_all(x, '\p{{L}}')) / length(x) END AS r FROM a),
+c AS (SELECT doc_id, CASE f WHEN 'json' THEN 'JSON' WHEN 'pdf' THEN 'PDF' WHEN 'html' THEN 'HTML' WHEN 'imagen' THEN 'IMAGEN' WHEN 'xlsx' THEN 'EXCEL' WHEN 'csv' THEN 'EXCEL' WHEN 'txt' THEN 'TXT' ELSE 'DESCONOCIDO' END AS categoria,
+  CASE WHEN s = 0 THEN 'sin texto' WHEN s < 200 THEN 'texto corto' WHEN f IN ('pdf', 'imagen') AND r < 0.40 THEN 'posible OCR deficiente' ELSE 'texto válido' END AS motivo, n::int AS caracteres FROM b)"""
+
+
+@query(_DIAG + " SELECT doc_id, categoria, motivo, motivo = 'texto válido' AS valido, caracteres FROM c")
+def corpus_diagnosis(spark, d):
+    return reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct()).drop("estrategia")
+
+
+@query(_DIAG + " SELECT categoria, count(*) AS n, count(*) FILTER (WHERE motivo = 'texto válido') AS validos FROM c GROUP BY categoria")
+def diagnosis_by_category(spark, d):
+    x = reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct())
+    return x.groupBy("categoria").agg(F.count("*").alias("n"), F.count_if("valido").alias("validos"))
+
+
+@query(_DIAG + " SELECT count(*) AS total, count(*) FILTER (WHERE motivo = 'texto válido') AS validos, count(*) FILTER (WHERE categoria = 'PDF') AS pdf, count(*) FILTER (WHERE categoria = 'JSON') AS json, count(*) FILTER (WHERE contains(lower(motivo), 'ocr')) AS pdf_ocr, count(*) FILTER (WHERE categoria = 'PDF' AND caracteres = 0) AS pdf_vacios FROM c")
+def diagnosis_statistics(spark, d):
+    x = reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct())
+    return reports.diagnosis_statistics(x).select("total", "validos", "pdf", "json", "pdf_ocr", "pdf_vacios")
+
+
+@query("SELECT k AS clave, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY k ORDER BY n DESC, k LIMIT 20")
+def json_top_keys(spark, d):
+    return reports.key_frequency(t(spark, d, "events"), "props")
+
+
+@query("SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS largo FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id IN (SELECT round(i * (n - 1) / 99)::bigint FROM range(100) r(i))")
+def vector_norm_sample(spark, d):
+    """A hundred evenly spaced vectors' lengths (a sample is what it reports)."""
+    v = t(spark, d, "embeddings")
+    n = v.count()
+    at = sorted({int(i * (n - 1) / 99 + 0.5) for i in range(100)}) if n else [-1]
+    return v.filter(F.col("vec_id").isin(at)).select("vec_id", F.round(vectors.norm(F.col("embedding")), 6).alias("largo"))
+
+
+@query("SELECT n_regionkey, string_agg('n_name: ' || n_name || ' | n_nationkey: ' || n_nationkey, chr(10) ORDER BY n_nationkey) AS texto FROM nation GROUP BY n_regionkey")
+def table_as_text(spark, d):
+    """The rows of a table as the text of one document per group."""
+    x = t(spark, d, "nation").withColumn("linea", lines.pairs_text(["n_name", "n_nationkey"]))
+    rows = x.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "linea"))).alias("r"))
+    return rows.select("n_regionkey", F.array_join(F.col("r.linea"), "\n").alias("texto"))
+
+
+@query("SELECT DISTINCT c.doc_id FROM chunks c JOIN (SELECT DISTINCT doc_id FROM mini_corpus WHERE lower(formato) = 'txt') m USING (doc_id)")
+def documents_already_indexed(spark, d):
+    """The semi-join that guards an extension: documents of a batch that the base has already."""
+    new = t(spark, d, "mini_corpus").filter("lower(formato) = 'txt'").select("doc_id")
+    return t(spark, d, "chunks").select("doc_id").distinct().join(new, "doc_id", "left_semi")
+
+
+@query("SELECT DISTINCT chunk_id FROM chunks WHERE doc_id NOT IN (SELECT doc_id FROM mini_corpus WHERE doc_id IS NOT NULL AND lower(formato) = 'json')")
+def chunks_without_document(spark, d):
+    """The anti-join that guards an encoding again: chunks whose document isn't in a batch."""
+    return t(spark, d, "chunks").select("doc_id", "chunk_id").distinct().join(t(spark, d, "mini_corpus").filter("lower(formato) = 'json'").select("doc_id"), "doc_id", "left_anti").select("chunk_id")
