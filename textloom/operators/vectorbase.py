@@ -125,7 +125,7 @@ def encode_blocks(base: DataFrame, path: str, encoder: Encoder, signature: dict)
         _write_state(spark, path, signature)
     todo = base.withColumn("bloque", block_of())
     if done is not None:
-        todo = todo.join(F.broadcast(done), "bloque", "left_anti")
+        todo = todo.join(done, "bloque", "left_anti")
     encode(todo, "texto", encoder).write.mode("append").partitionBy("bloque").parquet(f"{path}/vectors")
     return spark.read.parquet(f"{path}/vectors")
 

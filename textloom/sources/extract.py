@@ -8,7 +8,6 @@ import json
 import struct
 import unicodedata
 import zipfile
-from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonx, names
+from ..functions.pages import drop_repeated
 
 Pages = list[str]
 Extractor = Callable[[bytes], Pages]
@@ -194,14 +194,6 @@ def _varints(data: bytes) -> Iterator[bytes]:
             start = k + 1
 
 
-def drop_repeated(pages: Pages, share: float = 0.6, least: int = 3) -> Pages:
-    """The pages without the lines that stand on at least `share` of them; as they are if they are fewer than `least`."""
-    if len(pages) < least:
-        return pages
-    on = Counter(line for p in pages for line in {x.strip() for x in p.split("\n")} if line)
-    return ["\n".join(x for x in p.split("\n") if on[x.strip()] < share * len(pages)) for p in pages]
-
-
 REGISTRY: dict[str, Extractor] = {"html": html_pages, "json": json_pages, "csv": csv_pages, "xlsx": xlsx_pages, "texto": text_pages, "pbf": tile_pages}
 
 
