@@ -188,7 +188,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield emit([(now[0], join_pieces(enc, held))], out_schema)
 
     coded = map_arrow(map_arrow(filled.select("text"), texts, _TEXTS).repartition("h").sortWithinPartitions("h"), code, _CODED)
-    joined = map_arrow(filled, refs, refs_schema).join(coded, "h").select("doc_id", "whole", "seq", "ids", "head", "tail")
+    joined = map_arrow(filled, refs, refs_schema).distinct().join(coded, "h").select("doc_id", "whole", "seq", "ids", "head", "tail")
     whole = map_arrow(joined.repartition("doc_id", "whole").sortWithinPartitions("doc_id", "whole", "seq"), join, out_schema)
     empty = docs.filter(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id").distinct().select("doc_id", F.array().cast("array<int>").alias("ids"))
     return whole.unionByName(empty)
