@@ -19,6 +19,9 @@ def test_commands(spark, tmp_path, capsys):
     assert main(["index", "--chunks", at("chunks"), "--out", at("base")]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["num_vectores"] == 3
     assert main(["verify", "--base", at("base")]) == 0
+    assert main(["search", "--base", at("base"), "--query", "frase", "-k", "2"]) == 0
+    assert [json.loads(x)["rank"] for x in capsys.readouterr().out.strip().splitlines()[-2:]] == [1, 2]
+    assert main(["reencode", "--base", at("base"), "--chunks", at("chunks"), "--out", at("again")]) == 0 and spark.read.parquet(at("again")).count() == 3
     (tmp_path / "q.jsonl").write_text('{"query_id": "q1", "pregunta": "frase"}\n')
     assert main(["answer", "--base", at("base"), "--queries", at("q.jsonl"), "--out", at("res")]) == 0
     res = json.loads(open(glob.glob(at("res") + "/*.json")[0]).readline())

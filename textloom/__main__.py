@@ -8,7 +8,8 @@ import sys
 
 from pyspark.sql import functions as F
 
-from .operators import chunker, corpus, reports, vectorbase
+from .functions import names
+from .operators import chunker, corpus, reports, search, vectorbase
 from .plans import pipeline
 from .session import build, ship
 from .sources import lines
@@ -30,6 +31,8 @@ def parser() -> argparse.ArgumentParser:
     command("chunk", ("--documents", need), ("--out", need), ("--errors", {}), ("--warnings", {}), ("--max-tokens", {"type": int, "default": 450}), ("--max-words", {"type": int, "default": 250}), ("--overlap-sentences", {"type": int, "default": 1}), ("--on-oversize", {"choices": ("fail", "skip-document"), "default": "fail"}))
     command("index", ("--chunks", need), ("--out", need), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}))
     command("extend", ("--base", need), ("--chunks", need), ("--out", need), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}))
+    command("reencode", ("--base", need), ("--chunks", need), ("--out", need), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}))
+    command("search", ("--base", need), ("--query", need), ("-k", {"type": int, "default": 10}), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}))
     command("verify", ("--base", need))
     command("answer", ("--base", need), ("--queries", need), ("--out", need), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}), ("--first-k", {"type": int, "default": 60}), ("--within-documents", {"action": "store_true"}))
     command("ingest", ("--corpus", need), ("--log", need), ("--checkpoint", need))
@@ -62,6 +65,17 @@ def run(a: argparse.Namespace) -> None:
         base = vectorbase.build(read(a.chunks), encoder, a.model) if a.command == "index" else vectorbase.extend(read(a.base), read(a.chunks), encoder, a.model)
         base.write.mode("errorifexists").parquet(a.out)
         print(json.dumps(vectorbase.manifest(read(a.out), a.model, a.dim), ensure_ascii=False))
+    elif a.command == "reencode":
+        encoder = vectorbase.make_encoder(a.model, a.dim)
+        new = vectorbase.encode(read(a.chunks).select("chunk_id", "texto"), "texto", encoder, names.prefixes_for(a.model)[1])
+        vectorbase.replace_vectors(read(a.base), new).write.mode("errorifexists").parquet(a.out)
+    elif a.command == "search":
+        base, encoder = read(a.base), vectorbase.make_encoder(a.model, a.dim)
+        q = [float(x) for x in encoder([names.prefixes_for(a.model)[0] + a.query])[0]]
+        hits = search.knn_one(base.select(F.col("ordinal").alias("vec_id"), "embedding"), q, a.k)
+        rows = hits.join(base.select(F.col("ordinal").alias("vec_id"), "doc_id", "chunk_id", "texto"), "vec_id").orderBy(F.desc("score"), "vec_id").collect()
+        for rank, r in enumerate(rows, 1):
+            print(json.dumps({"rank": rank, "score": r["score"], "doc_id": r["doc_id"], "chunk_id": r["chunk_id"], "texto": r["texto"]}, ensure_ascii=False))
     elif a.command == "verify":
         base = read(a.base)
         vectorbase.check(base)

@@ -7,6 +7,7 @@ import html
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import names, text
 from . import corpus
 
 #: A report in Markdown or HTML lists so many records; JSON and CSV have all.
@@ -79,3 +80,11 @@ def image_status(width: F.Column, height: F.Column, brightness: F.Column, spread
 def key_frequency(docs: DataFrame, json_col: str, most: int = 20) -> DataFrame:
     """clave, n: the most frequent keys of JSON objects (a report)."""
     return docs.select(F.explode(F.json_object_keys(json_col)).alias("clave")).groupBy("clave").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "clave").limit(most)
+
+
+def validate_extraction(files: DataFrame, least: int = 200) -> DataFrame:
+    """path, formato, valido, caracteres, motivo of files (path, texto): manifests and short texts aren't valid."""
+    clean = text.clean_text(F.coalesce(F.col("texto"), F.lit("")))
+    x = files.select("path", names.suffix(F.col("path")).alias("formato"), names.is_manifest(F.col("path")).alias("_m"), F.length(clean).alias("caracteres"))
+    why = F.when(F.col("_m"), "manifiesto").when(F.col("caracteres") == 0, "sin texto").when(F.col("caracteres") < least, "texto corto").otherwise("texto válido")
+    return x.select("path", "formato", why.alias("motivo"), "caracteres").withColumn("valido", F.col("motivo") == "texto válido")

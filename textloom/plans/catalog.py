@@ -607,3 +607,23 @@ def documents_already_indexed(spark, d):
 def chunks_without_document(spark, d):
     """The anti-join that guards an encoding again: chunks whose document isn't in a batch."""
     return t(spark, d, "chunks").select("doc_id", "chunk_id").distinct().join(t(spark, d, "mini_corpus").filter("lower(formato) = 'json'").select("doc_id"), "doc_id", "left_anti").select("chunk_id")
+
+
+@query(rf"""WITH f AS (SELECT DISTINCT fuente || '/' || doc_id || '.' || lower(formato) AS path, coalesce(texto, '') AS texto FROM mini_corpus WHERE fuente IS NOT NULL AND formato IS NOT NULL), c AS (SELECT path, length({_CLEAN})::int AS n FROM f),
+m AS (SELECT path, n, lower(regexp_extract(path, '(\.[^./\\]+)$', 1)) AS formato, CASE WHEN regexp_matches(regexp_replace(regexp_extract(path, '([^/\\]+)$', 1), '\.[^.]*$', ''), '(?i)(catalog|registro|tiles-index)') THEN 'manifiesto' WHEN n = 0 THEN 'sin texto' WHEN n < 200 THEN 'texto corto' ELSE 'texto válido' END AS motivo FROM c)
+SELECT path, formato, motivo, n AS caracteres, motivo = 'texto válido' AS valido FROM m""")
+def extraction_validation(spark, d):
+    files = t(spark, d, "mini_corpus").filter("fuente is not null and formato is not null").select(F.concat("fuente", F.lit("/"), "doc_id", F.lit("."), F.lower("formato")).alias("path"), F.coalesce("texto", F.lit("")).alias("texto")).distinct()
+    return reports.validate_extraction(files)
+
+
+@query("SELECT doc_id, CASE fenomeno WHEN 1 THEN 'body_paragraphs,title' WHEN 2 THEN 'headline,pdf_url' ELSE 'resumen,titulo' END AS claves, CASE WHEN fenomeno = 1 THEN 1 ELSE 0 END AS listas, CASE WHEN fenomeno = 2 THEN 'https://x.org/a.pdf' END AS url FROM (SELECT DISTINCT doc_id, fenomeno FROM mini_corpus WHERE lower(formato) = 'json' AND texto IS NOT NULL)")
+def json_unknown_analysis(spark, d):
+    x = _articles(spark, d).select("doc_id", jsonx.unknown(F.col("j")).alias("u"))
+    return x.select("doc_id", F.array_join("u.keys", ",").alias("claves"), F.size("u.lists").alias("listas"), F.try_element_at("u.urls", F.lit(1)).alias("url"))
+
+
+@query("SELECT status, pages_with_images > 0 AS imagenes, count(*) AS n, sum(pages)::bigint AS paginas, sum(pages_with_text)::bigint AS con_texto, sum(characters)::bigint AS caracteres FROM checkpoint_pdf GROUP BY ALL")
+def pdf_page_totals(spark, d):
+    x = t(spark, d, "checkpoint_pdf").withColumn("imagenes", F.col("pages_with_images") > 0)
+    return x.groupBy("status", "imagenes").agg(F.count("*").alias("n"), F.sum("pages").alias("paginas"), F.sum("pages_with_text").alias("con_texto"), F.sum("characters").alias("caracteres"))
