@@ -221,10 +221,10 @@ def decode(stream: str, lex: Lexicon) -> list[tuple[str, int, int]]:
             spaces = piece.count(" ")
             glued = i > 0 and stream[i - 1] != " "
             if word in lex.counts:
-                price = lex.cost(word) + 6 * spaces + (7 if glued else 0)
+                price = lex.cost(word) + 6 * spaces + (15 if glued else 0)
             elif j == n or stream[j] == " ":
                 fix = lex.correct(word) if spaces == 0 else None
-                price = lex.cost(fix[0]) + 4 * fix[1] if fix else 14 + 1.5 * len(word) + 6 * spaces + (7 if glued else 0)
+                price = lex.cost(fix[0]) + 4 * fix[1] if fix else 14 + 1.5 * len(word) + 6 * spaces + (15 if glued else 0)
                 word = fix[0] if fix else word
             else:
                 continue
@@ -248,13 +248,19 @@ def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
     title, name = canon(_SIDE.sub(lambda m: next(g for g in (m.group(2), m.group(3), m.group(5), m.group(8)) if g), filled[0].text)), canon(source_name(source))
     for x in filled[1:]:
         x.kind = header_kind(x.raw, title, name)
-    if filled[0] and is_page_number(filled[0].text):
+    if is_page_number(filled[0].text):
         filled[0].kind = "pagina"
+    # without a page number anywhere there are no pages; what repeats the title is text
+    if not any(x.kind == "pagina" or x.kind and _SIDE.match(x.text) for x in filled):
+        for x in filled:
+            x.kind = None
     body = [x for x in filled if x.kind is None]
     for x in filled:
         if x.kind:
             x.classes = {x.kind}
-    joined: set[tuple[int, int]] = set()
+    # text of which most words are unknown is no text that was misread here and there
+    words = [w for x in body for w in _WORD.findall(x.text.lower())]
+    readable = 2 * sum(w in lex.counts for w in words) >= len(words)
     for k, x in enumerate(body[:-1]):
         if x.text[-1] not in HYPHENS or not x.tokens:
             continue
@@ -270,7 +276,7 @@ def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
                 continue
             last = re.split(r"[-‐'’]", left)[-1]
             low = (last + right).lower()
-            fix = lex.correct(low)
+            fix = lex.correct(low) if readable else None
             if fix is None and x.text[-1] in _SOFT:
                 fix = (low, 0)
             if fix is None or x.text[-1] not in _SOFT and "-" in fix[0]:
@@ -284,9 +290,8 @@ def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
             rest = nxt.tokens[0][nxt.tokens[0].find(right) + len(right) :]
             x.tokens[-1] = head + _recover(last, fix[0]) + rest
             nxt.tokens = nxt.tokens[1:]
-            joined.add((x.number, nxt.number))
             break
-    for x in body:
+    for x in body if readable else ():
         for k, token in enumerate(x.tokens):
             if k == len(x.tokens) - 1 and "guion" in x.classes:
                 continue
