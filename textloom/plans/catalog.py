@@ -282,7 +282,10 @@ def language_guess(spark, d):
     return _corpus(spark, d).select("doc_id", text.guess_language(F.col("texto")).alias("idioma"))
 
 
-@query()
+@query(rf"""WITH s AS (SELECT doc_id, texto, regexp_replace(texto, '^{_SP}+|{_SP}+$', '', 'g') AS x FROM {_D}), p AS (SELECT *, string_split(regexp_replace(x, '([.!?]){_SP}+', '\1' || chr(1), 'g'), chr(1)) AS p FROM s),
+w AS (SELECT *, list_transform(p, lambda y: len(regexp_extract_all(y, '{_NSP}+'))) AS w FROM p), n AS (SELECT *, len(list_filter(range(1, len(w) + 1), lambda i: list_sum(w[1:i]) <= 250)) AS n FROM w),
+r AS (SELECT doc_id, CASE WHEN len(regexp_extract_all(texto, '{_NSP}+')) <= 250 THEN texto WHEN n > 0 THEN array_to_string(p[1:n], ' ') ELSE array_to_string(regexp_extract_all(x, '{_NSP}+')[1:250], ' ') END AS x FROM n)
+SELECT doc_id, len(regexp_extract_all(x, '{_NSP}+'))::int AS palabras, sha256(x) AS huella FROM r""")
 def truncate_to_sentences(spark, d):
     return _corpus(spark, d).select("doc_id", text.truncate_to_sentences(F.col("texto")).alias("x")).select("doc_id", text.word_count(F.col("x")).alias("palabras"), F.sha2("x", 256).alias("huella"))
 
