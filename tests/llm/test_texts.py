@@ -169,3 +169,12 @@ def test_areas_held_out(spark):
             right += hit[:, names.index(r.area)].sum()
             total += len(hit)
     assert right >= 0.85 * total
+
+
+def test_headers_of_source_and_title():
+    title, source = scans.canon("Título largo del valle"), scans.canon("Revista Del Valle")
+    for line in ("TÍTULO LARGO DEL VALLE", "12    Título l@rgo del valle", "Revista Del Valle · Título largo del valle", "Título lar…", "REVISTA DEL VALLE    7"):
+        assert scans.header_kind(line, title, source) == "encabezado", line
+    for line in ("Título largo del mar", "El título largo del valle fue otro en aquel año", "", "Revista"):
+        assert scans.header_kind(line, title, source) is None, line
+    assert scans.is_page_number("- lS -") and not scans.is_page_number("Sol") and not scans.is_page_number("lO")

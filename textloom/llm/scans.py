@@ -38,7 +38,7 @@ _SOFT = "¬\xad"
 _WORD = re.compile(r"[^\W\d_]+")
 _STRIP = ".,;:!?()[]«»“”\"'’‘…„¿¡–—•*%<>/"
 _CODE = re.compile(r"[A-Z]l?[-‐]?l?\d[\dl]*(?:-[A-Z])?$|.*[._/\\].*\w$|.*\d[.,]\d.*$|[-+]?[\d.,:/%-]+[a-zº°]{0,3}$", re.S)
-_NUMBER = r"(?:\d[\dSsOolIiBZzgq|]{0,4}|[SsOolIiBZzgq|]\d[\dSsOolI]{0,3}|[ivxlcIVXLC]{1,7})"
+_NUMBER = r"(?:[lIOoSZB]{1,3}(?![^\W_])|\d[\dSsOolIiBZzgq|]{0,4}|[SsOolIiBZzgq|]\d[\dSsOolI]{0,3}|[ivxlcIVXLC]{1,7})"
 _PLACE = "p|pp|pg|pag|pagina|page|seite|s|hoja|folha|folio|feuille|blatt|no|n|num|стр|страница"
 _PAGE = re.compile(rf"[\s\-–—_\[(|·*~.<«]*(?:(?:{_PLACE})\.?\s*)?({_NUMBER})(?:\s*(?:/|of|de|von|di|do|da|sur|из|\|)\s*({_NUMBER}))?[\s\-–—_\])|·*~.>»]*$", re.I)
 _ROMAN = re.compile(r"(?=.)m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})$", re.I)
@@ -126,7 +126,7 @@ def is_page_number(line: str) -> bool:
     for t in (s, s.replace("@", "a").replace("3 ", "e ").replace("€", "e"), re.sub(r"(?<=[a-z])9|9(?=[a-z])", "g", s.replace("@", "a")), re.sub(r"\b0(?=f\b)", "o", s.replace("@", "a")), re.sub(r"(?i)^p(?:a|@)[g9q][ce]", "Page", s), re.sub(r"(?i)^p(?:a|@)[g9q](?:[il1][nr]|iri)[a@o]", "Pagina", s)):
         if m := _PAGE.match(t):
             numbers = [x for x in m.groups() if x]
-            if all(any(c.isdigit() for c in x) or _ROMAN.match(x) for x in numbers) and not re.search(r"\d[.,]\d|%", s):
+            if all(any(c.isdigit() for c in x) or _ROMAN.match(x) or x != s and re.fullmatch("[lIOoSZB]{1,3}", x) for x in numbers) and not re.search(r"\d[.,]\d|%", s):
                 return True
     return False
 
@@ -148,11 +148,12 @@ def header_kind(line: str, title: str, source: str) -> str | None:
         return "pagina"
     m = _SIDE.match(s)
     core = next((g for g in (m.group(2), m.group(3), m.group(5), m.group(8)) if g), s) if m else s
-    if len(core) > 160:
+    if len(core) > 200:
         return None
     a = canon(core)
-    if title and (_alike(a, title) or _title_start(core, title)) or source and (_alike(a, source) or _title_start(core, source)):
-        return "encabezado"
+    for whole in (title, source, source + title, title + source):
+        if whole and (_alike(a, whole) or _title_start(core, whole)):
+            return "encabezado"
     return None
 
 
