@@ -196,7 +196,7 @@ def ordinal_violations(spark, d):
 @query()
 def text_search_end_to_end(spark, d):
     """The questions answered over the corpus's chunks: three documents and ten whole-sentence fragments each."""
-    base = vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16))
+    base = vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16)).persist()  # a stored table in earnest
     return pipeline.answer(base, t(spark, d, "consultas"), vectorbase.HashEncoder(16))
 
 
@@ -630,3 +630,16 @@ def json_unknown_analysis(spark, d):
 def pdf_page_totals(spark, d):
     x = t(spark, d, "checkpoint_pdf").withColumn("imagenes", F.col("pages_with_images") > 0)
     return x.groupBy("status", "imagenes").agg(F.count("*").alias("n"), F.sum("pages").alias("paginas"), F.sum("pages_with_text").alias("con_texto"), F.sum("characters").alias("caracteres"))
+
+
+@query(ORACLE["event_windows"])
+def event_windows_stream(spark, d):
+    """The same counts by a stream that takes what there is and ends."""
+    import uuid
+
+    from ..streaming.ingest import windowed_status
+
+    name = "ventanas_" + uuid.uuid4().hex
+    stream = spark.readStream.schema(t(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    windowed_status(stream).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).withColumn("suma", F.round("suma", 4))

@@ -52,4 +52,8 @@ def _log(spark: SparkSession, log: str) -> DataFrame | None:
 
 def windowed_status(events: DataFrame, time: str = "ts", key: str = "event_type", window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts and sums by window and key, with a bound for late rows; for a stream or a table."""
-    return events.withWatermark(time, late).groupBy(F.window(time, window), F.col(key).alias("clave")).agg(F.count("*").alias("n"), F.sum("value").alias("suma")).select(F.col("window.start").alias("inicio"), "clave", "n", "suma")
+    zoneless = events.schema[time].dataType.typeName() == "timestamp_ntz"
+    if zoneless:  # event time must be a timestamp with a zone
+        events = events.withColumn(time, F.col(time).cast("timestamp"))
+    kind = "timestamp_ntz" if zoneless else "timestamp"
+    return events.withWatermark(time, late).groupBy(F.window(time, window), F.col(key).alias("clave")).agg(F.count("*").alias("n"), F.sum("value").alias("suma")).select(F.col("window.start").cast(kind).alias("inicio"), "clave", "n", "suma")
