@@ -178,3 +178,10 @@ def test_headers_of_source_and_title():
     for line in ("Título largo del mar", "El título largo del valle fue otro en aquel año", "", "Revista"):
         assert scans.header_kind(line, title, source) is None, line
     assert scans.is_page_number("- lS -") and not scans.is_page_number("Sol") and not scans.is_page_number("lO")
+
+
+def test_words_parted_and_run_together():
+    text = "Título largo\n\nEl río volvió a cre cer en la prima\nvera y los pueblos del valleesperaron en la noche.\n\n1"
+    lines = scans.analyse(text, None, LEX)
+    assert {x.number: x.classes for x in lines if x.classes} == {3: {"ocr"}, 4: {"ocr"}, 6: {"pagina"}}
+    assert scans.paragraphs_of(lines)[1] == "El río volvió a crecer en la primavera y los pueblos del valle esperaron en la noche."

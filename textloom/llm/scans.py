@@ -240,6 +240,30 @@ def decode(stream: str, lex: Lexicon) -> list[tuple[str, int, int]]:
     return out[::-1]
 
 
+def _resolve(x: Line, k: int, lex: Lexicon) -> None:
+    """Decodes the stretch of a line around an unknown word with its neighbours: parts of one word are put together, words that ran together are parted."""
+    before, w, after = _core(x.tokens[k])
+    if len(w) >= 8:
+        words = decode(w, lex)
+        if len(words) > 1 and all(v in lex.counts and len(v) > 2 for v, _, _ in words):
+            x.tokens[k] = before + " ".join(v for v, _, _ in words) + after
+            x.classes.add("ocr")
+            return
+    for a in (k - 1, k):
+        if a < 0 or a + 1 >= len(x.tokens):
+            continue
+        (left, first, mid), (mid2, second, right) = _core(x.tokens[a]), _core(x.tokens[a + 1])
+        if mid or mid2 or right[:1] in HYPHENS and right or not (first.isalpha() and second.isalpha() and second.islower()):
+            continue
+        if any(v in lex.counts and len(v) < 3 for v in (first.lower(), second)):
+            continue  # a short word of its own, such as an article, is no part of another
+        words = decode(f"{first.lower()} {second}", lex)
+        if len(words) == 1 and words[0][0] in lex.counts and len(words[0][0]) > 3:
+            x.tokens[a : a + 2] = [left + _recover(first, words[0][0]) + right, ""]
+            x.classes.add("ocr")
+            return
+
+
 def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
     """The lines of a document with their kinds and classes; the tokens of noisy lines are repaired, the words parted by line ends put together on the first line."""
     lines = [Line(k, x) for k, x in enumerate(unicodedata.normalize("NFC", text).split("\n"), 1)]
@@ -303,12 +327,16 @@ def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
                 x.tokens[k] = before + _recover(w, new) + after
                 x.classes.add("ocr")
                 continue
-            low = w.lower()
-            if w.islower() and w.isalpha() and len(w) >= 8 and not lex.whole(low):
-                words = decode(low, lex)
-                if len(words) > 1 and all(v in lex.counts and len(v) > 2 for v, _, _ in words):
-                    x.tokens[k] = before + " ".join(v for v, _, _ in words) + after
-                    x.classes.add("ocr")
+            if w.islower() and w.isalpha() and not lex.whole(w):
+                _resolve(x, k, lex)
+    # the stream goes on over the ends of lines: the last word of one with the first of the next
+    for x, nxt in zip(body, body[1:]) if readable else ():
+        if x.tokens and nxt.tokens and x.text[-1:].isalpha() and nxt.tokens[0][:1].islower():
+            a, (_, b, after) = x.tokens[-1], _core(nxt.tokens[0])
+            if a.isalpha() and b.isalpha() and (a.lower() not in lex.counts or b not in lex.counts) and not any(v in lex.counts and len(v) < 3 for v in (a.lower(), b)):
+                words = decode(f"{a.lower()} {b}", lex)
+                if len(words) == 1 and words[0][0] in lex.counts and len(words[0][0]) > 5:
+                    x.tokens[-1], nxt.tokens = _recover(a, words[0][0]) + after, nxt.tokens[1:]
     return lines
 
 
@@ -356,7 +384,7 @@ def paragraphs_of(lines: list[Line]) -> list[str]:
         starts.append(chain[0])
         chain = chain[1]
     starts.reverse()
-    return [" ".join(t for x, _, _ in body[a:b] for t in x.tokens) for a, b in zip(starts, [*starts[1:], len(body)])]
+    return [" ".join(t for x, _, _ in body[a:b] for t in x.tokens if t) for a, b in zip(starts, [*starts[1:], len(body)])]
 
 
 _COUNTS = pa.schema([("palabra", pa.string()), ("n", pa.int64())])
