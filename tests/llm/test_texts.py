@@ -128,6 +128,18 @@ def test_page_body(spark):
     assert body.content_lines("", model) == [] and all(0 <= p <= 1 for _, _, p in body.content_lines(page, model))
 
 
+def test_lines_of_pages_are_counted_over_all_documents(spark, monkeypatch):
+    notice, long = "Portal de datos del valle", "Una línea larga del sitio " * 8
+    rows = [(f"d{k}", "HTML", f"Título {chr(97 + k % 26) * (k + 1)}\n{notice if k % 10 == 0 else 'x'}\n{long if k % 50 == 0 else ''}") for k in range(400)]
+    df = spark.createDataFrame([*rows, *rows[:11]], "doc_id string, formato string, texto string")
+    often = body.learn(df, most=20).often
+    assert often[body.key(notice)] == 40 and often[body.key(long)] == 8 and often[body.key("x")] == 360
+    monkeypatch.setattr(body, "PER", 100)  # a rate, whatever the size of the corpus
+    often = body.learn(df, most=20).often
+    assert often[body.key(notice)] == 10 and often[body.key(long)] == 2
+    assert body.train([t for _, _, t in rows]).often == often
+
+
 LEX = scans.Lexicon({w: 100 for w in "el río volvió a crecer en la primavera y los pueblos del valle esperaron noche título largo fin texto puente viejo".split()})
 
 

@@ -6,7 +6,8 @@ they follow, and lines. Every node is content or not. A line's own features and
 parent and child decide, by messages passed up to the root and down again (sum-product), which gives each line's
 marginal of being content. Weights and potentials are trained on labelled pages: a bounded sample of the corpus,
 labelled by what is sure of them, namely prose, cue words, lines that many pages have, and the order of headings,
-prose and lists.
+prose and lists. How many pages have a line is counted over all of them, and held as a rate: in a large corpus
+lines of articles are alike by chance in a few pages.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import emit, format_of, map_arrow, sample_rows, spread
 from .shape import MARK
 
-SAMPLE, OFTEN, ROUNDS = 2500, 4, 200
+SAMPLE, ROUNDS = 2500, 200
+#: A line is frequent in OFTEN of PER pages; of fewer pages than PER, in OFTEN of them. Lines under LEAST of PER are not kept, so no more are than 1,250 times the lines of a page.
+OFTEN, LEAST, PER = 4, 2, 2500
 #: Openings of words and phrases of notices, menus, share lines, licences, bylines, editorial lines, advertisements and links.
 CUES = (
     "cookie", "rastreador", "tracker", "traceur", "balizas", "beacons", "balises", "identificadores desde", "preferencias de", "preferências de", "preferences",
@@ -119,9 +122,9 @@ _THROUGH = ("cue", "blank", "menu", "header", "short")
 class Page:
     """The lines of a page with their shapes, zones, parents and features."""
 
-    def __init__(self, text: str, often: dict[int, int]):
+    def __init__(self, text: str, often: dict[int, float]):
         self.lines = text.split("\n")
-        self.often = [often.get(key(x), 0) if 0 < len(x.strip()) < 140 else 0 for x in self.lines]
+        self.often = [often.get(key(x), 0) if x.strip() else 0 for x in self.lines]
         self.shapes = [shape(x, n >= OFTEN) for x, n in zip(self.lines, self.often)]
         self.seen = [k for k, s in enumerate(self.shapes) if s != "blank"]
         prose = [k for k, s in enumerate(self.shapes) if s == "prose"]
@@ -202,7 +205,7 @@ class Page:
         s, zone, line = self.shapes[k], self.zone(k), " ".join(self.lines[k].split())
         up, down = self._next(k, -1), self._next(k, 1)
         a, b = (self.shapes[up] if up is not None else "none"), (self.shapes[down] if down is not None else "none")
-        many = "0" if self.often[k] < 2 else "1" if self.often[k] < OFTEN else "2" if self.often[k] < 20 else "3"
+        many = "0" if self.often[k] < LEAST else "1" if self.often[k] < OFTEN else "2" if self.often[k] < 20 else "3"
         size = str(min(len(line) // 20, 6))
         return ["bias", f"s:{s}", f"s:{s} z:{zone}", f"s:{s} b:{b} z:{zone}", f"s:{s} a:{a} z:{zone}", f"s:{s} o:{many}", f"l:{size} s:{s}", f"first:{k == self.begin}", f"up:{line.isupper()}", f"end:{MARK.search(line[-2:]) is not None}"]
 
@@ -226,7 +229,7 @@ _FLAT = ((0.5, 0.5), (0.5, 0.5))
 
 
 class Model:
-    def __init__(self, often: dict[int, int], weights: dict[str, float], edges: dict[str, tuple]):
+    def __init__(self, often: dict[int, float], weights: dict[str, float], edges: dict[str, tuple]):
         self.often, self.weights, self.edges = often, weights, edges
 
     def marginals(self, page: Page) -> list[float]:
@@ -264,12 +267,15 @@ class Model:
         return [b for _, b in belief]
 
 
-def train(texts: list[str]) -> Model:
-    """The model from sampled pages, labelled by what is sure of them."""
-    count: Counter = Counter()
-    for t in texts:
-        count.update({key(x) for x in t.split("\n") if 0 < len(x.strip()) < 140})
-    often = {h: n for h, n in count.items() if n >= 2}
+def keys(text: str) -> set[int]:
+    return {key(x) for x in text.split("\n") if x.strip()}
+
+
+def train(texts: list[str], often: dict[int, float] | None = None) -> Model:
+    """The model from sampled pages, labelled by what is sure of them; often: of each frequent line how many of PER pages have it, by default counted on these pages."""
+    if often is None:
+        count, share = Counter(h for t in texts for h in keys(t)), min(1.0, PER / max(1, len(texts)))
+        often = {h: n * share for h, n in count.items() if n * share >= LEAST}
     pages = [Page(t, often) for t in texts]
     index: dict[str, int] = {}
     rows, y, edges = [], [], {}
@@ -297,9 +303,27 @@ def train(texts: list[str]) -> Model:
     return Model(often, weights, {k: tuple(map(tuple, np.sqrt(v / v.sum(1, keepdims=True)).tolist())) for k, v in edges.items()})
 
 
+_LINES = pa.schema([("doc", pa.int64()), ("linea", pa.int64())])
+
+
+def frequent_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato") -> dict[int, float]:
+    """The keys of lines of all html documents, long ones too, and in how many of PER documents each stands (of fewer documents, in how many), from LEAST up. Rows that repeat a document count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(d, h) for d, t in zip(b["doc"].to_pylist(), b["texto"].to_pylist()) for h in keys(t)]
+            hashes = np.array([h for _, h in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array(hashes)], schema=_LINES)
+
+    docs = _pages(df, id_col, text_col, format_col).select(F.when(F.col("doc_id").isNull(), F.xxhash64("texto")).otherwise(F.xxhash64("doc_id")).alias("doc"), "texto")
+    share = min(1.0, PER / max(1, docs.select("doc").distinct().count()))
+    counts = map_arrow(docs, run, _LINES).distinct().groupBy("linea").agg(F.count("*").alias("n")).filter(F.col("n") * share >= LEAST)
+    return {r[0] % 2**64: r[1] * share for r in counts.collect()}
+
+
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", most: int = SAMPLE) -> Model:
     docs = df.filter((format_of(format_col) == "html") & F.col(text_col).rlike(r"\S"))
-    return train([r[0] for r in sample_rows(docs, id_col, [text_col], most)])
+    return train([r[0] for r in sample_rows(docs, id_col, [text_col], most)], frequent_lines(df, id_col, text_col, format_col))
 
 
 def content_lines(text: str, model: Model) -> list[tuple[int, bool, float]]:
