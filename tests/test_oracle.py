@@ -49,3 +49,10 @@ def test_query(spark, sf, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_boilerplate_removed_in_any_letter_case(spark, tmp_path):
+    rows = [("a", "pdf", "Pie\n\nUno\nPie\n\nPie"), ("b", "PDF", "Pie\n\nDos\nPie\n\nPie"), ("c", " Pdf ", "Tres"), ("d", "html", "Pie")]
+    spark.createDataFrame(rows, "doc_id string, formato string, texto string").write.parquet(f"{tmp_path}/mini_corpus.parquet")
+    got = {r.doc_id: r for r in catalog.queries()["boilerplate_removed"](spark, str(tmp_path)).collect()}
+    assert set(got) == {"a", "b", "c"} and got["a"].paginas == got["b"].paginas == 3

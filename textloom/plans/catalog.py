@@ -306,7 +306,7 @@ def boilerplate_lines(spark, d):
 
 @query()
 def boilerplate_removed(spark, d):
-    pages = t(spark, d, "mini_corpus").filter("formato = 'pdf' and texto is not null").select("doc_id", F.split("texto", r"\n[ \t]*\n").alias("p"))
+    pages = t(spark, d, "mini_corpus").filter("lower(trim(formato)) = 'pdf' and texto is not null").select("doc_id", F.split("texto", r"\n[ \t]*\n").alias("p"))
     return pages.select("doc_id", corpus.without_repeated_lines(F.col("p"), 0.6).alias("q")).select("doc_id", F.size("q").alias("paginas"), F.sha2(F.array_join("q", "\n\n"), 256).alias("huella"))
 
 
