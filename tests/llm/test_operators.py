@@ -51,6 +51,7 @@ OPERATORS = {
     "p2": lambda x, _: shape.not_prose(x),
     "p2_shapes": lambda x, _: shape.shapes(x, shape.learn_profiles(x)),
     "p2_stats": lambda x, _: shape.statistics(x),
+    "p2_common": lambda x, _: shape.common_shares(x, shape.common_words(x)).distinct(),
     "p3": lambda x, _: sentences.sentences(x, sentences.learn(x)),
     "p4": lambda x, _: language.mislabelled(x),
     "p4_all": lambda x, _: language.identify(x, language.learn(x)),

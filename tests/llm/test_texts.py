@@ -75,6 +75,14 @@ def test_structures():
     assert shape.divergence(shape._norm(shape.np.array([1.0, 0])), shape._norm(shape.np.array([0, 1.0]))) == pytest.approx(1)
 
 
+def test_share_of_common_words(spark):
+    rows = [("a", "txt", "es", "El río y el valle"), ("b", "TXT", "spa", "zarpa zarpa 12"), ("c", "txt", "es_CO", "zarpa roja"), ("c", "txt", "es_CO", "zarpa roja"), ("d", "txt", "zh", "河的水"), ("e", "txt", "zh", "山的石"), ("f", "pdf", None, None)]
+    df = spark.createDataFrame(rows, "doc_id string, formato string, idioma string, texto string")
+    got = {r.doc_id: (r.idioma, r.comunes) for r in shape.common_shares(df, shape.common_words(df)).collect()}
+    # zarpa stands in two documents; 12 is a word, but no common one; roja stands in one document, though in two rows
+    assert got == {"a": ("es", 0.6), "b": ("es", 0.666667), "c": ("es", 0.5), "d": ("zh", 0.333333), "e": ("zh", 0.333333), "f": (None, 0.0)}
+
+
 @pytest.fixture(scope="module")
 def splitter(spark):
     rows = table(spark, "/root/testdata/sf0.01", "mini_corpus").filter("lower(formato) = 'txt' and texto is not null").select("texto").collect()

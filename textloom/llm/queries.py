@@ -31,6 +31,12 @@ def p2_stats(spark: SparkSession, d: str) -> DataFrame:
     return shape.statistics(table(spark, d, "mini_corpus")).distinct()
 
 
+def p2_common(spark: SparkSession, d: str) -> DataFrame:
+    """The fifth statistic of a text, the share of common words; the others are p2_stats'."""
+    docs = table(spark, d, "mini_corpus")
+    return shape.common_shares(docs, shape.common_words(docs)).distinct()
+
+
 def p2_shapes(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "mini_corpus")
     return shape.shapes(docs, shape.learn_profiles(docs)).distinct()
