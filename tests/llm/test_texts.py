@@ -200,6 +200,13 @@ def test_headers_of_source_and_title():
     assert scans.is_page_number("- lS -") and not scans.is_page_number("Sol") and not scans.is_page_number("lO")
 
 
+def test_words_parted_and_misread_at_once():
+    text = "Título largo\n\nEl río en la pri rnavera y los pueblos del valleesper@ron en\nla pri ma vera y los pue-\nb los del va lle esperaron la no-\nche.\nPri ma-\nvera\n\n1"
+    lines = scans.analyse(text, None, LEX)
+    assert {x.number: x.classes for x in lines if x.classes} == {3: {"ocr"}, 4: {"ocr", "guion"}, 5: {"ocr", "guion"}, 7: {"ocr", "guion"}, 10: {"pagina"}}
+    assert " ".join(scans.paragraphs_of(lines)[1:]) == "El río en la primavera y los pueblos del valle esperaron en la primavera y los pueblos del valle esperaron la noche. Primavera"
+
+
 def test_words_parted_and_run_together():
     text = "Título largo\n\nEl río volvió a cre cer en la prima\nvera y los pueblos del valleesperaron en la noche.\n\n1"
     lines = scans.analyse(text, None, LEX)

@@ -4,13 +4,14 @@ Running headers and page numbers are found first, by their likeness to the title
 form. The rest is de-lined to a stream of characters and decoded: a Viterbi search over the places of the stream
 chooses the words of least cost, where a piece of the stream may be a known word as it stands, one with misread
 characters, one parted by a line's end with or without a hyphen or by a stray space (a merge), or several that stand
-together without a space (a split). Only stretches around unknown words need the search; the others are known words
-already. The words known are those of the other formats of the corpus, counted over all documents. Paragraph
+together without a space (a split), or all of these at once. Only stretches around unknown words need the search; the
+others are known words already, or a single word misread or cut at a line's end, which is looked up before it. The words known are those of the other formats of the corpus, counted over all documents. Paragraph
 boundaries are then chosen by dynamic programming over the lines that are left.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import math
 import re
@@ -52,6 +53,7 @@ class Lexicon:
         self.counts = counts
         self.total = max(1, sum(counts.values()))
         self._known: dict[str, tuple[str, int] | None] = {}
+        self._sorted: list[str] = []
 
     def __getstate__(self):
         return {"counts": self.counts}
@@ -86,6 +88,13 @@ class Lexicon:
         self._known[w] = found
         return found
 
+    def begins(self, w: str) -> bool:
+        """Whether a known word begins so."""
+        if not self._sorted:
+            self._sorted = sorted(self.counts)
+        k = bisect.bisect_left(self._sorted, w)
+        return k < len(self._sorted) and self._sorted[k].startswith(w)
+
     def cost(self, w: str) -> float:
         return math.log(self.total / (self.counts.get(w, 0) + 0.5))
 
@@ -202,35 +211,61 @@ def misread(w: str, lex: Lexicon) -> str | None:
     return found[0]
 
 
+#: What it costs that a word goes on over a space, a line's end, and a hyphen at a line's end.
+_GAPS = {" ": 6.0, "\n": 6.0, "\x01": 1.0}
+_BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _a, _b in CONFUSIONS:
+    _BY_FIRST.setdefault(_a[0], []).append((_a, _b))
+
+
+def _readings(letters: str, lex: Lexicon) -> Iterator[tuple[str, int, int]]:
+    """The known words that the first letters may be read as, how many letters each takes, and how many of its characters are misread, two at most: a search among the beginnings of known words."""
+    todo = [("", 0, 0)]
+    while todo:
+        word, k, fixes = todo.pop()
+        if word in lex.counts and (not fixes or len(word) > 4 and lex.counts[word] >= 5 and k >= (5 if fixes == 1 else 8)):
+            yield word, k, fixes
+        if k == len(letters):
+            continue
+        if lex.begins(word + letters[k]):
+            todo.append((word + letters[k], k + 1, fixes))
+        if fixes < 2:
+            for a, b in _BY_FIRST.get(letters[k], ()):
+                if letters.startswith(a, k) and lex.begins(word + b):
+                    todo.append((word + b, k + len(a), fixes + 1))
+
+
 def decode(stream: str, lex: Lexicon) -> list[tuple[str, int, int]]:
-    """The words of least cost that a stream of characters without known words may be read as: (word, start, end). Spaces within a word cost, as do words without a space between them and misread characters."""
+    """The words of least cost that a stream of characters may be read as: (word, start, end). Gaps (space, line's end, hyphen at a line's end) within a word cost, as do words without a gap between them and misread characters, in one search: a word may have all of these."""
     n = len(stream)
     best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
+    places = [k for k in range(n) if stream[k] not in _GAPS and stream[k] != "-"]
+    letters = "".join(stream[k] for k in places)
     for i in range(n):
         base = best[i][0]
         if base == math.inf:
             continue
-        if stream[i] == " ":
+        if stream[i] in _GAPS:
             if base < best[i + 1][0]:
                 best[i + 1] = (base, i, "")
             continue
-        for j in range(i + 1, min(n, i + 28) + 1):
-            piece = stream[i:j]
-            if piece[-1] == " " or piece.count(" ") > 1:
-                continue
-            word = piece.replace(" ", "").replace("-", "") if " " in piece or "-" in piece[:-1] else piece
-            spaces = piece.count(" ")
-            glued = i > 0 and stream[i - 1] != " "
-            if word in lex.counts:
-                price = lex.cost(word) + 6 * spaces + (15 if glued else 0)
-            elif j == n or stream[j] == " ":
-                fix = lex.correct(word) if spaces == 0 else None
-                price = lex.cost(fix[0]) + 4 * fix[1] if fix else 14 + 1.5 * len(word) + 6 * spaces + (15 if glued else 0)
-                word = fix[0] if fix else word
-            else:
-                continue
-            if base + price < best[j][0]:
-                best[j] = (base + price, i, word)
+        glued = 15 if i > 0 and stream[i - 1] not in _GAPS else 0
+        # up to the next gap: as it stands, as a word by itself that was misread, or unknown
+        j = next((k for k in range(i, n) if stream[k] in _GAPS), n)
+        word = stream[i:j]
+        fix = (word, 0) if word in lex.counts else None if glued else lex.correct(word)
+        arcs = [(j, fix[0], lex.cost(fix[0]) + 4 * fix[1]) if fix else (j, word, 14 + 1.5 * len(word))]
+        at = bisect.bisect_left(places, i)
+        if at < len(places) and places[at] == i:
+            for word, k, fixes in _readings(letters[at : at + 28], lex):
+                j = places[at + k - 1] + 1
+                gaps = [_GAPS[c] for c in stream[i:j] if c in _GAPS]
+                whole = not glued and (j == n or stream[j] in _GAPS)
+                if len(gaps) < 4 and (fixes < 2 or whole) and not (fixes and whole and not gaps):
+                    arcs.append((j, word, lex.cost(word) + 4 * fixes + sum(gaps)))
+        for j, word, price in arcs:
+            if base + price + glued < best[j][0]:
+                best[j] = (base + price + glued, i, word)
     out, k = [], n
     while k > 0:
         _, i, word = best[k]
@@ -240,28 +275,82 @@ def decode(stream: str, lex: Lexicon) -> list[tuple[str, int, int]]:
     return out[::-1]
 
 
-def _resolve(x: Line, k: int, lex: Lexicon) -> None:
-    """Decodes the stretch of a line around an unknown word with its neighbours: parts of one word are put together, words that ran together are parted."""
-    before, w, after = _core(x.tokens[k])
-    if len(w) >= 8:
-        words = decode(w, lex)
-        if len(words) > 1 and all(v in lex.counts and len(v) > 2 for v, _, _ in words):
-            x.tokens[k] = before + " ".join(v for v, _, _ in words) + after
-            x.classes.add("ocr")
-            return
-    for a in (k - 1, k):
-        if a < 0 or a + 1 >= len(x.tokens):
+def _joint(body: list[Line], lex: Lexicon) -> None:
+    """Decodes the de-lined stretch around each word that is still unknown, two words to either side, also over the ends of lines: words parted, run together, hyphenated or misread, or all of these, are put right."""
+    at = [(x, k) for x in body for k, t in enumerate(x.tokens) if t]
+    cores = [_core(x.tokens[k]) for x, k in at]
+    low = [w.lower() for _, w, _ in cores]
+
+    def gap(i: int) -> str | None:
+        """The gap between a word and the next if one word may go on over it."""
+        if i < 0 or i + 1 >= len(at):
+            return None
+        (x, k), (y, m), (_, a, after), (before, b, _) = at[i], at[i + 1], cores[i], cores[i + 1]
+        hyphen = after in tuple(HYPHENS) and x is not y
+        if before or after and not hyphen or not (a.isalpha() or a and b and not _CODE.match(a)) or not b or not b[0].islower() and not b[0] in "0123456789@†$" or x is not y and "guion" in x.classes:
+            return None
+        if any(v in lex.counts and len(v) < 3 for v in (low[i], low[i + 1])):
+            return None  # a short word of its own, such as an article, is no part of another
+        return "\x01" if hyphen else " " if x is y else "\n"
+
+    done = 0
+    for i, (x, k) in enumerate(at):
+        w = cores[i][1]
+        if i < done or len(w) < 2 or low[i] in lex.counts or _CODE.match(w) or not re.search(r"[^\W\d_]", w) or k == len(x.tokens) - 1 and "guion" in x.classes or lex.whole(low[i]):
             continue
-        (left, first, mid), (mid2, second, right) = _core(x.tokens[a]), _core(x.tokens[a + 1])
-        if mid or mid2 or right[:1] in HYPHENS and right or not (first.isalpha() and second.isalpha() and second.islower()):
+        a, b = i, i
+        while a > max(done, i - 2) and gap(a - 1):
+            a -= 1
+        while b < i + 2 and gap(b):
+            b += 1
+        if any(len(low[p]) != len(cores[p][1]) for p in range(a, b + 1)) or a == b and len(w) < 8:
             continue
-        if any(v in lex.counts and len(v) < 3 for v in (first.lower(), second)):
-            continue  # a short word of its own, such as an article, is no part of another
-        words = decode(f"{first.lower()} {second}", lex)
-        if len(words) == 1 and words[0][0] in lex.counts and len(words[0][0]) > 3:
-            x.tokens[a : a + 2] = [left + _recover(first, words[0][0]) + right, ""]
-            x.classes.add("ocr")
-            return
+        stream, start = "", []
+        for p in range(a, b + 1):
+            start.append(len(stream))
+            stream += low[p] + (gap(p) if p < b else "")
+        path = decode(stream, lex)
+        if _put(path, stream, start, at[a : b + 1], cores[a : b + 1], lex):
+            done = b + 1
+
+
+def _put(path: list[tuple[str, int, int]], stream: str, start: list[int], at: list, cores: list, lex: Lexicon) -> bool:
+    """Writes the words of a path into the tokens of a stretch, if it changes where words begin and end, and gives the lines their classes; whether it did."""
+    stop = [s - 1 for s in start[1:]] + [len(stream)]
+    whole = set(zip(start, stop))
+    changed = [p for p in path if (p[1], p[2]) not in whole]
+    if not changed:
+        return False
+    place = lambda c: max(k for k, s in enumerate(start) if s <= c)
+    for word, i, j in changed:
+        gaps = [c for c in stream[i:j] if c in _GAPS]
+        cut = i not in start or j not in stop
+        if word not in lex.counts or gaps and len(word) <= (5 if "\n" in gaps else 3) or cut and (len(word) < 3 or max(stop[k] - start[k] for k in (place(i), place(j - 1))) < 8):
+            return False
+        if gaps and not cut and all(stream[start[k] : stop[k]] in lex.counts for k in range(place(i), place(j - 1) + 1)):
+            return False
+    texts: list[list[str]] = [[] for _ in start]
+    last = 0
+    for word, i, j in path:
+        k, last = place(i), place(i)
+        core = cores[k][1]
+        texts[k].append(core if (i, j) in whole else _recover(core, word) if i == start[k] else word)
+    for word, i, j in changed:
+        for c in range(i, j):
+            if stream[c] == "\x01":
+                at[place(c)][0].classes.add("guion")
+            elif stream[c] == " ":
+                at[place(c)][0].classes.add("ocr")
+        letters = [c for c in range(i, j) if stream[c] not in _GAPS and stream[c] != "-"]
+        if i not in start or j not in stop:
+            at[place(i)][0].classes.add("ocr")
+        if (read := "".join(stream[c] for c in letters)) != word:
+            same = next((m for m, (p, q) in enumerate(zip(read, word)) if p != q), min(len(read), len(word)) - 1)
+            at[place(letters[min(same, len(letters) - 1)])][0].classes.add("ocr")
+    for k, ((x, m), (before, _, after)) in enumerate(zip(at, cores)):
+        spanned = k < len(start) - 1 and any(i <= stop[k] < j for _, i, j in path)
+        x.tokens[m] = (before if k == 0 else "") + " ".join(texts[k]) + ("" if k == len(start) - 1 or spanned else after) + (cores[-1][2] if k == last else "")
+    return True
 
 
 def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
@@ -326,17 +415,8 @@ def analyse(text: str, source: str | None, lex: Lexicon) -> list[Line]:
             if (new := misread(w, lex)) is not None:
                 x.tokens[k] = before + _recover(w, new) + after
                 x.classes.add("ocr")
-                continue
-            if w.islower() and w.isalpha() and not lex.whole(w):
-                _resolve(x, k, lex)
-    # the stream goes on over the ends of lines: the last word of one with the first of the next
-    for x, nxt in zip(body, body[1:]) if readable else ():
-        if x.tokens and nxt.tokens and x.text[-1:].isalpha() and nxt.tokens[0][:1].islower():
-            a, (_, b, after) = x.tokens[-1], _core(nxt.tokens[0])
-            if a.isalpha() and b.isalpha() and (a.lower() not in lex.counts or b not in lex.counts) and not any(v in lex.counts and len(v) < 3 for v in (a.lower(), b)):
-                words = decode(f"{a.lower()} {b}", lex)
-                if len(words) == 1 and words[0][0] in lex.counts and len(words[0][0]) > 5:
-                    x.tokens[-1], nxt.tokens = _recover(a, words[0][0]) + after, nxt.tokens[1:]
+    if readable:
+        _joint(body, lex)
     return lines
 
 
