@@ -54,6 +54,19 @@ def test_repeated_lines(spark, sf):
     assert all(clean[d].quitadas >= n for d, n in gone.items())
 
 
+def test_lines_of_clusters(spark):
+    words = "aviso legal del portal regional de datos abiertos sobre el uso de los textos".split()
+    line = " ".join(words)
+    other = lambda k: " ".join([*words[:9], f"x{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}", *words[10:]])
+    # under 0.8 like the first, but of its cluster
+    far = next(x for x in map(other, range(100)) if repeated.sketch([line])[0] == repeated.sketch([x])[0])
+    clean = lambda rows: {r.doc_id: r.quitadas for r in repeated.without_repeated(spark.createDataFrame(rows, "doc_id string, fuente string, texto string")).collect()}
+    assert clean([(f"a{k}", "F1/x", line) for k in range(6)] + [(f"b{k}", "F1/x", far) for k in range(4)]) == {f"{c}{k}": 1 for c, n in (("a", 6), ("b", 4)) for k in range(n)}
+    # two documents with two lines of a cluster each are two documents
+    two = [(f"c{k}", "F1/y", f"{line}\n{far}") for k in range(2)]
+    assert clean(two) == {"c0": 0, "c1": 0}
+
+
 def test_sketch_is_alike_in_any_batch():
     a = ["una línea corta", "el aviso legal de la página de la casa", "x", "otra línea que no se parece a las demás en nada"]
     alone = [int(repeated.sketch([x])[0]) for x in a]

@@ -91,7 +91,7 @@ def sketch(lines: list[str]) -> np.ndarray:
 
 _HASHED = pa.schema([("fuente", pa.string()), ("grupo", pa.int64()), ("igual", pa.int64()), ("doc", pa.int64())])
 _PLACES = pa.schema([("fuente", pa.string()), ("doc_id", pa.string()), ("linea", pa.int32()), ("igual", pa.int64())])
-_TEXTS = pa.schema([("fuente", pa.string()), ("doc_id", pa.string()), ("linea", pa.int32()), ("grupo", pa.int64()), ("molde", pa.string())])
+_TEXTS = pa.schema([("fuente", pa.string()), ("doc_id", pa.string()), ("linea", pa.int32()), ("grupo", pa.int64()), ("igual", pa.int64()), ("molde", pa.string())])
 
 
 def _enough(line: str) -> bool:
@@ -138,10 +138,10 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _moulds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b, row, number, text, _ in _rows(batches):
+    for b, row, number, text, same in _rows(batches):
         group, masked = _groups(b, row, text)
         at = pa.array(row)
-        yield pa.RecordBatch.from_arrays([b["fuente"].take(at), b["doc_id"].take(at), pa.array(number), pa.array(group), pa.array(masked, pa.string())], schema=_TEXTS)
+        yield pa.RecordBatch.from_arrays([b["fuente"].take(at), b["doc_id"].take(at), pa.array(number), pa.array(group), pa.array(same), pa.array(masked, pa.string())], schema=_TEXTS)
 
 
 def _docs(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -149,16 +149,19 @@ def _docs(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFra
     return docs.filter("fuente is not null and doc_id is not null").withColumn("doc", F.xxhash64("doc_id"))
 
 
+def _many(n: str) -> Column:
+    return (F.col(n) >= LEAST_DOCS) & (F.col(n) >= SHARE * F.col("de"))
+
+
 def _frequent_clusters(docs: DataFrame) -> DataFrame:
-    """fuente, grupo, iguales: the clusters that stand in many of their source's documents, and the hashes of lines that do so by themselves."""
+    """fuente, grupo, de, iguales: the clusters that may stand in many of their source's `de` documents, and the hashes of lines that do so by themselves."""
     sizes = docs.select("fuente", "doc").distinct().groupBy("fuente").agg(F.count("*").alias("de"))
     lines = map_arrow(spread(docs.filter("texto is not null")), _hashed, _HASHED).distinct()
     each = lines.groupBy("fuente", "grupo", "igual").agg(F.count("*").alias("docs")).join(sizes, "fuente")
-    enough = lambda n: (n >= LEAST_DOCS) & (n >= SHARE * F.col("de"))
     # a cluster's documents, of which some may count more than once: never too few; and its frequent lines, of
     # which a source has no more than its documents have lines on average / SHARE
-    clusters = each.groupBy("fuente", "grupo", "de").agg(F.sum("docs").alias("_n"), F.collect_list(F.when(enough(F.col("docs")), F.col("igual"))).alias("iguales"))
-    return clusters.filter(enough(F.col("_n"))).select("fuente", "grupo", "iguales")
+    clusters = each.groupBy("fuente", "grupo", "de").agg(F.sum("docs").alias("_n"), F.collect_list(F.when(_many("docs"), F.col("igual"))).alias("iguales"))
+    return clusters.filter(_many("_n")).select("fuente", "grupo", "de", "iguales")
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", source_col: str = "fuente") -> DataFrame:
@@ -177,18 +180,21 @@ def without_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, texto, quitadas: every row's text without the lines of its source's frequent clusters, and how many went.
 
     A line of a frequent cluster goes if it shares at least 0.8 of the five-word shingles with the cluster's most
-    frequent line. Rows with a null text or source stay as they are.
+    frequent line, or is frequent by itself. A cluster's documents are counted once, however many of its lines they
+    have. Rows with a null text or source stay as they are.
     """
     docs = _docs(df, id_col, text_col, source_col)
     clusters = _frequent_clusters(docs)
-    lines = cut_lineage(map_arrow(spread(docs.filter("texto is not null")), _moulds, _TEXTS).join(clusters.select("fuente", "grupo"), ["fuente", "grupo"]))
+    lines = cut_lineage(map_arrow(spread(docs.filter("texto is not null")), _moulds, _TEXTS).join(clusters, ["fuente", "grupo"]).withColumn("sola", F.array_contains("iguales", F.col("igual"))).drop("iguales", "igual"))
+    many = lines.groupBy("fuente", "grupo", "de").agg(F.count_distinct("doc_id").alias("_n")).filter(_many("_n")).select("fuente", "grupo")
     moulds = lines.groupBy("fuente", "grupo", "molde").agg(F.count("*").alias("n"))
     best = moulds.groupBy("fuente", "grupo").agg(F.max_by("molde", F.struct("n", "molde")).alias("centro"))
     words = lambda c: F.split(c, " ")
     grams = lambda c: F.when(F.size(words(c)) < SHINGLE, F.array(c)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words(c)) - SHINGLE + 1)), lambda k: F.concat_ws(" ", F.slice(words(c), k, SHINGLE)))))
     a, b = grams(F.col("molde")), grams(F.col("centro"))
     near = moulds.join(best, ["fuente", "grupo"]).filter(F.size(F.array_intersect(a, b)) >= ALIKE * F.size(F.array_union(a, b))).select("fuente", "grupo", "molde")
-    gone = lines.join(near, ["fuente", "grupo", "molde"]).groupBy("doc_id").agg(F.collect_set("linea").alias("lineas"))
+    near = near.join(many, ["fuente", "grupo"])
+    gone = lines.join(near, ["fuente", "grupo", "molde"]).select("doc_id", "linea").union(lines.filter("sola").select("doc_id", "linea")).groupBy("doc_id").agg(F.collect_set("linea").alias("lineas"))
     rows = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("texto")).join(gone, "doc_id", "left")
     kept = F.filter(F.transform(F.split("texto", "\n"), lambda x, k: F.when(~F.array_contains("lineas", (k + 1).cast("int")), x)), lambda x: x.isNotNull())
     return rows.select("doc_id", F.when(F.col("lineas").isNull(), F.col("texto")).otherwise(F.concat_ws("\n", kept)).alias("texto"), F.coalesce(F.size("lineas"), F.lit(0)).alias("quitadas"))
