@@ -101,3 +101,32 @@ def test_hash_encoder():
     assert np.allclose(a(["x", "y"])[0], a(["x"])[0]) and np.allclose(np.linalg.norm(a(["x", "y"]), axis=1), 1)
     assert a([]).shape == (0, 8) and isinstance(vectorbase.make_encoder("fake/x", 4), vectorbase.HashEncoder)
     assert (vectorbase.normalize(np.zeros((1, 3))) == 0).all()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ordinals_of_many_rows(spark, adaptive):
+    """0..n-1, each once and in order, also with other columns, whatever is selected afterwards."""
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        n = 1_000_000
+        rows = spark.range(n, numPartitions=16).select(F.xxhash64("id").alias("k"), F.concat(F.lit("texto "), F.col("id")).alias("carga"), (F.col("id") % 3).alias("otra"))
+        out = vectorbase.with_ordinals(rows, ["k"]).cache()
+        assert out.agg(F.count_distinct("ordinal"), F.min("ordinal"), F.max("ordinal"), F.count("carga")).first()[:] == (n, 0, n - 1, n)
+        edge = out.groupBy(F.floor(F.col("ordinal") / 50_000).alias("b")).agg(F.min("k").alias("a"), F.max("k").alias("z")).orderBy("b").collect()
+        assert all(x.z < y.a for x, y in zip(edge, edge[1:]))
+        out.unpersist()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_extension_of_a_base_of_one_row(spark):
+    chunk = lambda d, c: (d, c, "f", "txt", 1, 0, 2, "Dos palabras.")
+    make = lambda *r: spark.createDataFrame(list(r), "doc_id string, chunk_id string, fuente string, formato string, fenomeno int, posicion int, num_tokens int, texto string")
+    enc = vectorbase.HashEncoder(4)
+    base = vectorbase.build(make(chunk("A", "A-0")), enc)
+    more = vectorbase.extend(base, make(chunk("C", "C-0"), chunk("B", "B-0")), enc)
+    assert {(r.chunk_id, r.ordinal) for r in more.collect()} == {("A-0", 0), ("B-0", 1), ("C-0", 2)}
+    for bad in (make(chunk("A", "A-9")), make(chunk("B", "A-0")), make(chunk("B", "B-0"), chunk("B", "B-0"))):
+        with pytest.raises(checks.ConstraintError):
+            vectorbase.extend(base, bad, enc)
+    assert {r.ordinal for r in vectorbase.extend(base.limit(0), make(chunk("B", "B-0")), enc).collect()} == {0}

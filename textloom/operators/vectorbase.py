@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import names, text, vectors
+from ..session import cut_lineage
 from .checks import ConstraintError, duplicate_keys, missing_columns, not_unit, require
 
 BLOCK = 2048
@@ -66,12 +67,17 @@ def split_fragments(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_ordinals(df: DataFrame, order: list[str], start: int = 0) -> DataFrame:
-    """df with ordinals start, start + 1, ... by an order, without bringing all rows into one task: positions within ranges, and the ranges' offsets."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    local = F.row_number().over(W.partitionBy("_p").orderBy(*order))
-    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
-    offsets = sizes.withColumn("_o", F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).select("_p", "_o")
-    return ranged.withColumn("_l", local).join(F.broadcast(offsets), "_p").withColumn("ordinal", (F.col("_o") + F.col("_l") - 1 + start).cast("long")).drop("_p", "_l", "_o")
+    """df with ordinals start, start + 1, ... by an order, without bringing all rows into one task: positions within ranges, and the ranges' offsets.
+
+    The ranged rows are kept in the shared folder (spark.checkpoint.dir) with their range and place, so that sizes and
+    rows come from the same ranges however the plan is cut or run again. The table of sizes has a row for each range.
+    Rows of equal order get the ordinals of their places in the range; nulls come first.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    kept = cut_lineage(placed.withColumn("_p", F.shiftright("_m", 33)).withColumn("_l", F.col("_m").bitwiseAND(2**33 - 1)).drop("_m"))
+    sizes = kept.groupBy("_p").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_o"))
+    return kept.join(F.broadcast(offsets), "_p").withColumn("ordinal", F.col("_o") + F.col("_l") + start).drop("_p", "_l", "_o")
 
 
 def block_of(ordinal: str = "ordinal", size: int = BLOCK) -> F.Column:
@@ -95,11 +101,13 @@ def build(chunks: DataFrame, encoder: Encoder, model: str = "fake") -> DataFrame
 
 
 def extend(base: DataFrame, new: DataFrame, encoder: Encoder, model: str = "fake") -> DataFrame:
-    """The base with further chunks behind it; an error if a document is in both."""
-    require(new.join(base.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id"), "document already in the base")
-    start = (base.agg(F.max("ordinal")).first()[0] if base.columns else None) or -1
+    """The base with further chunks behind it, in the order of document and position; an error if a document or a chunk is in both, or a chunk comes twice. The ordinals of the base stay."""
     kept, _ = split_fragments(new)
-    more = encode(with_ordinals(kept, ["doc_id", "posicion", "chunk_id"], start + 1), "texto", encoder, names.prefixes_for(model)[1])
+    require(new.join(base.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id"), "document already in the base")
+    require(kept.join(base.select("chunk_id"), "chunk_id", "left_semi").select("chunk_id"), "chunk already in the base")
+    require(duplicate_keys(kept, "chunk_id"), "chunk_id twice")
+    last = base.agg(F.max("ordinal")).first()[0]
+    more = encode(with_ordinals(kept, ["doc_id", "posicion", "chunk_id"], 0 if last is None else last + 1), "texto", encoder, names.prefixes_for(model)[1])
     return base.unionByName(more, allowMissingColumns=True)
 
 

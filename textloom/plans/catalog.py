@@ -40,6 +40,13 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _chunks(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each chunk: of repeated rows, which differ in null counts, the one with most."""
+    c = t(spark, d, "chunks")
+    rest = [x for x in c.columns if x != "chunk_id"]
+    return c.groupBy("chunk_id").agg(F.max_by(F.struct(*rest), F.struct(*(F.col(x).isNotNull().cast("int") for x in rest), *rest)).alias("_x")).select("chunk_id", "_x.*")
+
+
 #: White space, and what is none, as RE2 classes.
 _SP = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _NSP = _SP.replace("[", "[^", 1)
@@ -137,13 +144,12 @@ def vector_unit_violations(spark, d):
     return checks.not_unit(t(spark, d, "embeddings")).select("vec_id", "embedding")
 
 
-@query("""SELECT vec_id AS chunk_id, row_number() OVER (ORDER BY vec_id % 2 DESC, vec_id) - 1 AS ordinal FROM embeddings""")
+@query("SELECT chunk_id, row_number() OVER (ORDER BY d, doc_id, posicion, chunk_id) - 1 AS ordinal FROM (SELECT DISTINCT chunk_id, doc_id, posicion, sha256(doc_id) >= '8' AS d FROM chunks WHERE trim(texto) <> '')")
 def index_extend(spark, d):
-    """Odd ids first, even ids appended behind them."""
-    v = t(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"))
-    old = vectorbase.with_ordinals(v.filter("chunk_id % 2 = 1"), ["chunk_id"])
-    start = old.count()
-    return old.select("chunk_id", "ordinal").unionByName(vectorbase.with_ordinals(v.filter("chunk_id % 2 = 0"), ["chunk_id"], start).select("chunk_id", "ordinal"))
+    """The chunks of half of the documents as a base, those of the others appended behind them."""
+    c, late = _chunks(spark, d), F.sha2("doc_id", 256) >= "8"
+    base = vectorbase.build(c.filter(~late), vectorbase.HashEncoder(16))
+    return vectorbase.extend(base, c.filter(late), vectorbase.HashEncoder(16)).select("chunk_id", "ordinal")
 
 
 @query("SELECT vec_id AS chunk_id, round(CASE WHEN vec_id % 5 = 0 THEN -embedding[1]::DOUBLE ELSE embedding[1]::DOUBLE END, 6) AS primero FROM embeddings")
@@ -159,32 +165,33 @@ def block_assignment(spark, d):
     return vectorbase.with_ordinals(t(spark, d, "documents").select("doc_id"), ["doc_id"]).select("doc_id", vectorbase.block_of().alias("bloque"))
 
 
-@query("""WITH c AS (SELECT DISTINCT ON (chunk_id) * FROM chunks)
+@query("""WITH c AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST)
 SELECT count(*) AS filas, count(DISTINCT doc_id) AS documentos, count(DISTINCT fuente) AS fuentes, count(chunk_id) - count(DISTINCT chunk_id) AS repetidos, round(avg(num_palabras), 1) AS media_palabras, max(num_palabras) AS max_palabras, count(*) FILTER (WHERE num_palabras > 250) AS largos FROM c""")
 def index_verify_stats(spark, d):
-    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    c = _chunks(spark, d)
     return c.agg(
         F.count("*").alias("filas"), F.count_distinct("doc_id").alias("documentos"), F.count_distinct("fuente").alias("fuentes"), (F.count("chunk_id") - F.count_distinct("chunk_id")).alias("repetidos"),
         F.round(F.avg("num_palabras"), 1).alias("media_palabras"), F.max("num_palabras").alias("max_palabras"), F.count_if(F.col("num_palabras") > 250).alias("largos"),
     )
 
 
-@query("SELECT dimension, valor, count(*) AS n FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) c, LATERAL (VALUES ('fenomeno', fenomeno::varchar), ('idioma', idioma), ('formato', lower(formato))) x(dimension, valor) WHERE valor IS NOT NULL GROUP BY ALL")
+@query("SELECT dimension, valor, count(*) AS n FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST) c, LATERAL (VALUES ('fenomeno', fenomeno::varchar), ('idioma', idioma), ('formato', lower(formato))) x(dimension, valor) WHERE valor IS NOT NULL GROUP BY ALL")
 def index_verify_counts(spark, d):
-    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    c = _chunks(spark, d)
     pairs = F.array(*(F.struct(F.lit(n).alias("dimension"), e.cast("string").alias("valor")) for n, e in (("fenomeno", F.col("fenomeno")), ("idioma", F.col("idioma")), ("formato", F.lower("formato")))))
     return c.select(F.inline(pairs)).filter("valor is not null").groupBy("dimension", "valor").agg(F.count("*").alias("n"))
 
 
 @query(rf"SELECT chunk_id, largo, unidades FROM (SELECT DISTINCT chunk_id, length(texto)::int AS largo, len(regexp_extract_all(texto, '{_NSP}+'))::int AS unidades FROM chunks ORDER BY largo DESC, chunk_id LIMIT 200) WHERE unidades > 150")
 def truncation_candidates(spark, d):
-    return vectorbase.truncated(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), 150)
+    return vectorbase.truncated(_chunks(spark, d), 150)
 
 
-@query()
+@query(r"SELECT row_number() OVER (ORDER BY doc_id, posicion, chunk_id) - 1 AS ordinal, chunk_id, doc_id, posicion, sha256(texto) AS huella FROM (SELECT DISTINCT chunk_id, doc_id, posicion, texto FROM chunks WHERE trim(texto) <> '')")
 def vector_base(spark, d):
-    """Chunks of the whole corpus as a base with vectors of the stand-in encoder."""
-    return vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16))
+    """The chunks of the whole corpus as a base with vectors of the stand-in encoder: its ordinals, and that each row is its chunk's."""
+    base = vectorbase.build(_chunks(spark, d), vectorbase.HashEncoder(16))
+    return base.filter(vectors.is_unit(F.col("embedding"))).select("ordinal", "chunk_id", "doc_id", "posicion", F.sha2("texto", 256).alias("huella"))
 
 
 @query("SELECT NULL::bigint AS n WHERE false")
@@ -196,13 +203,13 @@ def ordinal_violations(spark, d):
 @query()
 def text_search_end_to_end(spark, d):
     """The questions answered over the corpus's chunks: three documents and ten whole-sentence fragments each."""
-    base = vectorbase.build(t(spark, d, "chunks").dropDuplicates(["chunk_id"]), vectorbase.HashEncoder(16)).persist()  # a stored table in earnest
+    base = vectorbase.build(_chunks(spark, d), vectorbase.HashEncoder(16)).persist()  # a stored table in earnest
     return pipeline.answer(base, t(spark, d, "consultas"), vectorbase.HashEncoder(16))
 
 
 @query("SELECT ''::varchar AS chunk_id, ''::varchar AS motivo WHERE false")
 def traceability_violations(spark, d):
-    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    c = _chunks(spark, d)
     frags = c.select("chunk_id", "doc_id", text.complete_sentences(F.col("texto")).alias("text")).filter("text is not null")
     return checks.untraceable(frags, c)
 
@@ -430,10 +437,10 @@ def manifest_exclusion(spark, d):
     return t(spark, d, "corpus_report").select("path").distinct().filter(~names.is_manifest(F.col("path")))
 
 
-@query("SELECT doc_id, chunk_id, motivo FROM (SELECT c.doc_id, chunk_id, CASE WHEN substr(m.texto, char_start + 1, char_end - char_start) <> c.texto THEN 'no es su tramo' END AS motivo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) c JOIN (SELECT DISTINCT doc_id, texto FROM mini_corpus) m USING (doc_id)) WHERE motivo IS NOT NULL")
+@query("SELECT doc_id, chunk_id, motivo FROM (SELECT c.doc_id, chunk_id, CASE WHEN substr(m.texto, char_start + 1, char_end - char_start) <> c.texto THEN 'no es su tramo' END AS motivo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST) c JOIN (SELECT DISTINCT doc_id, texto FROM mini_corpus) m USING (doc_id)) WHERE motivo IS NOT NULL")
 def chunk_slice_violations(spark, d):
     """The chunks of the table that aren't the slice of their document."""
-    c, m = t(spark, d, "chunks").dropDuplicates(["chunk_id"]), t(spark, d, "mini_corpus").select("doc_id", "texto").distinct()
+    c, m = _chunks(spark, d), t(spark, d, "mini_corpus").select("doc_id", "texto").distinct()
     return checks.chunk_violations(c, m, 10**9, 10**9).filter("motivo = 'no es su tramo'")
 
 
@@ -448,7 +455,7 @@ def discarded_fragments(spark, d):
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     """One row for each document with a text, the latest; labels may differ between its rows, texts don't."""
     x = t(spark, d, "mini_corpus").filter("texto is not null").select("doc_id", "fuente", F.lower("formato").alias("formato"), "fenomeno", "idioma", "texto", "ingresado")
-    return x.dropDuplicates(["doc_id"]).drop("ingresado")
+    return corpus.latest(x, "doc_id", "ingresado").drop("ingresado")
 
 
 @query()
@@ -486,7 +493,7 @@ r AS (SELECT doc_id, k, n AS s, 0 AS g FROM o WHERE k = 1 UNION ALL SELECT o.doc
 SELECT doc_id, g AS grupo, count(*) AS trozos, sum(o.n)::bigint AS palabras FROM r JOIN o USING (doc_id, k) GROUP BY doc_id, g""")
 def greedy_word_packing(spark, d):
     """A document's chunks packed greedily into groups of at most 300 words, as one fold over an array."""
-    c = t(spark, d, "chunks").dropDuplicates(["chunk_id"])
+    c = _chunks(spark, d)
     seq = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("posicion", F.col("num_palabras").alias("n")))).alias("a"))
     start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("g"), F.array().cast("array<struct<grupo:int,n:int>>").alias("out"))
 
@@ -498,10 +505,10 @@ def greedy_word_packing(spark, d):
     return seq.select("doc_id", F.inline(F.aggregate("a", start, step)["out"])).groupBy("doc_id", "grupo").agg(F.count("*").alias("trozos"), F.sum("n").alias("palabras"))
 
 
-@query("SELECT doc_id, posicion, chunk_id, sum(num_palabras) OVER (PARTITION BY doc_id ORDER BY posicion)::bigint AS acumuladas, coalesce(lead(fenomeno) OVER (PARTITION BY doc_id ORDER BY posicion) IS NULL, true) AS ultimo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks)")
+@query("SELECT doc_id, posicion, chunk_id, sum(num_palabras) OVER (PARTITION BY doc_id ORDER BY posicion)::bigint AS acumuladas, coalesce(lead(fenomeno) OVER (PARTITION BY doc_id ORDER BY posicion) IS NULL, true) AS ultimo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST)")
 def chunk_prefix_sums(spark, d):
     w = W.partitionBy("doc_id").orderBy("posicion")
-    return t(spark, d, "chunks").dropDuplicates(["chunk_id"]).select("doc_id", "posicion", "chunk_id", F.sum("num_palabras").over(w).alias("acumuladas"), F.lead("fenomeno").over(w).isNull().alias("ultimo"))
+    return _chunks(spark, d).select("doc_id", "posicion", "chunk_id", F.sum("num_palabras").over(w).alias("acumuladas"), F.lead("fenomeno").over(w).isNull().alias("ultimo"))
 
 
 # --- JSON and tables --------------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
@@ -40,3 +40,13 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _SHIPPED.add(app)
     return spark
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder that spark.checkpoint.dir names. Only a local master gets a folder of its own where none is set; on a cluster that is an error, as executors would not see it."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
+    return df.checkpoint()
