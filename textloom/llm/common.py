@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from ..session import cut_lineage  # noqa: F401
+
 SPACES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 
 
@@ -52,14 +53,6 @@ def per_row(fn: Callable[..., list[tuple]], columns: list[str], schema: pa.Schem
     return run
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the cluster's shared folder (spark.checkpoint.dir; a folder of our own only where it is unset)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
-    return df.checkpoint()
-
-
 def each_of(df: DataFrame, settings: list[tuple], names: list[str]) -> DataFrame:
     """Every row once for each of a few settings, given as tuples of equal types."""
     one = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in settings]
