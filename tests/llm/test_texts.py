@@ -182,11 +182,45 @@ def test_no_page_numbers(line):
     assert not scans.is_page_number(line)
 
 
+def repaired(line, words=None):
+    lines = scans.analyse("Título\n" + line, None, words or LEX)
+    return " ".join(scans.paragraphs_of(lines)).removeprefix("Título "), lines[1].classes
+
+
 def test_decoding_of_splits_and_merges():
-    assert [w for w, _, _ in scans.decode("elpuente viejo", LEX)] == ["el", "puente", "viejo"]
-    assert [w for w, _, _ in scans.decode("el pu ente viejo", LEX)] == ["el", "puente", "viejo"]
-    assert scans.decode("", LEX) == []
-    assert scans.misread("prirnavera", LEX) == "primavera" and scans.misread("Rl93", LEX) is None and scans.misread("Vebo", LEX) is None
+    assert repaired("En elpuente del río volvió a crecer") == ("En el puente del río volvió a crecer", {"ocr"})
+    assert repaired("el puen te viejo") == ("el puente viejo", {"ocr"})
+    assert repaired("en la prirnavera, Rl93 y Vebo") == ("en la primavera, Rl93 y Vebo", {"ocr"})
+    assert repaired("l'esperar0n en-la-prirnavera") == ("l'esperaron en-la-primavera", {"ocr"})
+    assert scans.analyse("", None, LEX)[0].classes == set()
+
+
+def test_words_of_any_length_and_unknown_surroundings():
+    long = "hexametilentetraminoclorhidratomonohidratado" * 2
+    words = scans.Lexicon({**LEX.counts, long: 9, "pueblos": 90})
+    assert repaired(long.replace("o", "0", 1), words) == (long, {"ocr"})
+    # a page whose words aren't known still gives what is plainly misread
+    assert repaired("Zubiak herriko pueb1os etxeak mendian gora doaz", words) == ("Zubiak herriko pueblos etxeak mendian gora doaz", {"ocr"})
+
+
+def test_headers_without_page_numbers():
+    text = "Título largo del valle\n\nEl río volvió a crecer en la\nTÍTULO LARGO DEL VALLE\nprimavera y los pueblos.\n\nTítulo largo del valle\n\nFin del texto."
+    got = {x.number: x.classes for x in scans.analyse(text, None, LEX) if x.classes}
+    assert got == {4: {"encabezado"}}  # the other, between sentences, may be a heading
+
+
+def test_a_lexicon_that_is_too_large_for_every_task(spark, sf):
+    docs = table(spark, sf, "mini_corpus")
+    rows = lambda x: {tuple(r) for r in x.collect()}
+    want = rows(scans.noisy_lines(docs))
+    assert want and rows(scans.noisy_lines(docs, lexicon_bytes=0, block_bytes=5_000)) == want
+    assert rows(scans.repaired(docs, lexicon_bytes=0, block_bytes=20_000)) == rows(scans.repaired(docs))
+
+
+def test_sieve(spark):
+    words = spark.createDataFrame([("puente", 3), ("río", 4)], "palabra string, n long")
+    s = scans.sieve(words)
+    assert all(w[:k] in s for w in ("puente", "río") for k in range(1, len(w) + 1))
 
 
 def test_areas_held_out(spark):
