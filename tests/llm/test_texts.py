@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 from collections import defaultdict
@@ -58,21 +59,46 @@ def test_lines_of_clusters(spark):
     words = "aviso legal del portal regional de datos abiertos sobre el uso de los textos".split()
     line = " ".join(words)
     other = lambda k: " ".join([*words[:9], f"x{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}", *words[10:]])
-    # under 0.8 like the first, but of its cluster
-    far = next(x for x in map(other, range(100)) if repeated.sketch([line])[0] == repeated.sketch([x])[0])
+    # under 0.8 like the first, but of its clusters
+    far = next(x for x in map(other, range(100)) if (repeated.sketch([line]) == repeated.sketch([x])).all())
     clean = lambda rows: {r.doc_id: r.quitadas for r in repeated.without_repeated(spark.createDataFrame(rows, "doc_id string, fuente string, texto string")).collect()}
     assert clean([(f"a{k}", "F1/x", line) for k in range(6)] + [(f"b{k}", "F1/x", far) for k in range(4)]) == {f"{c}{k}": 1 for c, n in (("a", 6), ("b", 4)) for k in range(n)}
     # two documents with two lines of a cluster each are two documents
     two = [(f"c{k}", "F1/y", f"{line}\n{far}") for k in range(2)]
     assert clean(two) == {"c0": 0, "c1": 0}
+    # equal but for dates and names, in either letter case; lines of a document of its own stay
+    names = ["Ana Ríos", "Luis del Mar", "Eva Núñez", "Iris Soto", "Omar Paz"]
+    notice = [(f"d{k}", "F2/z", f"Texto propio número {'abcde'[k]}\nUna nota preparada para este portal por {n} y publicada el {k + 1} de marzo de 20{k + 10}") for k, n in enumerate(names)]
+    assert clean(notice) == {f"d{k}": 1 for k in range(5)}
+    # rows of a table are no notices, though alike but for names
+    table = [(f"e{k}", "F3/z", "\n".join(f"lugar de la zona norte medida por el equipo de {n} {x}" for x in names)) for k, n in enumerate(names)]
+    assert clean(table) == {f"e{k}": 0 for k in range(5)}
 
 
 def test_sketch_is_alike_in_any_batch():
     a = ["una línea corta", "el aviso legal de la página de la casa", "x", "otra línea que no se parece a las demás en nada"]
-    alone = [int(repeated.sketch([x])[0]) for x in a]
-    assert [int(h) for h in repeated.sketch(a)] == alone
+    alone = [repeated.sketch([x])[:, 0].tolist() for x in a]
+    assert repeated.sketch(a).T.tolist() == alone
     # the minimum over shingles stays if a word is put before the line, unless the new shingle is the least
-    assert sum(int(repeated.sketch([f"{w} {a[3]}"])[0]) == alone[3] for w in ("uno", "dos", "tres", "cuatro", "cinco")) >= 3
+    assert sum(int(repeated.sketch([f"{w} {a[3]}"])[0, 0]) == alone[3][0] for w in ("uno", "dos", "tres", "cuatro", "cinco")) >= 3
+
+
+def test_recall_of_alike_lines():
+    """Of random pairs of lines at least 0.8 alike, over nine in ten share a cluster."""
+    rng = random.Random(5)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdlm" for b in "aeiou" for c in ("ro", "sta", "nte", "les")]
+    found = total = 0
+    while total < 400:
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(8, 60))]
+        near = [*words]
+        for _ in range(rng.randint(1, 3)):
+            near[rng.choice([0, 1, len(near) - 1, rng.randrange(len(near))])] = rng.choice(vocabulary)
+        a, b = " ".join(words), " ".join(near)
+        if a != b and repeated.alike(a, b):
+            total += 1
+            x = repeated.sketch([a, b])
+            found += bool((x[:, 0] == x[:, 1]).any())
+    assert found >= 0.9 * total
 
 
 def test_structures():
