@@ -1,10 +1,11 @@
 import random
-from collections import defaultdict
+from collections import defaultdict, deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.llm import encode, packing
-from textloom.llm.packing import fill, serve
+from textloom.llm.packing import fill
 
 ENC = encode.encoder(f"{encode.tokenizer_dir()}/byte_bpe_50k.tiktoken")
 
@@ -34,33 +35,52 @@ def test_pieces_are_content_defined():
     assert all(len(p) <= encode.MOST for p in encode.pieces("x" * 50_000))
 
 
-def test_serving_holds_the_mixture():
-    rng = random.Random(2)
-    from collections import deque
+def queues_of(rng, sizes, most):
+    return {s: deque((rng.randint(1, most), k, 0, 0, s) for k in range(n)) for s, n in sizes.items()}
 
-    queues = {s: deque((rng.randint(5, 60), k) for k in range(n)) for s, n in (("a", 600), ("b", 300), ("c", 100))}
-    total = {s: sum(x for x, _ in q) for s, q in queues.items()}
+
+def test_windows_hold_the_mixture():
+    rng = random.Random(4)
+    queues = queues_of(rng, {"a": 6000, "b": 3000, "c": 1000, "d": 20}, 60)
+    mark = sorted(x for q in queues.values() for x in q)
+    total = {s: sum(x[0] for x in q) for s, q in queues.items()}
     shares = {s: n / sum(total.values()) for s, n in total.items()}
-    got = defaultdict(int)
-    windows = []
-    mark = {(x, k, s) for s, q in queues.items() for x, k in q}
-    tagged = {s: deque((x, k, s) for x, k in q) for s, q in queues.items()}
-    for w in serve(tagged, shares, dict.fromkeys(shares, 0.0), 2000):
-        windows.append(w)
-        for x, _, s in w:
-            got[s] += x
-        seen = sum(got.values())
-        if seen < 0.9 * sum(total.values()):
-            assert all(abs(got[s] - shares[s] * seen) < 150 for s in shares)
-    assert {x for w in windows for x in w} == mark
-
-
-def test_fill_never_overflows():
-    rng = random.Random(3)
-    items = [(rng.randint(1, 100), k, 0, 0) for k in range(2000)]
-    boxes = fill(iter([items[:500], items[500:1200], items[1200:]]), 100)
-    assert sorted(x for b in boxes for x in b) == sorted(items) and all(sum(x[0] for x in b) <= 100 for b in boxes)
-    assert len(boxes) <= 1.02 * sum(x[0] for x in items) / 100 + 2
+    windows = list(fill(queues, 200, 32))
+    assert sorted(x for w in windows for c in w for x in c) == mark
+    assert all(sum(x[0] for x in c) <= 200 for w in windows for c in w)
+    full = [w for w in windows if len(w) == 32]
+    assert len(full) >= len(windows) - 3
+    for w in full:
+        size = sum(x[0] for c in w for x in c)
+        assert size >= 0.98 * 32 * 200
+        for s in shares:
+            assert abs(sum(x[0] for c in w for x in c if x[4] == s) / size - shares[s]) < 0.03
+    assert sum(map(len, windows)) <= 1.02 * sum(total.values()) / 200 + 2
+
+
+def test_windows_of_one_item_each():
+    assert list(fill({"a": deque([(10, 0, 0, 0, "x")]), "b": deque([(10, 1, 0, 0, "y"), (7, 2, 0, 0, "z")])}, 10, 1)) != []
+    assert sum(len(w) for w in fill({s: deque([(10, k, 0, 0, s)]) for k, s in enumerate("abc")}, 10, 1)) == 3
+    assert list(fill({}, 10, 4)) == [] and list(fill({"a": deque()}, 10, 4)) == []
+
+
+def test_targets(spark):
+    """Half of each window from each of two sources though one has four times the tokens, as long as both have some; a source without a target comes last."""
+    rows = [(k, " ".join(["puente"] * (3 + k % 9)), "ab"[k % 5 == 0]) for k in range(4000)] + [(k, "puente viejo", None) for k in range(4000, 4100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    classes = spark.createDataFrame([("chico", 64)], "clase string, capacidad int")
+    goal = {"a": 1.0, "b": 1.0}
+    packed = packing.pack(docs, classes, lot_items=1000, targets=goal).cache()
+    assert packed.select("doc_id").distinct().count() == 4100
+    far = packing.deviations(packed, docs, targets=goal).orderBy("ventana").collect()
+    held = [r for r in far if r.desviacion < 0.03]
+    # b has a fifth of the tokens: two fifths of all can be half and half
+    assert sum(r.tokens for r in held) >= 0.36 * sum(r.tokens for r in far)
+    last = packed.filter("doc_id >= 4000").select(F.split("contenedor", "-")[1].cast("long").alias("lote")).agg(F.min("lote")).first()[0]
+    assert last >= 2**40
+    for bad in ({}, {"a": -1.0}, {"a": 0.0}):
+        with pytest.raises(ValueError):
+            packing.pack(docs, classes, targets=bad)
 
 
 @pytest.mark.parametrize("bucket", [50, 8000])
@@ -68,7 +88,7 @@ def test_packing(spark, sf, bucket):
     docs, classes = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/contenedores.parquet")
     sizes = {r.doc_id: len(ENC.encode_ordinary(r.text or "")) for r in docs.collect()}
     room = {r.clase: r.capacidad for r in classes.collect()}
-    rows = packing.pack(docs, classes, bucket_items=bucket).collect()
+    rows = packing.pack(docs, classes, lot_items=bucket).collect()
     per, boxes = defaultdict(list), defaultdict(int)
     for r in rows:
         per[r.clase, r.doc_id].append((r.parte, r.token_ini, r.tokens))
@@ -81,4 +101,4 @@ def test_packing(spark, sf, bucket):
         assert sum(p[2] for p in parts) == sizes[d] and (len(parts) == 1 or sizes[d] > room[c])
         assert [p[1] for p in parts] == [k * room[c] for k in range(len(parts))]
     assert all(n <= room[c] for (c, _), n in boxes.items())
-    assert rows and sorted(map(str, rows)) == sorted(map(str, packing.pack(docs, classes, bucket_items=bucket).collect()))
+    assert rows and sorted(map(str, rows)) == sorted(map(str, packing.pack(docs, classes, lot_items=bucket).collect()))

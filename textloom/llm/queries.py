@@ -105,6 +105,14 @@ def p9_usage(spark: SparkSession, d: str) -> DataFrame:
     return per.select("clase", "contenedores", "tokens", F.round(1 - F.col("tokens") / (F.col("contenedores") * F.col("capacidad")), 6).alias("libre"))
 
 
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Per class: windows, and how far the shares of sources in a full window are from those of all tokens: median, of nine in ten at most, largest."""
+    docs, boxes = table(spark, d, "documents"), table(spark, d, "contenedores")
+    x = packing.deviations(packing.pack(docs, boxes), docs).join(boxes, "clase")
+    full = x.filter(F.col("tokens") >= 0.9 * packing.window_tokens(F.col("capacidad")))
+    return full.groupBy("clase").agg(F.count("*").alias("ventanas"), *(F.round(F.percentile("desviacion", p), 4).alias(n) for n, p in (("mediana", 0.5), ("nueve_de_diez", 0.9), ("maxima", 1.0))))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return areas.document_areas(docs, areas.learn(docs, table(spark, d, "area_ejemplos"), table(spark, d, "areas")))
