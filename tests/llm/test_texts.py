@@ -187,6 +187,38 @@ def test_lines_of_pages_are_counted_over_all_documents(spark, monkeypatch):
     assert body.train([t for _, _, t in rows]).often == often
 
 
+NEIGHBOURS = {  # of a script that another language of the corpus is written in
+    "uk": ["Човен вийшов із гавані ще до світанку, і ніхто не знав, чому він не повернувся.", "Сусіди чекали його зі свічкою у вікні, як розповідають бабусі цього села.", "Інженери кажуть, що міст через річку збудують наступного року, якщо громада знайде гроші.", "Влітку діти їздять до бабусі, де є великий сад і тиха річка з теплою водою.", "Ця їжа дуже смачна, але її ціна щороку зростає, тому люди купують менше.", "Український уряд оголосив, що нова залізниця з'єднає два великі міста країни."],
+    "fa": ["قایق پیش از سپیده‌دم از بندر بیرون رفت و هیچ‌کس نمی‌دانست چرا برنگشت.", "همسایه‌ها با چراغی در پنجره منتظر او بودند، چنان‌که مادربزرگ‌های روستا می‌گویند.", "مهندسان می‌گویند پل روی رودخانه سال آینده ساخته می‌شود، اگر شهرداری پول پیدا کند.", "بچه‌ها تابستان به خانهٔ مادربزرگ می‌روند که باغ بزرگ و رودی آرام دارد.", "این غذا بسیار خوشمزه است، ولی بهای آن هر سال گران‌تر می‌شود و مردم کمتر می‌خرند.", "دولت اعلام کرد که راه‌آهن تازه دو شهر بزرگ کشور را به هم پیوند می‌دهد."],
+    "mr": ["होडी पहाटेपूर्वी बंदरातून निघाली आणि ती परत का आली नाही हे कोणालाच कळले नाही.", "शेजारी खिडकीत दिवा लावून तिची वाट पाहत होते, असे गावातील आजी सांगतात.", "अभियंते म्हणतात की नदीवरचा पूल पुढच्या वर्षी बांधला जाईल, जर नगरपालिकेला पैसे मिळाले.", "उन्हाळ्यात मुले आजीकडे जातात, जिथे मोठी बाग आणि शांत नदी आहे.", "हे जेवण खूप चवदार आहे, पण त्याची किंमत दरवर्षी वाढते म्हणून लोक कमी विकत घेतात.", "सरकारने जाहीर केले की नवीन रेल्वे देशातील दोन मोठ्या शहरांना जोडेल."],
+}
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return language.examples_of(language.sample(table(spark, "/root/testdata/sf0.01", "mini_corpus")))
+
+
+def test_languages_that_training_has_not_seen(labelled):
+    model = language.train(labelled)
+    for lang, texts in NEIGHBOURS.items():
+        assert lang not in model.languages
+        for t in texts:
+            main, conf, _ = language.decide(model, [(t, "txt")])[0]
+            assert main == "und", (lang, main, conf, t)
+
+
+def test_languages_of_one_script(labelled):
+    """Trained with right labels, none is taken for the other language of its script."""
+    more = [(lang, t) for lang, texts in NEIGHBOURS.items() for t in texts[:4] for _ in range(3)]
+    model = language.train(labelled + more)
+    for lang, texts in NEIGHBOURS.items():
+        assert lang in model.languages
+        for t in texts:
+            main, _, _ = language.decide(model, [(t, "txt")])[0]
+            assert main in (lang, "und") and (t in texts[4:] or main == lang), (lang, main, t)
+
+
 LEX = scans.Lexicon({w: 100 for w in "el río volvió a crecer en la primavera y los pueblos del valle esperaron noche título largo fin texto puente viejo".split()})
 
 

@@ -183,7 +183,7 @@ def learn(df: DataFrame, examples: DataFrame, areas: DataFrame, id_col: str = "d
     names = sorted({r[0] for r in checked_rows(areas.select("area").dropna(), 1000, "areas")})
     rows = checked_rows(examples.select("area", "texto").dropna(), MOST_EXAMPLES, "examples")
     docs = df.filter(F.length(text_col) >= 60)
-    return train([(r[0], r[1]) for r in rows], [r[0] for r in sample_rows(docs, id_col, [text_col], most)], names)
+    return train([(r[0], r[1]) for r in rows], [r[0] for r in sample_rows(docs, id_col, text_col, [text_col], most)], names)
 
 
 def document_areas(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:

@@ -323,7 +323,7 @@ def frequent_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto
 
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", most: int = SAMPLE) -> Model:
     docs = df.filter((format_of(format_col) == "html") & F.col(text_col).rlike(r"\S"))
-    return train([r[0] for r in sample_rows(docs, id_col, [text_col], most)], frequent_lines(df, id_col, text_col, format_col))
+    return train([r[0] for r in sample_rows(docs, id_col, text_col, [text_col], most)], frequent_lines(df, id_col, text_col, format_col))
 
 
 def content_lines(text: str, model: Model) -> list[tuple[int, bool, float]]:

@@ -84,13 +84,22 @@ def parts_for(rows: int, each: int) -> int:
     return max(1, math.ceil(rows / each))
 
 
-def sample_rows(df: DataFrame, id_col: str, columns: list[str], most: int) -> list:
-    """About `most` rows (never over twice as many) picked by a hash of their id, alike on every run; all rows if there are fewer."""
-    total = df.select(id_col).count()
-    if not total:
+#: Bytes of a sample at most; longer texts than a hundredth of it aren't sampled.
+SAMPLE_BYTES = 64 << 20
+
+
+def sample_rows(df: DataFrame, id_col: str, text_col: str, columns: list, most: int, most_bytes: int = SAMPLE_BYTES) -> list:
+    """Rows for fitting a model: the `most` of the least hashes of their id and text, as far as their texts have no more than most_bytes together; alike on every run, all rows if there are no more. Repeated rows count once."""
+    picked = df.withColumns({"_h": F.xxhash64(F.lit(41), id_col, text_col), "_b": F.octet_length(text_col)}).filter(F.col("_b") <= most_bytes // 100)
+    least = picked.select("_h", "_b").distinct().orderBy("_h").limit(most).collect()
+    last, room = None, most_bytes
+    for h, size in least:
+        if (room := room - size) < 0:
+            break
+        last = h
+    if last is None:
         return []
-    part = min(2**30, math.ceil(most / total * 2**30))
-    return df.filter(F.pmod(F.xxhash64(F.lit(41), id_col), F.lit(2**30)) < part).select(*columns).limit(2 * most).collect()
+    return picked.filter(F.col("_h") <= last).dropDuplicates(["_h"]).orderBy("_h").select(*columns).collect()
 
 
 #: Two-letter codes of the languages whose three-letter codes occur as labels.

@@ -1,18 +1,22 @@
 """Problem 4: the language of documents and of their segments, with a confidence.
 
-A text is the average of the embeddings of its hashed subwords; a linear softmax gives the languages. Embeddings
-and softmax are trained by stochastic gradient descent in numpy on a bounded sample of labelled texts, twice: the
-second time without the texts whose label the first model finds out of the question. A temperature fitted on
-held-out texts calibrates the confidence, below which a text is left undecided (`und`). As all is linear, each
-subword's contribution to the logits is one row of a table, and a word's is the sum of some rows, kept in a cache.
+A text is the average of the embeddings of its hashed subwords and of the scripts of its words; a linear softmax gives
+the languages. Embeddings and softmax are trained by stochastic gradient descent in numpy on a bounded sample of
+labelled texts, twice: the second time without the texts whose label the first model finds out of the question. A
+temperature fitted on held-out texts calibrates the confidence, below which a text is left undecided (`und`). So is
+one of a language that training hasn't seen: it has too few of the subwords of the language it looks like, measured
+on held-out texts of that language, or letters that aren't among that language's. As all is linear, each subword's
+contribution to the logits is one row of a table, and a word's is the sum of some rows, kept in a cache.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,15 @@ from pyspark.sql import functions as F
 from .common import emit, format_of, language_of, map_arrow, paragraphs, sample_rows, softmax, spread
 from .shape import MARK, Profiles, learn_profiles
 
-SAMPLE, BUCKETS, DIM, EPOCHS, LEAST_CHARS = 4000, 1 << 15, 16, 6, 20
+#: Sampled texts and their paragraphs at most; words of a stretch of one; characters of short ones.
+SAMPLE, PARTS, STRETCH, SHORT = 4000, 8000, 25, 50
+BUCKETS, DIM, EPOCHS, LEAST_CHARS = 1 << 15, 16, 4, 20
+#: The longest step of an embedding; of the least share of known subwords among held-out texts the part that is enough, and what is enough where there are fewer than FEW of them.
+MOST_STEP, ENOUGH, FEW = 0.5, 0.65, 8
+#: How much less than its language's share of known subwords a text of one subword may have (of n, by the root of n); share of letters that may be strange to the language.
+SLACK, STRANGE = 1.0, 0.025
+#: Scripts of thousands of signs, or of syllables.
+_MANY_SIGNS = ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "ETHIOPIC", "YI")
 #: How many times likelier than the main language another one must be for a paragraph of SURE_CHARS; a shorter one needs more.
 ODDS, SURE_CHARS = 20, 80
 PROSE = ("txt", "html", "pdf", "json")
@@ -46,55 +58,44 @@ SEEDS = {
 TOKEN = re.compile(r"[฀-๿]|[぀-ヿ]|[㐀-鿿]|[가-힣]|(?:(?![฀-๿぀-ヿ㐀-鿿가-힣])[^\W\d_][̀-ًͯ-ٟऀ-ॿ]*)+")
 
 
+@lru_cache(maxsize=65_536)
+def script_of(c: str) -> str:
+    """The script of a letter, by the first word of its name."""
+    return unicodedata.name(c, "?").partition(" ")[0]
+
+
 def subwords(word: str) -> list[int]:
-    """Buckets of the word itself and of its pieces of two to four characters with its edges."""
+    """Buckets of the word itself, of its pieces of two to four characters with its edges, and of its script."""
     w = f"<{word}>"
     grams = {w} | {w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)}
-    return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(grams)]
-
-
-#: The scripts that tell languages apart, and which of the seeds' languages are written in them.
-SCRIPTS = {"th": "[฀-๿]", "hi": "[ऀ-ॿ]", "ar": "[\u0600-\u06ff]", "ru": "[\u0400-\u04ff]", "ja": "[぀-ヿ]", "zh": "[㐀-鿿]"}
-_SCRIPTS = {k: re.compile(v) for k, v in SCRIPTS.items()}
-_OTHER = re.compile("|".join(SCRIPTS.values()))
-_LATIN = re.compile(r"[a-zA-ZÀ-ɏ]")
-
-
-def script_of(text: str) -> str:
-    """The key of SCRIPTS that most of the letters are of, ja for ideographs with kana among them; else `latin`."""
-    if text.isascii() or not _OTHER.search(text):
-        return "latin"
-    count = {k: len(v.findall(text)) for k, v in _SCRIPTS.items()}
-    if count["ja"] * 12 > count["zh"]:
-        count["ja"], count["zh"] = count["ja"] + count["zh"], 0
-    best = max(count, key=lambda k: (count[k], k))
-    # an ideograph says as much as several Latin letters
-    return best if count[best] * (3 if best in ("zh", "ja") else 1) > len(_LATIN.findall(text)) else "latin"
+    return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(grams)] + [zlib.crc32(f"script:{script_of(word[0])}".encode()) % BUCKETS]
 
 
 class Model:
     MOST_WORDS = 150_000
 
-    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, known: np.ndarray, temperature: float, reject: float):
-        self.languages, self.table, self.bias, self.known, self.temperature, self.reject = languages, table, bias, known, temperature, reject
+    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, known: np.ndarray, temperature: float, reject: float, least: np.ndarray, letters: list[str]):
+        self.languages, self.table, self.bias, self.known = languages, table, bias, known  # known: of each bucket and language, whether training has seen it so
+        self.temperature, self.reject, self.least, self.letters = temperature, reject, least, letters
         self._words: dict[str, int] = {}
-        self._rows = np.zeros((0, table.shape[1] + 2), np.float32)
+        self._rows = np.zeros((0, 2 * len(languages) + 1), np.float32)
         self._new: list[np.ndarray] = []
+        self._drop = [dict.fromkeys(map(ord, x)) for x in letters]
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def __setstate__(self, state):
-        self.__init__(**{k: state[k] for k in ("languages", "table", "bias", "known", "temperature", "reject")})
+        self.__init__(**state)
 
     def _word(self, w: str) -> int:
         ids = np.array(subwords(w))
-        self._new.append(np.concatenate([self.table[ids].sum(0), [len(ids), self.known[ids].sum()]]).astype(np.float32))
+        self._new.append(np.concatenate([self.table[ids].sum(0), self.known[ids].sum(0), [len(ids)]]).astype(np.float32))
         k = self._words[w] = len(self._words)
         return k
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The probabilities of the languages for each text, and the share of its subwords that training has seen."""
+        """The probabilities of the languages for each text, and whether it may be of its likeliest one: it has enough of that language's subwords, and only its letters."""
         if len(self._words) > self.MOST_WORDS:
             self._words, self._rows, self._new = {}, self._rows[:0], []
         get = self._words.get
@@ -108,23 +109,30 @@ class Model:
         if self._new:
             self._rows = np.vstack([self._rows, *self._new])
             self._new = []
-        total = np.zeros((len(texts), self._rows.shape[1]))
+        m = len(self.languages)
+        total = np.zeros((len(texts), 2 * m + 1))
         counts = np.array(counts)
         full = np.flatnonzero(counts)
         if len(full):
             total[full] = np.add.reduceat(self._rows[np.array(at)], (np.cumsum(counts) - counts)[full], axis=0)
-        n = np.maximum(total[:, -2:-1], 1)
-        logits = (total[:, :-2] / n + self.bias) / self.temperature
-        of = np.array([x if x in SCRIPTS else "latin" for x in self.languages])
-        for k, t in enumerate(texts):
-            fits = of == script_of(t)
-            if fits.any():
-                logits[k, ~fits] = -1e9
-        return softmax(logits), total[:, -1] / n[:, 0]
-
-    def name(self, p: np.ndarray, seen: float) -> tuple[str, float]:
+        n = np.maximum(total[:, -1:], 1)
+        p = softmax((total[:, :m] / n + self.bias) / self.temperature)
+        best = p.argmax(1)
+        seen = total[np.arange(len(texts)), m + best] / n[:, 0]
+        own = (counts > 0) & (seen >= self.least[best] - SLACK / np.sqrt(n[:, 0]))
+        for k in np.flatnonzero(own):
+            if not texts[k].isascii() and self._drop[best[k]]:
+                own[k] = self._letters(texts[k], int(best[k]))
+        return p, own
+
+    def _letters(self, text: str, k: int) -> bool:
+        """Whether a text has hardly any letters that language k hasn't."""
+        rest = sum(c.isalpha() for c in text.lower().translate(self._drop[k]))
+        return rest <= 1 or rest <= STRANGE * sum(c.isalpha() for c in text)
+
+    def name(self, p: np.ndarray, own: bool) -> tuple[str, float]:
         k = int(p.argmax())
-        return (self.languages[k], float(p[k])) if p[k] >= self.reject and seen >= 0.2 else ("und", float(p[k]))
+        return (self.languages[k], float(p[k])) if own and p[k] >= self.reject else ("und", float(p[k]) if own else 0.0)
 
 
 def _fit(ids: list[np.ndarray], y: np.ndarray, weight: np.ndarray, classes: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +140,7 @@ def _fit(ids: list[np.ndarray], y: np.ndarray, weight: np.ndarray, classes: int,
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     w, b = np.zeros((DIM, classes), np.float32), np.zeros(classes, np.float32)
     order = np.arange(len(ids))
-    epochs = max(EPOCHS, min(80, 48_000 // len(ids)))  # few texts are gone through more often
+    epochs = max(EPOCHS, min(80, 32_000 // len(ids)))  # few texts are gone through more often
     for epoch in range(epochs):
         rng.shuffle(order)
         rate = 1.0 * (1 - epoch / epochs) + 0.05
@@ -147,28 +155,34 @@ def _fit(ids: list[np.ndarray], y: np.ndarray, weight: np.ndarray, classes: int,
             back = (err @ w.T / counts[:, None]).astype(np.float32)
             w -= rate * 10 * (mean.T @ err).astype(np.float32)
             b -= rate * err.sum(0).astype(np.float32)
-            which, inverse = np.unique(flat, return_inverse=True)
-            own = np.repeat(np.arange(len(part)), counts)
-            step = np.stack([np.bincount(inverse, back[own, j], len(which)) for j in range(DIM)], axis=1)
-            emb[which] -= rate * 400 * step.astype(np.float32)
+            turned = np.argsort(flat, kind="stable")  # 16 bits: by radix
+            by_bucket = flat[turned]
+            first = np.flatnonzero(np.concatenate([[True], by_bucket[1:] != by_bucket[:-1]]))
+            which = by_bucket[first]
+            step = np.add.reduceat(np.repeat(back, counts, axis=0)[turned], first, axis=0)
+            step *= rate * 400
+            # what stands in nearly every text, such as a script, must not run away
+            step /= np.maximum(np.linalg.norm(step, axis=1, keepdims=True) / MOST_STEP, 1)
+            emb[which] -= step.astype(np.float32)
     return emb, w, b
 
 
 def train(examples: list[tuple[str, str]]) -> Model:
     """A model from (language, text); labels may be wrong in part."""
     rare = Counter(lang for lang, _ in examples)
-    examples = [(x, t) for x, t in examples if (rare[x] >= 3 or x in SEEDS) and (x not in SEEDS or script_of(t) == (x if x in SCRIPTS else "latin"))]
+    examples = [(x, t) for x, t in examples if rare[x] >= 3 or x in SEEDS]
     # the seeds weigh little where the sample has a language, and are all there is where it has not
     examples = examples + [(lang, piece) for lang, t in SEEDS.items() for piece in (t, t[: len(t) // 2], t[len(t) // 2 :]) for _ in range(2)]
     languages = sorted({x for x, _ in examples})
     index = {x: k for k, x in enumerate(languages)}
     cache: dict[str, list[int]] = {}
-    ids, y = [], []
+    ids, y, texts = [], [], []
     for lang, t in examples:
         flat = [k for w in TOKEN.findall(t.lower()) for k in (cache.get(w) or cache.setdefault(w, subwords(w)))]
         if flat:
-            ids.append(np.array(flat))
+            ids.append(np.array(flat, np.uint16))
             y.append(index[lang])
+            texts.append(t)
     y = np.array(y)
     held = np.arange(len(y)) % 6 == 5
     model, keep = None, np.ones(len(y), bool)
@@ -179,8 +193,9 @@ def train(examples: list[tuple[str, str]]) -> Model:
         # unweighted at first: labels wrong by chance must not outweigh the right ones of a rare language
         emb, w, b = _fit([ids[k] for k in use], y[use], np.clip(weight[y[use]], 0.3, 3) if last else np.ones(len(use)), len(languages))
         table = (emb @ w).astype(np.float32)
-        known = np.zeros(BUCKETS, np.float32)
-        known[np.unique(np.concatenate([ids[k] for k in use]))] = 1
+        known = np.zeros((BUCKETS, len(languages)), np.float32)
+        for k in use:
+            known[ids[k], y[k]] = 1
         logits = np.stack([table[i].mean(0) for i in ids]) + b
         if not last:
             keep = logits.argmax(1) == y
@@ -193,19 +208,40 @@ def train(examples: list[tuple[str, str]]) -> Model:
         top, right = p.max(1), p.argmax(1) == y[test]
         # the lowest confidence from which on held-out texts are right 99 times in 100
         reject = next((float(c) for c in np.linspace(0.3, 0.9, 13) if (top >= c).any() and right[top >= c].mean() >= 0.99), 0.5) if len(test) else 0.5
-        model = Model(languages, table, b, known, temperature, reject)
+        least, letters = np.full(len(languages), 0.2), []
+        fit = np.array([known[ids[k], y[k]].mean() for k in test])
+        for k in range(len(languages)):
+            if (mine := fit[y[test] == k]).size:
+                least[k] = ENOUGH * float(np.quantile(mine, 0.02)) if mine.size >= FEW else 0.3
+            # what is a letter of the language: of alphabets, not of scripts with thousands of signs
+            count = Counter(c for i in np.flatnonzero(keep & (y == k)) for c in texts[i].lower() if c.isalpha())
+            signs = sum(n for c, n in count.items() if script_of(c) in _MANY_SIGNS)
+            letters.append("".join(sorted(c for c, n in count.items() if n >= 2e-4 * count.total())) if 2 * signs < count.total() else "")
+        model = Model(languages, table, b, known, temperature, reject, least, letters)
     return model
 
 
+def sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", language_col: str = "idioma", most: int = SAMPLE) -> list[tuple[str, str, str]]:
+    """(label, text, format) of at most `most` texts of the prose formats."""
+    docs = df.filter(format_of(format_col).isin(*PROSE) & (F.length(text_col) >= 60))
+    return [tuple(r) for r in sample_rows(docs, id_col, text_col, [F.col(language_col).cast("string"), F.col(text_col), format_of(format_col)], most)]
+
+
+def examples_of(rows: list[tuple[str, str, str]], most: int = PARTS) -> list[tuple[str, str]]:
+    """(language, stretch) of the paragraphs of sampled texts with a label, at most `most`, picked by a hash: STRETCH words from a place that the hash says; of every third one only SHORT characters, so that short ones are learned too."""
+    parts = [(zlib.crc32(f"{k} {a} {text[a:b]}".encode("utf-8", "surrogatepass")), lang, text[a:b]) for label, text, _ in rows if (lang := language_of(label)) for k, a, b in paragraphs(text) if b - a >= LEAST_CHARS]
+    out = []
+    for h, lang, t in sorted(parts)[:most]:
+        words = t.split()
+        at = h // 3 % max(1, len(words) - STRETCH + 1)
+        t = " ".join(words[at : at + STRETCH])
+        out.append((lang, t if h % 3 else t[:SHORT]))
+    return out
+
+
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", language_col: str = "idioma", most: int = SAMPLE) -> Model:
-    """A model from the paragraphs of at most about `most` sampled labelled texts of the prose formats."""
-    docs = df.filter(format_of(format_col).isin(*PROSE) & (F.length(text_col) >= 60) & F.col(language_col).isNotNull())
-    examples = []
-    for label, text in sample_rows(docs, id_col, [language_col, text_col], most):
-        if lang := language_of(label):
-            parts = [text[a:b] for _, a, b in paragraphs(text) if b - a >= LEAST_CHARS][:6] or [text]
-            examples += [(lang, p if k % 3 else p[:50]) for k, p in enumerate(parts)]
-    return train(examples)
+    """A model from the paragraphs of at most `most` sampled labelled texts of the prose formats."""
+    return train(examples_of(sample(df, id_col, text_col, format_col, language_col, most)))
 
 
 def segments(text: str, formato: str) -> list[tuple[int, int, int]]:
@@ -223,11 +259,11 @@ def segments(text: str, formato: str) -> list[tuple[int, int, int]]:
 def decide(model: Model, batch: list[tuple[str, str]]) -> list[tuple[str, float, list[tuple[int, str, float]]]]:
     """For each (text, format): the main language, its confidence, and of each paragraph of a txt another language its number, language, confidence."""
     parts = [segments(t, f) for t, f in batch]
-    p, seen = model.predict([t[a:b] for (t, _), seg in zip(batch, parts) for _, a, b in seg])
+    p, own_ = model.predict([t[a:b] for (t, _), seg in zip(batch, parts) for _, a, b in seg])
     out, at = [], 0
     for (text, formato), seg in zip(batch, parts):
         n = len(seg)
-        names = [model.name(p[at + k], seen[at + k]) for k in range(n)]
+        names = [model.name(p[at + k], own_[at + k]) for k in range(n)]
         size = np.array([b - a for _, a, b in seg], float)
         votes: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
         for (lang, conf), chars in zip(names, size):
