@@ -77,7 +77,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
-    return repeated.without_repeated(table(spark, d, "mini_corpus")).distinct()
+    return repeated.without_repeated(table(spark, d, "mini_corpus"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -33,6 +33,8 @@ from .common import code_points, cut_lineage, emit, map_arrow, spread
 LEAST_DOCS, SHARE, LETTERS, SHINGLE, ALIKE = 4, 0.14, 4, 5, 0.8
 #: Bands of one minimum hash each: lines of similarity 0.8 share one of them 24 times in 25.
 BANDS = 2
+#: Bytes of the frequent clusters of all sources up to which they go to every task.
+BROADCAST_BYTES = 64 << 20
 _NUMBER = re.compile(r"\d+")
 _FOUR = re.compile(r"(?:[^\W\d_][\W\d_]*){4}")
 #: Dates in folded lines: numeric, with the month as a word between or before numbers, in ideographs.
@@ -66,7 +68,7 @@ def mask(lines: list[str], name: str) -> list[str]:
 
 
 def without_names(text: str) -> str:
-    return _NAME.sub("@", unicodedata.normalize("NFKC", text))
+    return _NAME.sub("@", text)
 
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -123,7 +125,7 @@ def _enough(line: str) -> bool:
 
 
 def _parts(batches: Iterator[pa.RecordBatch], bands: int, names: Callable[[pa.RecordBatch], list[bool]] | None = None):
-    """Of some documents at a time (2,048, or 4 MB of text): the batch, and of each line with enough letters its document's place in it, its number, its folded and its masked text, its clusters' keys.
+    """Of some documents at a time (2,048, or 2 MB of text): the batch, and of each line with enough letters its document's place in it, its number, its folded and its masked text, its clusters' keys.
 
     In documents for which `names` holds, a line that has names, but more other words, comes a second time with its names masked, in clusters of its own, whose keys are odd.
     """
@@ -131,7 +133,7 @@ def _parts(batches: Iterator[pa.RecordBatch], bands: int, names: Callable[[pa.Re
         size = pc.binary_length(whole["texto"]).to_numpy(zero_copy_only=False)
         at = 0
         while at < whole.num_rows:
-            n = max(1, min(2048, int(np.searchsorted(np.cumsum(size[at : at + 2048]), 4 << 20))))
+            n = max(1, min(2048, int(np.searchsorted(np.cumsum(size[at : at + 2048]), 2 << 20))))
             b = whole.slice(at, n)
             at += n
             row, number, folded, masked = [], [], [], []
@@ -147,9 +149,11 @@ def _parts(batches: Iterator[pa.RecordBatch], bands: int, names: Callable[[pa.Re
                         folded.append(line)
                         masked.append(m)
                 if named[r] and (bare := without_names(t)) != t:
-                    for k, (line, m, x) in enumerate(zip(lines, own, mask(fold(bare), name)), 1):
+                    changed = [(k, x) for k, (x, y) in enumerate(zip(bare.split("\n"), t.split("\n")), 1) if x != y]
+                    for (k, _), x in zip(changed, mask(fold("\n".join(x for _, x in changed)), name)):
+                        m = own[k - 1]
                         if x != m and _enough(x) and 3 * len(_WORDS.findall(x)) >= 2 * len(_WORDS.findall(m)) >= 8:
-                            twice.append((r, k, line, x))
+                            twice.append((r, k, lines[k - 1], x))
             plain = len(row)
             for rest, column in zip(zip(*twice), (row, number, folded, masked)):
                 column += rest
@@ -232,11 +236,18 @@ def _sizes(docs: DataFrame) -> DataFrame:
     return docs.select("origen", "doc").distinct().groupBy("origen").agg(F.count("*").alias("de"))
 
 
+def _beside(docs: DataFrame, packed: DataFrame, how: str) -> DataFrame:
+    """The documents with their source's row of a small table (origen and one packed value), which is broadcast if it has BROADCAST_BYTES at most; else a join, of which AQE splits a hot source's documents."""
+    packed = cut_lineage(packed)
+    size = packed.agg(F.sum(F.octet_length(packed.columns[1]) + 16)).first()[0] or 0
+    return docs.join(F.broadcast(packed) if size <= BROADCAST_BYTES else packed, "origen", how)
+
+
 def _with_clusters(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     """The documents with their source's frequent clusters, packed in one value; those of sources without any are left out. A source has at most its lines of a document / SHARE of them."""
     each = clusters.groupBy("origen").agg(F.sort_array(F.collect_set("grupo")).alias("_g"))
     packed = map_arrow(each, lambda batches: (pa.RecordBatch.from_arrays([b["origen"], pa.array([np.array(g, np.int64).tobytes() for g in b["_g"].to_pylist()], pa.binary())], names=["origen", "grupos"]) for b in batches), pa.schema([("origen", pa.int64()), ("grupos", pa.binary())]))
-    return spread(docs.filter("texto is not null")).join(packed, "origen")
+    return _beside(spread(docs.filter("texto is not null")), packed, "inner")
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", source_col: str = "fuente") -> DataFrame:
@@ -304,7 +315,7 @@ def without_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = each.join(many, ["origen", "grupo"]).groupBy("origen", "grupo").agg(F.max_by("molde", F.struct("_f", "molde")).alias("_c"), F.collect_set(F.when(_many("_f"), F.col("molde"))).alias("_m"))
     kept = kept.select("origen", F.struct(F.col("grupo").cast("string"), F.array_union(F.array("_c"), "_m").alias("m")).alias("_e"))
     moulds = kept.groupBy("origen").agg(F.to_json(F.map_from_entries(F.collect_list("_e"))).alias("moldes"))
-    texts = spread(docs.filter("texto is not null")).join(moulds, "origen", "left").select("doc_id", "fuente", "texto", "moldes")
+    texts = _beside(spread(docs.filter("texto is not null")), moulds, "left").select("doc_id", "fuente", "texto", "moldes")
     whole = texts.filter("moldes is null").select("doc_id", "texto", F.lit(0).alias("quitadas"))
     rest = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("texto"), F.lit(0).alias("quitadas")).filter(F.col("texto").isNull() | F.col("doc_id").isNull() | source_key(source_col).isNull())
     return map_arrow(texts.filter("moldes is not null"), _cleaned, _CLEAN).unionByName(whole).unionByName(rest)
