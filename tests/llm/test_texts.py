@@ -147,6 +147,20 @@ def test_sentence_ends(splitter, text, want):
     assert [text[a:b] for a, b in sentences.split_sentences(text, splitter)] == want
 
 
+def test_tables_of_contents_are_lists():
+    p = shape.Profiles({"es": "de la el en y los con que".split()})
+    text = "\n".join(f"{'El puente de la villa' if k % 2 else 'Molino viejo'} {'.' * (6 + 3 * k)} {k * 3}" for k in range(1, 9))
+    assert p.classify(text) == "lista" and p.classify("Índice del puente\n" + text) == "lista"
+
+
+def test_candidates_of_every_script_are_classified():
+    model = sentences.train(["El río creció. Nadie lo vio. «No hay luz. Nadie vino», dijo el alcalde. El puente cayó."] * 30 + ["船在天亮之前离开了港口。没有人知道它为什么没有回来。邻居们等着它。"] * 9 + ["ผู้คนรอคอย ไม่มีใครรู้ มี 3 คน"] * 9)
+    assert {"Kquote", "Kwide", "Kspace"} <= set(model.weights)
+    cut = lambda t: [t[a:b] for a, b in sentences.split_sentences(t, model)]
+    assert cut("Ella habló: «No hay luz. Nadie vino», dijo. Fin del acto.") == ["Ella habló: «No hay luz. Nadie vino», dijo.", "Fin del acto."]
+    assert cut("我来了。你走了。") == ["我来了。", "你走了。"] and cut("ผู้คนรอคอย ไม่มีใครรู้ มี 3 คน") == ["ผู้คนรอคอย", "ไม่มีใครรู้", "มี 3 คน"]
+
+
 def test_paragraphs_and_labels():
     assert paragraphs("a\n\n  b \n c\n \n") == [(1, 0, 1), (2, 5, 10)] and paragraphs(" \n") == []
     got = [language_of(x) for x in ("ES", "es_CO", "spa", "por", "und", "", None, "n/a", "??", "zh-CN", "xx")]

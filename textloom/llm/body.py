@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -69,6 +70,10 @@ _ITEM = re.compile(r"\s*[•·▪◦‣*+\-–—]\s+\S")
 _NUMBERED = re.compile(r"\s*\(?\d{1,3}[.)]\s+\S")
 _CAPTION = re.compile(r"^[^\W\d_][^|/·›:—]*, [^|/·›:—A-ZÀ-Þ]*$")
 _FOUR = re.compile(r"\d{4}\b")
+_WORD = re.compile(r"[^\W\d_]+")
+#: Buckets of hashed words, and how strongly their weights are held down.
+WORDS, HOLD = 1 << 14, 3e-4
+ZONES = ("before", "article", "after", "none")
 SHAPES = ("prose", "title", "item", "numbered", "header", "caption", "menu", "cue", "short", "blank")
 
 
@@ -115,6 +120,13 @@ def shape(line: str, often: bool = False) -> str:
     return "short"
 
 
+@lru_cache(maxsize=100_000)
+def _hashed(line: str) -> tuple[str, ...]:
+    """Hashed words of a line that is no prose, and its first and last word."""
+    words = _WORD.findall(line.casefold())
+    return tuple(f"w:{zlib.crc32(w.encode()) % WORDS}" for w in sorted({*words, *(f"^{w}" for w in words[:1]), *(f"{w}$" for w in words[-1:])}))
+
+
 #: Lines that say nothing about what stands before and after them.
 _THROUGH = ("cue", "blank", "menu", "header", "short")
 
@@ -207,11 +219,11 @@ class Page:
         a, b = (self.shapes[up] if up is not None else "none"), (self.shapes[down] if down is not None else "none")
         many = "0" if self.often[k] < LEAST else "1" if self.often[k] < OFTEN else "2" if self.often[k] < 20 else "3"
         size = str(min(len(line) // 20, 6))
-        return ["bias", f"s:{s}", f"s:{s} z:{zone}", f"s:{s} b:{b} z:{zone}", f"s:{s} a:{a} z:{zone}", f"s:{s} o:{many}", f"l:{size} s:{s}", f"first:{k == self.begin}", f"up:{line.isupper()}", f"end:{MARK.search(line[-2:]) is not None}"]
+        return ["bias", f"s:{s}", f"s:{s} z:{zone}", f"s:{s} b:{b} z:{zone}", f"s:{s} a:{a} z:{zone}", f"s:{s} o:{many}", f"l:{size} s:{s}", f"first:{k == self.begin}", f"up:{line.isupper()}", f"end:{MARK.search(line[-2:]) is not None}", *(_hashed(line) if s != "prose" else ())]
 
     def tree(self) -> list[tuple[int, str]]:
         """Of each seen line its parent (the place of another in `seen`, or -1 - zone for a zone) and the kind of the edge."""
-        zones = {"before": -1, "article": -2, "after": -3, "none": -4}
+        zones = {z: -k for k, z in enumerate(ZONES, 1)}
         out, head = [], None
         for place, k in enumerate(self.seen):
             s, zone = self.shapes[k], self.zone(k)
@@ -229,8 +241,8 @@ _FLAT = ((0.5, 0.5), (0.5, 0.5))
 
 
 class Model:
-    def __init__(self, often: dict[int, float], weights: dict[str, float], edges: dict[str, tuple]):
-        self.often, self.weights, self.edges = often, weights, edges
+    def __init__(self, often: dict[int, float], weights: dict[str, float], edges: dict[str, tuple], zones: dict[str, tuple[float, float]]):
+        self.often, self.weights, self.edges, self.zones = often, weights, edges, zones
 
     def marginals(self, page: Page) -> list[float]:
         """Of each seen line the probability of being content: sum-product over the page's tree."""
@@ -241,8 +253,8 @@ class Model:
             w = min(max(sum(get(f, 0.0) for f in page.features(k)), -30.0), 30.0)
             p = 1 / (1 + math.exp(-w))
             inside.append([1 - p, p])
-        # zones hang on the root; their states are as their names say, but may be overruled
-        zones = {-1: [0.9, 0.1], -2: [0.1, 0.9], -3: [0.9, 0.1], -4: [0.7, 0.3]}
+        # zones hang on the root, whose message to them is learned
+        zones = {-k: [*self.zones[z]] for k, z in enumerate(ZONES, 1)}
         up = [(0.5, 0.5)] * n
         psi = [self.edges.get(kind, _FLAT) for _, kind in tree]  # parent's state, child's state
         for i in range(n - 1, -1, -1):  # a parent always stands before its children
@@ -279,6 +291,7 @@ def train(texts: list[str], often: dict[int, float] | None = None) -> Model:
     pages = [Page(t, often) for t in texts]
     index: dict[str, int] = {}
     rows, y, edges = [], [], {}
+    tally = {z: [0, 0] for z in ZONES}
     for page in pages:
         labels = page.labels()
         states = {-1: 0, -2: 1, -3: 0}
@@ -287,20 +300,26 @@ def train(texts: list[str], often: dict[int, float] | None = None) -> Model:
                 continue
             rows.append([index.setdefault(f, len(index)) for f in page.features(k)])
             y.append(labels[k])
+            tally[page.zone(k)][labels[k]] += 1
             above = labels[page.seen[parent]] if parent >= 0 else states.get(parent)
             if above is not None:
                 edges.setdefault(kind, np.ones((2, 2)))[above, labels[k]] += 1
     weights: dict[str, float] = {}
     if rows:
-        x, t = np.array(rows), np.array(y, float)
+        flat, counts = np.fromiter((f for x in rows for f in x), np.int64), np.array([len(x) for x in rows])
+        first, own, t = np.cumsum(counts) - counts, np.repeat(np.arange(len(rows)), counts), np.array(y, float)
+        hold = np.array([HOLD if f.startswith("w:") else 1e-5 for f in index])
         w, speed = np.zeros(len(index)), np.zeros(len(index))
         for _ in range(ROUNDS):
-            g = (1 / (1 + np.exp(-w[x].sum(1))) - t) / len(t)
-            speed = 0.9 * speed + np.bincount(x.ravel(), np.repeat(g, x.shape[1]), len(index)) + 1e-5 * w
+            g = (1 / (1 + np.exp(-np.add.reduceat(w[flat], first))) - t) / len(t)
+            speed = 0.9 * speed + np.bincount(flat, g[own], len(index)) + hold * w
             w = w - 0.4 * speed
         weights = {f: float(w[k]) for f, k in index.items()}
+    # what the root says of its zones: how many of their lines are content
+    zones = {z: (1.0 + tally[z][0], 1.0 + tally[z][1]) for z in ZONES}
+    zones = {z: (a / (a + b), b / (a + b)) for z, (a, b) in zones.items()}
     # potentials, tempered so that a line's own features are not counted twice
-    return Model(often, weights, {k: tuple(map(tuple, np.sqrt(v / v.sum(1, keepdims=True)).tolist())) for k, v in edges.items()})
+    return Model(often, weights, {k: tuple(map(tuple, np.sqrt(v / v.sum(1, keepdims=True)).tolist())) for k, v in edges.items()}, zones)
 
 
 _LINES = pa.schema([("doc", pa.int64()), ("linea", pa.int64())])
