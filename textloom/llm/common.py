@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -102,6 +103,31 @@ def sample_rows(df: DataFrame, id_col: str, text_col: str, columns: list, most:
     return picked.filter(F.col("_h") <= last).dropDuplicates(["_h"]).orderBy("_h").select(*columns).collect()
 
 
+#: Bits of a filter at most.
+SIEVE_BITS = 1 << 28
+
+
+class BitFilter:
+    """Which values a column may have, by a hash: it never denies one that is there."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def has(self, value: str | bytes) -> bool:
+        h = xxhash.xxh64_intdigest(value, 42) % (64 * len(self.bits))
+        return bool(int(self.bits[h >> 6]) >> (h & 63) & 1)
+
+
+def bit_filter(df: DataFrame, column: str, most_bits: int = SIEVE_BITS) -> BitFilter:
+    """A filter of the values of a column (string or binary), made in parallel; 16 bits a row, but most_bits at most."""
+    bits = min(most_bits, 1 << max(6, (16 * df.count()).bit_length()))
+    place = df.select(F.pmod(F.xxhash64(column), F.lit(bits)).alias("p")).select(F.shiftright("p", 6).alias("k"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in place.groupBy("k").agg(F.bit_or("b").alias("b")).collect():
+        out[r["k"]] = r["b"]
+    return BitFilter(out.view(np.uint64))
+
+
 #: Two-letter codes of the languages whose three-letter codes occur as labels.
 CODES3 = {
     "spa": "es", "eng": "en", "por": "pt", "fra": "fr", "fre": "fr", "ita": "it", "cat": "ca", "deu": "de", "ger": "de", "zho": "zh", "chi": "zh", "jpn": "ja", "rus": "ru",

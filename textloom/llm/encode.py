@@ -1,9 +1,10 @@
 """Problem 8: encoding of a corpus with a public tokenizer, each shared piece of text once.
 
 A text is cut where a rolling hash of its last characters says so, so equal passages of
-different texts give equal pieces. Each distinct piece is encoded once; where two pieces meet,
-the stretch between the last sure token boundary of the left one and the first of the right one
-is encoded again.
+different texts give equal pieces. Pieces are counted by their hashes first. A text all of whose
+pieces stand in it alone has nothing to share and is encoded where it is. Of the others each
+distinct piece is encoded once; where two pieces meet, the stretch between the last sure token
+boundary of the left one and the first of the right one is encoded again.
 
 A sure boundary is a place that the tokenizer's pattern never has inside a pre-token, whatever
 stands around it: before white space that follows something else, and between a letter or a digit
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import os
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import code_points, emit, map_arrow, spread
+from .common import bit_filter, code_points, emit, map_arrow, spread
 
 #: Fixed value: the pattern that comes with the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -122,6 +124,7 @@ def join_pieces(enc, parts: list[tuple[list[int], int, int]]) -> list[int]:
     return out + open_ids
 
 
+_HASHES = pa.schema([("h", pa.binary()), ("n", pa.int64())])
 _TEXTS = pa.schema([("h", pa.binary()), ("piece", pa.string())])
 _CODED = pa.schema([("h", pa.binary()), ("ids", pa.list_(pa.int32())), ("head", pa.int32()), ("tail", pa.int32())])
 
@@ -131,8 +134,10 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     An empty and a null text have an empty list. A row that repeats another's id and text gives no further row; one
     id with two texts gives two; a null id is treated as any other. Other columns of df are not looked at.
-    Shuffled are each distinct piece once per task, and its ids; a piece that a third of all texts have is joined
-    by many tasks (AQE splits the side of the documents).
+    Shuffled are a hash and a count for each piece, and of texts that share pieces each distinct piece once per task
+    and its ids; a piece that a third of all texts have is joined by many tasks (AQE splits the side of the documents).
+    Which pieces are shared goes to every task as a filter of at most SIEVE_BITS bits, which may take an unshared one
+    for shared, never the other way.
     """
     path = path or f"{tokenizer_dir()}/byte_bpe_50k.tiktoken"
     id_type = to_arrow_type(df.schema[id_col].dataType)
@@ -141,10 +146,26 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out_schema = pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
     filled = docs.filter(F.length("text") > 0)
 
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield emit(list(Counter(xxhash.xxh3_128_digest(p.encode()) for t in b["text"].to_pylist() for p in pieces(t)).items()), _HASHES)
+
+    shared = bit_filter(map_arrow(filled.select("text"), hashes, _HASHES).groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "h")
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for b in batches:
+            yield emit([(i, enc.encode_ordinary(t)) for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()) if not shares(t)], out_schema)
+
+    def shares(text: str) -> bool:
+        return any(shared.has(xxhash.xxh3_128_digest(p.encode())) for p in pieces(text))
+
     def refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+                if not shares(t):
+                    continue
                 whole = xxhash.xxh3_64_intdigest(t.encode()) - 2**63
                 rows += [(i, whole, k, xxhash.xxh3_128_digest(p.encode())) for k, p in enumerate(pieces(t))]
             yield emit(rows, refs_schema)
@@ -153,7 +174,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seen: set[bytes] = set()
         for b in batches:
             rows = []
-            for t in b["text"].to_pylist():
+            for t in filter(shares, b["text"].to_pylist()):
                 for p in pieces(t):
                     if (h := xxhash.xxh3_128_digest(p.encode())) not in seen:
                         if len(seen) >= 500_000:  # only saves shuffling; the next stage keeps one of each anyway
@@ -191,7 +212,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = map_arrow(filled, refs, refs_schema).distinct().join(coded, "h").select("doc_id", "whole", "seq", "ids", "head", "tail")
     whole = map_arrow(joined.repartition("doc_id", "whole").sortWithinPartitions("doc_id", "whole", "seq"), join, out_schema)
     empty = docs.filter(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id").distinct().select("doc_id", F.array().cast("array<int>").alias("ids"))
-    return whole.unionByName(empty)
+    return map_arrow(filled, alone, out_schema).unionByName(whole).unionByName(empty)
 
 
 def token_counts(df: DataFrame, keep: list[str], text_col: str, path: str | None = None) -> DataFrame:

@@ -23,17 +23,15 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from .common import cut_lineage, emit, format_of, map_arrow, parts_for, spread
+from .common import BitFilter, bit_filter, cut_lineage, emit, format_of, map_arrow, parts_for, spread
 
-#: How often a word must be read to be in the lexicon; bytes of a lexicon that goes to every task; of a block of documents; bits of the sieve at most.
-LEAST_COUNT, LEXICON_BYTES, BLOCK_BYTES, SIEVE_BITS = 3, 64 << 20, 4 << 20, 1 << 28
+#: How often a word must be read to be in the lexicon; bytes of a lexicon that goes to every task; of a block of documents.
+LEAST_COUNT, LEXICON_BYTES, BLOCK_BYTES = 3, 64 << 20, 4 << 20
 #: What a scanner reads, and what stood there.
 CONFUSIONS = (
     ("ii", "u"), ("c", "e"), ("@", "a"), ("l", "i"), ("0", "o"), ("5", "s"), ("†", "t"), ("ri", "n"), ("cl", "d"), ("d", "cl"), ("1", "l"), ("1", "i"), ("rn", "m"), ("y", "v"), ("9", "g"), ("6", "b"), ("li", "h"),
@@ -512,28 +510,19 @@ def word_counts(df: DataFrame, text_col: str = "texto", format_col: str = "forma
 
 
 class Sieve:
-    """Which words a lexicon may have and how they may begin: a filter of at most SIEVE_BITS bits. It never denies one that is there, so it only saves looking up."""
+    """Which words a lexicon may have and how they may begin. It never denies one that is there, so it only saves looking up."""
 
-    def __init__(self, bits: np.ndarray):
+    def __init__(self, bits: BitFilter):
         self.bits, self.counts = bits, self
 
     def __contains__(self, w: str) -> bool:
-        h = xxhash.xxh64_intdigest(w, 42) % (64 * len(self.bits))
-        return bool(self.bits[h >> 6] >> np.uint64(h & 63) & np.uint64(1))
+        return self.bits.has(w)
 
     begins = __contains__
 
 
 def sieve(words: DataFrame) -> Sieve:
-    size = words.agg(F.sum(F.length("palabra"))).first()[0] or 1
-    bits = min(SIEVE_BITS, max(64, 1 << (16 * size).bit_length()))
-    begins = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("palabra")), lambda k: F.left("palabra", k))).alias("p"))
-    place = F.pmod(F.xxhash64("p"), F.lit(bits))
-    rows = begins.select(F.shiftright(place, 6).alias("k"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(p), {bits}L) & 63 as int))").alias("b")).groupBy("k").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(bits // 64, np.int64)
-    for r in rows.collect():
-        out[r["k"]] = r["b"]
-    return Sieve(out.view(np.uint64))
+    return Sieve(bit_filter(words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("palabra")), lambda k: F.left("palabra", k))).alias("p")), "p"))
 
 
 def candidates(text: str, source: str | None, known: Lexicon, may: Sieve) -> set[str]:
