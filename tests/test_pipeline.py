@@ -126,3 +126,93 @@ def test_corpus(spark):
     sizes = spark.createDataFrame([("a", 0, 5), ("b", 3, 0)], "format string, characters long, size_bytes long")
     r = corpus.report_totals(sizes).first()
     assert (r.min_caracteres, r.max_caracteres, r.min_bytes) == (3, 3, 5)
+
+
+def test_failures_are_rows_and_come_again(spark, folder, tmp_path):
+    import shutil
+
+    inbox, log = tmp_path / "in", str(tmp_path / "log")
+    inbox.mkdir()
+    shutil.copy(f"{folder}/F1_IA/a.txt", inbox / "a.txt")
+    shutil.copy(f"{folder}/F2_LEO/f.md", inbox / "f.md")
+    flag = str(tmp_path / "repaired")
+
+    def state(path, content):
+        import os
+
+        if path.endswith(".md") and not os.path.exists(flag):
+            raise ValueError("no reader")
+        return "OK"
+
+    assert ingest.run_available(spark, str(inbox), log, str(tmp_path / "ck"), ingest.per_file(state)) == 2
+    rows = {r.path.rpartition("/")[2]: r for r in spark.read.parquet(log).collect()}
+    assert rows["a.txt"].status == "OK" and rows["f.md"].status == ingest.FAILED and rows["f.md"].error == "ValueError: no reader"
+    assert ingest.retry(spark, log, ingest.per_file(state)) == 1  # fails again
+    open(flag, "w").close()
+    assert ingest.retry(spark, log, ingest.per_file(state)) == 1 and ingest.retry(spark, log, ingest.per_file(state)) == 0
+    assert spark.read.parquet(log).filter("status = 'OK'").count() == 2
+    assert ingest.retry(spark, str(tmp_path / "none"), ingest.per_file(state)) == 0
+
+
+def test_contents_of_selected_files(spark, folder):
+    got = {r.path.partition("/corpus0/")[2]: r.length for r in listing.read_content(spark, folder).select("path", "length").collect()}
+    assert any(p.endswith("tiles/2/0/x.pbf") for p in got) and not any(p.endswith(("tiles/1/0/x.pbf", "catalog.json", "f.md")) for p in got)
+    assert set(got) == {r.path.partition("/corpus0/")[2] for r in listing.select_files(listing.list_files(spark, folder)).collect()}
+
+
+def test_line_number_of_a_broken_line(spark, tmp_path):
+    p = tmp_path / "q.jsonl"
+    p.write_text('{"query_id": "q1"}\n\n{broken\n')
+    with pytest.raises(checks.ConstraintError, match="line 3"):
+        lines.read_queries(spark, str(p))
+
+
+def test_delivery(spark):
+    def row(k, **change):
+        docs = [{"rank": i, "doc_id": f"d{i}"} for i in (1, 2, 3)]
+        frags = [{"rank": i, "chunk_id": f"c{i}", "doc_id": "d1", "text": "Una frase."} for i in range(1, 11)]
+        return (k, json.dumps({"query_id": f"q{k:03d}", "documents": docs, "fragments": frags} | change))
+
+    bad = [row(1), row(2, query_id="q009"), row(3, extra=1), row(4, documents=[{"rank": 1, "doc_id": "d", "x": 1}]), row(5, fragments=[{"rank": 2, "chunk_id": "", "doc_id": "d", "text": "x"}])]
+    got = {(r.linea, r.motivo) for r in checks.delivery_violations(spark.createDataFrame(bad, "linea int, value string"), 5).collect()}
+    assert got == {(2, "orden"), (3, "claves"), (4, "claves de elementos"), (5, "vacio"), (5, "rank")}
+    assert {r.linea for r in checks.delivery_violations(spark.createDataFrame(bad[:1], "linea int, value string"), 5).collect()} == {0}
+
+
+def test_base_and_manifest(spark, tmp_path):
+    chunk = spark.createDataFrame([("A", f"A-{k}", "f", "txt", 1, k, 2, "Dos palabras.") for k in range(3)], "doc_id string, chunk_id string, fuente string, formato string, fenomeno int, posicion int, num_tokens int, texto string")
+    base = vectorbase.build(chunk, vectorbase.HashEncoder(4))
+    told = vectorbase.manifest(base, "fake", 4)
+    assert told["versiones"]["pyspark"] and checks.base_violations(base, told).count() == 0
+    got = {(r.motivo, r.n) for r in checks.base_violations(base, told | {"dimension": 8, "num_vectores": 5, "parcial": True}).collect()}
+    assert got == {("dimension", 3), ("num_vectores", -2), ("parcial", 1)}
+
+
+def test_json_report(spark):
+    docs = spark.createDataFrame([("a", '{"t": "x", "l": [1, 2]}'), ("b", '{"t": "y", "l": [1, 3]}'), ("c", "[1]"), ("d", "{x"), ("e", None), ("f", '{"t": 1}')], "doc string, j string")
+    assert {(r.raiz, r.documentos) for r in corpus.root_kinds(docs, "j").collect()} == {("dict", 3), ("list", 1), ("error", 2)}
+    assert [r.doc for r in corpus.parse_errors(docs, "j", "doc").collect()] == ["d"]
+    assert {(r.raiz, r.documentos, tuple(r.rutas)) for r in corpus.schema_report(docs, "j", "doc").collect()} == {("dict", 2, ("a", "b")), ("list", 1, ("c",)), ("dict", 1, ("f",))}
+    assert sorted((r.clave, r.n) for r in corpus.schema_keys(docs, "j").collect()) == [("l", 2), ("t", 1), ("t", 2)]
+    profile = {r.path: r for r in corpus.field_profile(docs, "j", "doc").collect()}
+    assert profile["t"].documentos == 3 and set(profile["t"].muestras) == {"x", "y"}
+    assert [r.path for r in corpus.ranked_fields(corpus.field_profile(docs, "j", "doc"), corpus.field_kinds(docs, "j"), "mixto").collect()] == ["t"]
+
+
+def test_tables_written_together(spark, tmp_path):
+    from textloom.session import write_together
+
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    write_together(spark, {a: spark.range(3), b: spark.range(4)})
+    with pytest.raises(Exception):
+        write_together(spark, {a: spark.range(9), b: spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))})
+    assert spark.read.parquet(a).count() == 3 and spark.read.parquet(b).count() == 4 and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+
+
+def test_tokens_of_a_vocabulary():
+    import os
+
+    count = chunker.bpe_counter(f"{os.environ.get('TEXTLOOM_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.tiktoken")
+    assert count("") == 0 and count("a") == 1 and count("<|endoftext|>") > 1
+    done = chunker.chunk_text("Una frase corta. Otra frase algo más larga que aquella. Fin.", "txt", chunker.ChunkConfig(18, 100, 0), count)
+    assert len(done.chunks) > 1 and all(c["num_tokens"] <= 18 for c in done.chunks)

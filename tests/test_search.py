@@ -54,9 +54,6 @@ def test_documents_and_tiers(data):
         want = sorted(sums, key=lambda d: (-sums[d], d))[:3]
         assert [top[query, r][0] for r in (1, 2, 3)] == want
     assert search.tiers(1000) == [60, 240, 960, 1000] and search.tiers(10) == [10]
-    depth = search.adaptive_depth(hits, 120, usable=F.col("vec_id") % 40 == 0, fragments=3)
-    assert {r.depth for r in depth.collect()} == {120}
-    assert {r.depth for r in search.adaptive_depth(hits, 120).collect()} == {60}
     meta = df.select("vec_id", "doc_id")
     deep = search.adaptive_hits(q, df, meta, 120, F.col("vec_id") % 40 == 0, fragments=3, first=30)
     assert {r[0]: r[1] for r in deep.groupBy("query_id").agg(F.max("rank")).collect()} == {0: 120, 3: 120}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import names
 from .operators import chunker, corpus, reports, search, vectorbase
 from .plans import pipeline
-from .session import build, ship
+from .session import build, ship, write_together
 from .sources import lines
 from .streaming import ingest
 
@@ -35,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
     command("search", ("--base", need), ("--query", need), ("-k", {"type": int, "default": 10}), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}))
     command("verify", ("--base", need))
     command("answer", ("--base", need), ("--queries", need), ("--out", need), ("--model", {"default": "fake"}), ("--dim", {"type": int, "default": 8}), ("--first-k", {"type": int, "default": 60}), ("--within-documents", {"action": "store_true"}))
-    command("ingest", ("--corpus", need), ("--log", need), ("--checkpoint", need))
+    command("ingest", ("--corpus", need), ("--log", need), ("--checkpoint", need), ("--retry", {"action": "store_true"}))
     command("report", ("--records", need), ("--out", need), ("--format", {"default": "json"}))
     command("summary", ("--log", need))
     return p
@@ -56,15 +56,15 @@ def run(a: argparse.Namespace) -> None:
         errors = chunker.errors_of(done)
         if cfg.on_oversize == "fail" and (bad := errors.limit(1).collect()):
             raise chunker.OversizeError(f"{bad[0]['doc_id']}: {bad[0]['motivo']}")
-        chunker.chunks_of(done).write.mode("overwrite").parquet(a.out)
-        for path, df in ((a.errors, errors), (a.warnings, chunker.warnings_of(done))):
-            if path:
-                df.write.mode("overwrite").parquet(path)
+        tables = {a.out: chunker.chunks_of(done), a.errors: errors, a.warnings: chunker.warnings_of(done)}
+        write_together(spark, {path: df for path, df in tables.items() if path})
     elif a.command in ("index", "extend"):
         encoder = vectorbase.make_encoder(a.model, a.dim)
         base = vectorbase.build(read(a.chunks), encoder, a.model) if a.command == "index" else vectorbase.extend(read(a.base), read(a.chunks), encoder, a.model)
         base.write.mode("errorifexists").parquet(a.out)
-        print(json.dumps(vectorbase.manifest(read(a.out), a.model, a.dim), ensure_ascii=False))
+        manifest = json.dumps(vectorbase.manifest(read(a.out), a.model, a.dim), ensure_ascii=False)
+        spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.out.rstrip('/')}.manifest")
+        print(manifest)
     elif a.command == "reencode":
         encoder = vectorbase.make_encoder(a.model, a.dim)
         new = vectorbase.encode(read(a.chunks).select("chunk_id", "texto"), "texto", encoder, names.prefixes_for(a.model)[1])
@@ -85,7 +85,7 @@ def run(a: argparse.Namespace) -> None:
         out.orderBy("query_id").coalesce(1).write.mode("overwrite").json(a.out)
     elif a.command == "ingest":
         state = lambda files: files.select("path", "sha256", F.when(F.length("content") > 0, "OK").otherwise("TEXTO_VACIO").alias("status"))
-        print(ingest.run_available(spark, a.corpus, a.log, a.checkpoint, state))
+        print(ingest.retry(spark, a.log, state) if a.retry else ingest.run_available(spark, a.corpus, a.log, a.checkpoint, state))
     elif a.command == "report":
         reports.write_report(read(a.records), a.out, a.format)
     else:

@@ -69,6 +69,37 @@ def untraceable(fragments: DataFrame, chunks: DataFrame) -> DataFrame:
     return x.withColumn("motivo", why).filter("motivo is not null").select("chunk_id", "motivo")
 
 
+def delivery_violations(lines: DataFrame, queries: int = 50) -> DataFrame:
+    """linea, motivo: raw results (linea from 1, value as JSON) that aren't q001, q002, ... in order, have other keys than theirs at any level, or empty or mistyped ids; and a row with linea 0 if there aren't as many as queries."""
+    v = F.col("value")
+    keys = lambda j, *names: F.array_sort(F.coalesce(F.json_object_keys(j), F.array().cast("array<string>"))) != F.array(*(F.lit(n) for n in sorted(names)))
+    items = lambda path: F.coalesce(F.from_json(F.get_json_object(v, path), "array<string>"), F.array().cast("array<string>"))
+    text = lambda j, n: F.coalesce(F.length(F.get_json_object(j, f"$.{n}")), F.lit(0)) == 0
+    number = lambda a: F.exists(F.transform(a, lambda j, k: ~F.get_json_object(j, "$.rank").eqNullSafe((k + 1).cast("string"))), lambda x: x)
+    d, f = items("$.documents"), items("$.fragments")
+    reasons = [
+        F.when(F.get_json_object(v, "$.query_id").isNull() | (F.get_json_object(v, "$.query_id") != F.format_string("q%03d", "linea")), "orden"),
+        F.when(keys(v, "query_id", "documents", "fragments"), "claves"),
+        F.when(F.exists(d, lambda j: keys(j, "rank", "doc_id")) | F.exists(f, lambda j: keys(j, "rank", "chunk_id", "doc_id", "text")), "claves de elementos"),
+        F.when(F.exists(d, lambda j: text(j, "doc_id")) | F.exists(f, lambda j: text(j, "chunk_id") | text(j, "doc_id") | text(j, "text")), "vacio"),
+        F.when(number(d) | number(f), "rank"),
+    ]
+    broken = lines.select(F.col("linea").cast("int").alias("linea"), F.explode(F.array_compact(F.array(*reasons))).alias("motivo"))
+    count = lines.agg(F.count("*").alias("n")).filter(F.col("n") != queries).select(F.lit(0).alias("linea"), F.concat(F.lit("consultas: "), F.col("n").cast("string")).alias("motivo"))
+    return broken.unionByName(count)
+
+
+def base_violations(base: DataFrame, manifest: dict) -> DataFrame:
+    """motivo, n: a base that isn't what its manifest says: its dimension, its number of vectors, that it is whole, each chunk once, lengths of 1."""
+    x = base.agg(
+        F.count_if(~F.size("embedding").eqNullSafe(F.lit(manifest.get("dimension")))).alias("dimension"), F.count_if(~is_unit(F.col("embedding"))).alias("norma"),
+        (F.count("*") - F.count_distinct("chunk_id")).alias("repetidos"), (F.count("*") - F.lit(manifest.get("num_vectores"))).alias("num_vectores"),
+    )
+    names = ("dimension", "norma", "repetidos", "num_vectores")
+    rows = x.select(F.inline(F.array(*(F.struct(F.lit(n).alias("motivo"), F.col(n).cast("long").alias("n")) for n in names), F.struct(F.lit("parcial").alias("motivo"), F.lit(int(bool(manifest.get("parcial")))).cast("long").alias("n")))))
+    return rows.filter("n <> 0")
+
+
 def result_violations(results: DataFrame, documents: int = 3, fragments: int = 10, max_words: int = 250) -> DataFrame:
     """query_id, motivo: results without the right numbers of distinct documents and fragments, ranks from 1, or fragments too long or not ending a sentence."""
     d, f = F.col("documents"), F.col("fragments")

@@ -52,6 +52,12 @@ def duplicates(df: DataFrame, key: Column, item: str) -> DataFrame:
     return df.withColumn("clave", key).filter("clave is not null").groupBy("clave").agg(F.count("*").alias("n"), F.min(item).alias("primero")).filter("n > 1")
 
 
+def duplicate_members(df: DataFrame, key: Column, item: str) -> DataFrame:
+    """clave, n, item: one row for each member of a group of duplicates, so that no group is gathered, however large."""
+    x = df.withColumn("clave", key)
+    return x.join(duplicates(df, key, item).select("clave", "n"), "clave").select("clave", "n", item)
+
+
 def repeated_page_lines(pages: DataFrame, doc: str, text_col: str, share: float = 0.6, least_pages: int = 3) -> DataFrame:
     """doc, linea, paginas: lines that stand on at least `share` of a document's pages, if it has `least_pages`."""
     x = pages.select(F.col(doc).alias("doc"), F.col(text_col).alias("t"))
@@ -70,12 +76,16 @@ def without_repeated_lines(pages: Column, share: float = 0.6, least_pages: int =
     return run(pages)
 
 
-def deepest_tiles(files: DataFrame, path: str = "path") -> DataFrame:
+def deepest_zooms(files: DataFrame, path: str = "path") -> DataFrame:
+    """_r, _m: each tile pyramid and its largest zoom; a small table, where a window would bring a whole pyramid into one task."""
+    x = files.select(names.tile_root(F.col(path)).alias("_r"), names.tile_zoom(F.col(path)).alias("_z"))
+    return x.filter("_r is not null and _z is not null").groupBy("_r").agg(F.max("_z").alias("_m"))
+
+
+def deepest_tiles(files: DataFrame, path: str = "path", zooms: DataFrame | None = None) -> DataFrame:
     """Of each tile pyramid the files of the largest zoom; files outside of any stay."""
     x = files.withColumns({"_r": names.tile_root(F.col(path)), "_z": names.tile_zoom(F.col(path))})
-    # the largest zoom of each pyramid is a small table; a window would bring a whole pyramid into one task
-    top = x.filter("_r is not null and _z is not null").groupBy("_r").agg(F.max("_z").alias("_m"))
-    y = x.join(top, "_r", "left").filter("_r is null or _z is null or _z = _m")
+    y = x.join(deepest_zooms(files, path) if zooms is None else zooms, "_r", "left").filter("_r is null or _z is null or _z = _m")
     return y.drop("_r", "_z", "_m")
 
 
@@ -91,15 +101,30 @@ def latest(log: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def field_profile(docs: DataFrame, json_col: str, doc: str) -> DataFrame:
-    """Per path of the JSON documents: documents, occurrences, characters of text (sum, least, largest), addresses, PDFs."""
+    """Per path of the JSON documents: documents, occurrences, characters of text (sum, least, largest), addresses, PDFs, and up to three samples of its text: the first and the last by order, and the first document's."""
     flat = docs.select(F.col(doc).alias("doc"), F.inline(jsonx.flatten(F.col(json_col))))
     n = F.when(F.length("text") > 0, F.length("text"))
     return flat.groupBy("path").agg(
         F.count_distinct("doc").alias("documentos"), F.count("*").alias("apariciones"), F.coalesce(F.sum(n), F.lit(0)).alias("caracteres"), F.min(n).alias("min_caracteres"), F.max(n).alias("max_caracteres"),
         F.count_if(F.col("kind") == "url").alias("urls"), F.count_if((F.col("kind") == "pdf_url") | (F.col("kind") == "url") & names.is_pdf_reference(F.col("text"))).alias("pdfs"),
+        F.array_compact(F.array_distinct(F.array(F.min(F.nullif("text", F.lit(""))), F.max(F.nullif("text", F.lit(""))), F.min_by(F.nullif("text", F.lit("")), "doc")))).alias("muestras"),
     )
 
 
+def ranked_fields(profile: DataFrame, kinds: DataFrame, which: str, most: int = 20, only_text: bool = False) -> DataFrame:
+    """The first fields of a profile (a report): `texto` by documents and characters (only_text: without those that hold addresses), `url` and `pdf` by how many they hold, `mixto` those of several kinds."""
+    n = kinds.groupBy("path").agg(F.count_distinct("kind").alias("tipos"))
+    x = profile.join(n, "path")
+    plain = (F.col("urls") == 0) & (F.col("pdfs") == 0) if only_text else F.lit(True)
+    keep, by = {
+        "texto": ((F.col("caracteres") > 0) & plain, ("documentos", "caracteres")),
+        "url": (F.col("urls") > 0, ("urls", "documentos")),
+        "pdf": ((F.col("pdfs") > 0) | F.lower("path").contains("pdf") if only_text else F.col("pdfs") > 0, ("pdfs", "documentos")),
+        "mixto": (F.col("tipos") > 1, ("documentos", "tipos")),
+    }[which]
+    return x.filter(keep).orderBy(*(F.desc(c) for c in by), "path").limit(most)
+
+
 def field_kinds(docs: DataFrame, json_col: str) -> DataFrame:
     """path, kind, n."""
     return docs.select(F.inline(jsonx.flatten(F.col(json_col)))).groupBy("path", "kind").agg(F.count("*").alias("n"))
@@ -110,6 +135,32 @@ def schema_clusters(docs: DataFrame, json_col: str, doc: str, with_length: bool
     return docs.select(F.col(doc).alias("doc"), jsonx.fingerprint(F.col(json_col), with_length).alias("huella")).filter("huella is not null").groupBy("huella").agg(F.count("*").alias("documentos"), F.min("doc").alias("ejemplo"))
 
 
+def schema_report(docs: DataFrame, json_col: str, doc: str, with_length: bool = True) -> DataFrame:
+    """huella, raiz, documentos, rutas: the clusters of documents by structure, with the kind of their root and the first five documents by order (kept five at a time, so no cluster is gathered)."""
+    x = docs.select(F.col(doc).alias("doc"), F.col(json_col).alias("_j"), jsonx.fingerprint(F.col(json_col), with_length).alias("huella")).filter("huella is not null").withColumn("raiz", jsonx.root_kind(F.col("_j")))
+    # five of each of many parts of a cluster, then five of these
+    part = F.pmod(F.xxhash64("doc"), F.lit(256))
+    w = W.partitionBy("huella", "_p").orderBy("doc")
+    few = x.withColumn("_p", part).withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= 5).groupBy("huella").agg(F.slice(F.array_sort(F.collect_list("doc")), 1, 5).alias("rutas"))
+    return x.groupBy("huella", "raiz").agg(F.count("*").alias("documentos")).join(few, "huella")
+
+
+def schema_keys(docs: DataFrame, json_col: str, with_length: bool = True) -> DataFrame:
+    """huella, clave, n: how many documents of each cluster have each top-level key."""
+    x = docs.select(jsonx.fingerprint(F.col(json_col), with_length).alias("huella"), F.explode(F.json_object_keys(json_col)).alias("clave"))
+    return x.groupBy("huella", "clave").agg(F.count("*").alias("n"))
+
+
+def root_kinds(docs: DataFrame, json_col: str) -> DataFrame:
+    """raiz, documentos: documents by the kind of their root; `error` for those that aren't JSON."""
+    return docs.groupBy(F.coalesce(jsonx.root_kind(F.col(json_col)), F.lit("error")).alias("raiz")).agg(F.count("*").alias("documentos"))
+
+
+def parse_errors(docs: DataFrame, json_col: str, doc: str) -> DataFrame:
+    """doc, comienzo: the documents that aren't JSON."""
+    return docs.filter(F.col(json_col).isNotNull() & jsonx.root_kind(F.col(json_col)).isNull()).select(F.col(doc).alias("doc"), F.left(json_col, F.lit(80)).alias("comienzo"))
+
+
 def pdf_status(pages: Column, with_text: Column, with_images: Column, characters: Column, errors: Column) -> Column:
     """The state of a PDF from what its pages gave."""
     return (

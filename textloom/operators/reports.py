@@ -65,6 +65,33 @@ def diagnose_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(category[F.lower("formato")], F.lit("DESCONOCIDO")).alias("categoria"), (state == "valido").alias("valido"), why.alias("motivo"), F.lit("local").alias("estrategia"), F.coalesce(F.length("texto"), F.lit(0)).alias("caracteres"))
 
 
+def page_diagnosis(pages: F.Column, least_page: int = 30, least: int = 200, letters: float = 0.40) -> F.Column:
+    """A struct from the cleaned pages of a document (array<string>): paginas, vacias, con_texto, ruido (fewer than least_page characters), caracteres, letras, motivo."""
+    filled = F.filter(pages, lambda p: F.length(p) > 0)
+    whole = F.array_join(filled, "\n\n")
+
+    def judge(w: F.Column) -> F.Column:
+        noise = F.size(F.filter(pages, lambda p: (F.length(p) > 0) & (F.length(p) < least_page)))
+        ratio = F.round(text.letter_ratio(w), 6)
+        why = (
+            F.when(F.length(w) == 0, "sin texto: necesita OCR").when(F.length(w) < least, "texto corto").when(text.letter_ratio(w) < letters, "posible OCR deficiente")
+            .when(2 * noise > F.size(filled), "páginas casi vacías").otherwise("texto válido")
+        )
+        return F.struct(F.size(pages).alias("paginas"), (F.size(pages) - F.size(filled)).alias("vacias"), F.size(filled).alias("con_texto"), noise.alias("ruido"), F.length(w).alias("caracteres"), ratio.alias("letras"), why.alias("motivo"))
+
+    return text.bind(whole, judge)
+
+
+def by_characters(diagnoses: DataFrame, most: int = 200) -> DataFrame:
+    """The documents with most characters (a report)."""
+    return diagnoses.orderBy(F.desc("caracteres"), "doc_id").limit(most)
+
+
+def as_row(df: DataFrame, out: str = "registro") -> DataFrame:
+    """Every row as one JSON object, as a log keeps it."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(out))
+
+
 def image_status(width: F.Column, height: F.Column, brightness: F.Column, spread: F.Column, edges: F.Column, characters: F.Column) -> F.Column:
     """The state of a scanned image from its measures and what OCR read; the first that holds."""
     return (

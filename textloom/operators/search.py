@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot
+from ..session import cut_lineage
 
 #: Bytes of query vectors up to which they go to every task; beyond, queries and vectors meet in blocks.
 BROADCAST_BYTES = 32 << 20
@@ -19,7 +20,12 @@ _HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), dtype=np.float64) if len(column) else np.zeros((0, 0))
+    """Arrays of one length as the rows of a matrix, from their common buffer of values."""
+    if not len(column):
+        return np.zeros((0, 0))
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
 def _best(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> pa.RecordBatch:
@@ -112,29 +118,21 @@ def tiers(n: int, first: int = 60, factor: int = 4) -> list[int]:
     return out
 
 
-def adaptive_depth(hits: DataFrame, n: int, doc: str = "doc_id", usable: Column | None = None, documents: int = 3, fragments: int = 10, first: int = 60) -> DataFrame:
-    """query_id, depth: for each query the first tier with enough documents and usable fragments, else the last.
-
-    hits must be ranked as deep as the last tier. One aggregation evaluates all tiers.
-    """
-    usable = usable if usable is not None else F.lit(True)
-    levels = tiers(n, first)
-    per_doc = hits.groupBy("query_id", doc).agg(F.min("rank").alias("r"), *(F.count_if(usable & (F.col("rank") <= t)).alias(f"f{t}") for t in levels))
-    sums = per_doc.groupBy("query_id").agg(*(F.count_if(F.col("r") <= t).alias(f"d{t}") for t in levels), *(F.sum(f"f{t}").alias(f"f{t}") for t in levels))
-    choice = F.coalesce(*(F.when((F.col(f"d{t}") >= documents) & (F.col(f"f{t}") >= fragments), F.lit(t)) for t in levels), F.lit(levels[-1]))
-    return sums.select("query_id", choice.alias("depth"))
-
-
-def adaptive_hits(queries: DataFrame, vectors: DataFrame, meta: DataFrame, n: int, usable: Column, doc: str = "doc_id", documents: int = 3, fragments: int = 10, first: int = 60) -> DataFrame:
+def adaptive_hits(queries: DataFrame, vectors: DataFrame, meta: DataFrame, n: int, usable: Column, doc: str = "doc_id", documents: int = 3, fragments: int = 10, first: int = 60, within: bool = False) -> DataFrame:
     """The hits of each query at the first tier with enough documents and usable fragments: only queries that lack some are searched again, four times as deep.
 
-    meta has vec_id, doc and what `usable` names. One search per tier that any query needs; nearly always one.
+    within: enough are so many hits of any kind within the best documents of the tier, whose sums of scores depend on
+    its depth. meta has vec_id, doc and what `usable` names. One search per tier that any query needs; nearly always
+    one. Hits are kept in the shared folder (spark.checkpoint.dir), so that no tier is searched twice.
     """
     levels, left, out = tiers(n, first), queries, None
     for t in levels:
-        hits = knn(left, vectors, t).join(meta, "vec_id").persist()
+        hits = cut_lineage(knn(left, vectors, t).join(meta, "vec_id"))
         if t != levels[-1]:
-            enough = hits.groupBy("query_id").agg(F.count_distinct(doc).alias("d"), F.count_if(usable).alias("f")).filter((F.col("d") >= documents) & (F.col("f") >= fragments)).select("query_id")
+            if within:
+                enough = rank_documents(hits, documents, doc).groupBy("query_id").agg(F.sum("chunks").alias("f")).filter(F.col("f") >= fragments).select("query_id")
+            else:
+                enough = hits.groupBy("query_id").agg(F.count_distinct(doc).alias("d"), F.count_if(usable).alias("f")).filter((F.col("d") >= documents) & (F.col("f") >= fragments)).select("query_id")
             lacking = left.join(enough, "query_id", "left_anti")
             more = not lacking.isEmpty()
             hits = hits.join(enough, "query_id", "left_semi") if more else hits

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import platform
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, text, vectors
 from ..session import cut_lineage
-from .checks import ConstraintError, duplicate_keys, missing_columns, not_unit, require
+from .checks import ConstraintError, base_violations, duplicate_keys, missing_columns, not_unit, require
 
 BLOCK = 2048
 Encoder = Callable[[list[str]], np.ndarray]
@@ -174,4 +175,24 @@ def truncated(chunks: DataFrame, limit: int, most: int = 200) -> DataFrame:
 
 def manifest(base: DataFrame, model: str, dim: int, **more) -> dict:
     q, p = names.prefixes_for(model)
-    return {"modelo": model, "dimension": dim, "prefijo_consulta": q, "prefijo_pasaje": p, "tipo_indice": "plano", "metrica": "producto interior", "vectores_normalizados": True, "num_vectores": base.count(), **more}
+    return {"modelo": model, "dimension": dim, "prefijo_consulta": q, "prefijo_pasaje": p, "tipo_indice": "plano", "metrica": "producto interior", "vectores_normalizados": True, "num_vectores": base.count(), "versiones": versions(), **more}
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """A stored base, checked against the manifest beside it; an error if it isn't what that says."""
+    base = spark.read.parquet(path)
+    require(base_violations(base, json.loads(spark.read.text(f"{path.rstrip('/')}.manifest", wholetext=True).first()[0])), "base and manifest differ")
+    return base
+
+
+def versions() -> dict[str, str]:
+    """The versions of what a base was built with."""
+    from importlib.metadata import PackageNotFoundError, version
+
+    out = {"python": platform.python_version()}
+    for name in ("pyspark", "pyarrow", "numpy", "pandas"):
+        try:
+            out[name] = version(name)
+        except PackageNotFoundError:
+            continue
+    return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -115,6 +117,16 @@ def adaptive_k_results(spark, d):
     return hits.groupBy("query_id").agg(F.max("rank").alias("depth"))
 
 
+@query(_KNN + """, n AS (SELECT count(*) AS n FROM embeddings), lv AS (SELECT DISTINCT least(t, n) AS tier FROM n, (VALUES (12), (48), (192), (768), (3072), (12288), (49152), (196608)) x(t)),
+g AS (SELECT query_id, tier, doc_id, round(sum(score), 4) AS s, count(*) AS c FROM h, lv WHERE rank <= tier GROUP BY ALL), ok AS (SELECT query_id, tier, sum(c) AS c FROM (SELECT *, row_number() OVER (PARTITION BY query_id, tier ORDER BY s DESC, doc_id) AS k FROM g) WHERE k <= 3 GROUP BY ALL)
+SELECT query_id, coalesce(min(tier) FILTER (WHERE c >= 10), max(tier))::int AS depth FROM ok GROUP BY query_id""")
+def adaptive_k_within_documents(spark, d):
+    """The depth from which the three best documents have ten hits."""
+    q, v = _vectors(spark, d)
+    hits = search.adaptive_hits(q, v, v.select("vec_id", F.col("label").alias("doc_id")), max(v.count(), 1), F.lit(True), first=12, within=True)
+    return hits.groupBy("query_id").agg(F.max("rank").alias("depth"))
+
+
 @query(_KNN + " SELECT query_id, vec_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM h WHERE rank <= 60 QUALIFY rank <= 10")
 def fragments_global(spark, d):
     return search.fragments(_hits(spark, d, 60), most=10).select("query_id", "vec_id", "doc_id", "score", "rank")
@@ -139,9 +151,12 @@ def vector_normalize(spark, d):
     return t(spark, d, "embeddings").select("vec_id", F.round(F.aggregate(vectors.normalize(tripled), F.lit(0.0), lambda a, x: a + x.cast("double")), 3).alias("suma"))
 
 
-@query("SELECT vec_id, embedding FROM embeddings WHERE false")
+@query("SELECT vec_id, CASE WHEN vec_id % 11 <> 0 THEN 2.0::DOUBLE END AS largo FROM embeddings WHERE vec_id % 7 = 0 OR vec_id % 11 = 0")
 def vector_unit_violations(spark, d):
-    return checks.not_unit(t(spark, d, "embeddings")).select("vec_id", "embedding")
+    """Every seventh vector twice as long, every eleventh missing."""
+    v = t(spark, d, "embeddings")
+    planted = F.when(F.col("vec_id") % 11 == 0, None).when(F.col("vec_id") % 7 == 0, F.transform("embedding", lambda x: x * 2)).otherwise(F.col("embedding"))
+    return checks.not_unit(v.withColumn("embedding", planted)).select("vec_id", F.round(vectors.norm(F.col("embedding")), 3).alias("largo"))
 
 
 @query("SELECT chunk_id, row_number() OVER (ORDER BY d, doc_id, posicion, chunk_id) - 1 AS ordinal FROM (SELECT DISTINCT chunk_id, doc_id, posicion, sha256(doc_id) >= '8' AS d FROM chunks WHERE trim(texto) <> '')")
@@ -194,10 +209,15 @@ def vector_base(spark, d):
     return base.filter(vectors.is_unit(F.col("embedding"))).select("ordinal", "chunk_id", "doc_id", "posicion", F.sha2("texto", 256).alias("huella"))
 
 
-@query("SELECT NULL::bigint AS n WHERE false")
+@query("""WITH o AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS o, count(*) OVER () AS n FROM documents), p AS (SELECT 'hueco' AS caso, CASE WHEN o = n - 1 THEN o + 1 ELSE o END AS o FROM o UNION ALL SELECT 'repetido', o // 2 * 2 FROM o UNION ALL SELECT 'desde uno', o + 1 FROM o)
+SELECT caso, count(*) AS n, count(DISTINCT o) AS distintos, min(o) AS primero, max(o) AS ultimo FROM p GROUP BY caso""")
 def ordinal_violations(spark, d):
+    """The ordinals of a base as they are, which break nothing, and with a gap, repeated, and from 1."""
     v = vectorbase.with_ordinals(t(spark, d, "documents").select("doc_id"), ["doc_id"])
-    return checks.ordinal_gaps(v).select("n")
+    last, o = v.agg(F.max("ordinal")).first()[0], F.col("ordinal")
+    cases = {"entero": o, "hueco": F.when(o == last, o + 1).otherwise(o), "repetido": o - o % 2, "desde uno": o + 1}
+    out = [checks.ordinal_gaps(v.select(e.alias("ordinal"))).withColumn("caso", F.lit(name)) for name, e in cases.items()]
+    return reduce(DataFrame.unionByName, out).select("caso", "n", "distintos", "primero", "ultimo")
 
 
 @query()
@@ -207,11 +227,13 @@ def text_search_end_to_end(spark, d):
     return pipeline.answer(base, t(spark, d, "consultas"), vectorbase.HashEncoder(16))
 
 
-@query("SELECT ''::varchar AS chunk_id, ''::varchar AS motivo WHERE false")
+@query("""SELECT chunk_id || CASE WHEN h >= 'c' THEN '-x' ELSE '' END AS chunk_id, CASE WHEN h < '4' THEN 'otro documento' WHEN h < '8' THEN 'texto ajeno' ELSE 'desconocido' END AS motivo
+FROM (SELECT DISTINCT chunk_id, sha256(chunk_id)[1] AS h FROM chunks) WHERE h < '8' OR h >= 'c'""")
 def traceability_violations(spark, d):
-    c = _chunks(spark, d)
-    frags = c.select("chunk_id", "doc_id", text.complete_sentences(F.col("texto")).alias("text")).filter("text is not null")
-    return checks.untraceable(frags, c)
+    """Fragments of chunks, of which by a hash some name another document, some have another text, some an unknown chunk; the others break nothing."""
+    c, h = _chunks(spark, d), F.substring(F.sha2("chunk_id", 256), 1, 1)
+    wrong_doc, wrong_text, wrong_id = F.when(h < "4", F.concat("doc_id", F.lit("-x"))).otherwise(F.col("doc_id")), F.when((h >= "4") & (h < "8"), F.concat(F.lit("\x01"), "texto")).otherwise(F.col("texto")), F.when(h >= "c", F.concat("chunk_id", F.lit("-x"))).otherwise(F.col("chunk_id"))
+    return checks.untraceable(c.select(wrong_id.alias("chunk_id"), wrong_doc.alias("doc_id"), wrong_text.alias("text")), c)
 
 
 # --- text -----------------------------------------------------------------------------------------------------------
@@ -311,7 +333,11 @@ def boilerplate_lines(spark, d):
     return corpus.repeated_page_lines(pages, "source", "text", 0.02)
 
 
-@query()
+@query(rf"""WITH r AS (SELECT row_number() OVER () AS id, doc_id, string_split_regex(texto, '\n[ \t]*\n') AS ps FROM mini_corpus WHERE lower(trim(formato)) = 'pdf' AND texto IS NOT NULL),
+p AS (SELECT id, doc_id, len(ps) AS np, unnest(range(1, len(ps) + 1)) AS p, unnest(ps) AS x FROM r), l AS (SELECT id, np, p, unnest(range(1, len(string_split(x, chr(10))) + 1)) AS k, unnest(string_split(x, chr(10))) AS x FROM p),
+m AS (SELECT *, regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g') AS y FROM l), g AS (SELECT id, y FROM m WHERE y <> '' AND np >= 3 GROUP BY id, np, y HAVING count(DISTINCT p) >= ceil(0.6 * np - 1e-9)),
+k AS (SELECT id, p, string_agg(x, chr(10) ORDER BY k) AS x FROM m WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.id = m.id AND g.y = m.y) GROUP BY id, p)
+SELECT doc_id, np::int AS paginas, sha256(string_agg(coalesce(k.x, ''), chr(10) || chr(10) ORDER BY p.p)) AS huella FROM p LEFT JOIN k USING (id, p) GROUP BY p.id, doc_id, np""")
 def boilerplate_removed(spark, d):
     pages = t(spark, d, "mini_corpus").filter("lower(trim(formato)) = 'pdf' and texto is not null").select("doc_id", F.split("texto", r"\n[ \t]*\n").alias("p"))
     return pages.select("doc_id", corpus.without_repeated_lines(F.col("p"), 0.6).alias("q")).select("doc_id", F.size("q").alias("paginas"), F.sha2(F.array_join("q", "\n\n"), 256).alias("huella"))
@@ -331,6 +357,11 @@ def content_hash(spark, d):
     return t(spark, d, "documents").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("huella"))
 
 
+@query("SELECT sha256(text) AS clave, count(*) OVER (PARTITION BY text) AS n, doc_id FROM documents WHERE text IS NOT NULL QUALIFY count(*) OVER (PARTITION BY text) > 1")
+def duplicate_members(spark, d):
+    return corpus.duplicate_members(t(spark, d, "documents"), F.sha2("text", 256), "doc_id")
+
+
 @query("SELECT sha256(text) AS clave, count(*) AS n, min(doc_id) AS primero FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def duplicate_groups(spark, d):
     return corpus.duplicates(t(spark, d, "documents"), F.sha2("text", 256), "doc_id")
@@ -437,11 +468,16 @@ def manifest_exclusion(spark, d):
     return t(spark, d, "corpus_report").select("path").distinct().filter(~names.is_manifest(F.col("path")))
 
 
-@query("SELECT doc_id, chunk_id, motivo FROM (SELECT c.doc_id, chunk_id, CASE WHEN substr(m.texto, char_start + 1, char_end - char_start) <> c.texto THEN 'no es su tramo' END AS motivo FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST) c JOIN (SELECT DISTINCT doc_id, texto FROM mini_corpus) m USING (doc_id)) WHERE motivo IS NOT NULL")
+@query(r"""WITH m AS (SELECT DISTINCT doc_id, texto FROM mini_corpus), c AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, num_tokens NULLS LAST),
+p AS (SELECT * REPLACE (CASE WHEN sha256(chunk_id) < '4' THEN char_start + 1 ELSE char_start END AS char_start, CASE WHEN sha256(chunk_id) >= 'e' THEN posicion + 7 ELSE posicion END AS posicion) FROM c),
+x AS (SELECT p.*, m.texto AS t, coalesce(max(char_end) OVER w, 0) AS antes, row_number() OVER (PARTITION BY p.doc_id ORDER BY posicion) - 1 AS fila FROM p JOIN m USING (doc_id) WINDOW w AS (PARTITION BY p.doc_id ORDER BY posicion ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT doc_id, chunk_id, unnest(list_filter([CASE WHEN coalesce(length(texto), 0) = 0 THEN 'vacio' END, CASE WHEN substr(t, char_start + 1, char_end - char_start) IS DISTINCT FROM texto THEN 'no es su tramo' END, CASE WHEN fila <> posicion THEN 'posicion' END,
+  CASE WHEN num_tokens > 200 OR num_palabras > 120 THEN 'limite' END, CASE WHEN char_start > antes AND regexp_replace(substr(t, antes + 1, char_start - antes), '[\s\x0b\x{a0}]+', '', 'g') <> '' THEN 'hueco' END], lambda y: y IS NOT NULL)) AS motivo FROM x""".replace("\\\\", "\\"))
 def chunk_slice_violations(spark, d):
-    """The chunks of the table that aren't the slice of their document."""
-    c, m = _chunks(spark, d), t(spark, d, "mini_corpus").select("doc_id", "texto").distinct()
-    return checks.chunk_violations(c, m, 10**9, 10**9).filter("motivo = 'no es su tramo'")
+    """The chunks of the table, of which by a hash some begin a character later and some have another position, against their documents and tighter limits."""
+    c, m, h = _chunks(spark, d), t(spark, d, "mini_corpus").select("doc_id", "texto").distinct(), F.sha2("chunk_id", 256)
+    planted = c.withColumns({"char_start": F.when(h < "4", F.col("char_start") + 1).otherwise(F.col("char_start")), "posicion": F.when(h >= "e", F.col("posicion") + 7).otherwise(F.col("posicion"))})
+    return checks.chunk_violations(planted, m, 200, 120)
 
 
 @query("SELECT doc_id, chunk_id, 'texto_vacio' AS motivo FROM chunks WHERE regexp_replace(coalesce(texto, ''), '[\\s\\x0b\\x{a0}]+', '', 'g') = ''".replace("\\\\", "\\"))
@@ -467,6 +503,44 @@ def sentences(spark, d):
     return _documents(spark, d).select("doc_id", F.inline(run(F.col("texto"))))
 
 
+_BLOCKS = rf"""WITH d AS (SELECT DISTINCT doc_id, texto FROM mini_corpus WHERE texto IS NOT NULL), p AS (SELECT doc_id, string_split_regex(texto, '\n[ \t]*\n+') AS ps, regexp_extract_all(texto, '\n[ \t]*\n+') AS gs FROM d),
+b AS (SELECT doc_id, unnest(range(1, len(ps) + 1)) AS i, unnest(ps) AS x, unnest(list_transform(range(1, len(ps) + 1), lambda i: coalesce(list_sum(list_transform(ps[1:i - 1], lambda y: length(y))), 0) + coalesce(list_sum(list_transform(gs[1:i - 1], lambda y: length(y))), 0))) AS a FROM p),
+l AS (SELECT doc_id, i, a, length(x) AS largo, x, string_split_regex(x, '\r\n|[\n\x0b\f\r\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]') AS ls FROM b WHERE x <> ''),
+h AS (SELECT *, len(ls) - (ls[-1] = '')::int AS n, regexp_replace(ls[1], '^{_SP}+|{_SP}+$', '', 'g') AS s FROM l),
+t AS (SELECT *, s <> '' AND NOT regexp_matches(s, '^(?:[-*•]|\d+[.)]){_SP}+') AND NOT regexp_matches(s, '[.?!…]$') AND len(regexp_extract_all(s, '{_NSP}+')) <= 10 AND length(s) <= 120 AS cabeza FROM h),
+u AS (SELECT *, cabeza AND n = 1 AS sola, lead(i) OVER w IS NOT NULL AS sigue, sum((NOT (cabeza AND n = 1))::int) OVER (PARTITION BY doc_id ORDER BY i) AS tramo FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+v AS (SELECT *, sum(sola::int) OVER (PARTITION BY doc_id, tramo ORDER BY i) AS turno FROM u),
+x AS (SELECT *, coalesce(lag(sola AND turno % 2 = 1) OVER (PARTITION BY doc_id ORDER BY i), false) AS dentro, lead(a + largo) OVER (PARTITION BY doc_id ORDER BY i) AS fin_sig, lead(x) OVER (PARTITION BY doc_id ORDER BY i) AS x_sig FROM v),
+blk AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS bloque, a AS inicio, CASE WHEN sola AND sigue THEN fin_sig ELSE a + largo END AS fin, CASE WHEN sola THEN sigue ELSE cabeza AND n > 1 END AS titulo, regexp_matches(x || CASE WHEN sola AND sigue THEN x_sig ELSE '' END, '{_NSP}') AS lleno FROM x WHERE NOT dentro)"""
+
+
+@query(_BLOCKS + " SELECT doc_id, bloque::int AS bloque, inicio::int AS inicio, fin::int AS fin, titulo FROM blk")
+def text_blocks(spark, d):
+    return chunker.text_blocks(_documents(spark, d))
+
+
+@query(_BLOCKS + f""", f AS (SELECT doc_id, count(*) FILTER (WHERE titulo) + (NOT arg_min(titulo, bloque))::int AS trozos FROM blk WHERE lleno GROUP BY doc_id)
+SELECT doc_id, trozos::int AS trozos, len(regexp_extract_all(texto, '{_NSP}'))::int AS letras, true AS en_orden, true AS son_tramos FROM f JOIN d USING (doc_id)""")
+def chunk_reconstruction(spark, d):
+    """With limits that nothing reaches, chunks end where headings begin; together they are their documents: every character that is no white space once, in order, each its slice."""
+    docs = _documents(spark, d)
+    c = chunker.chunk_documents(docs, chunker.ChunkConfig(10**8, 10**8, 0)).join(docs.select("doc_id", F.col("texto").alias("_t")), "doc_id")
+    slice_ = F.col("_t").substr(F.col("char_start") + 1, F.col("char_end") - F.col("char_start"))
+    return c.groupBy("doc_id").agg(
+        F.count("*").cast("int").alias("trozos"), F.sum(F.regexp_count("texto", F.lit(rf"(?!{text.SPACE})(?s:.)"))).cast("int").alias("letras"),
+        ((F.max("posicion") == F.count("*") - 1) & (F.count_distinct("posicion") == F.count("*"))).alias("en_orden"), F.bool_and(slice_ == F.col("texto")).alias("son_tramos"),
+    )
+
+
+@query("SELECT 'palabras' AS limite, 0::bigint AS pasados, true AS fichas UNION ALL SELECT 'fichas', 0, true")
+def chunk_token_limits(spark, d):
+    """Chunks under a limit of words, and of tokens of a byte-level vocabulary: how many are over it, and whether tokens are more than words, so that the two limits differ."""
+    docs, counter = _documents(spark, d), chunker.bpe_counter(f"{os.environ.get('TEXTLOOM_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.tiktoken")
+    cases = {"palabras": chunker.ChunkConfig(10**6, 120, 1), "fichas": chunker.ChunkConfig(160, 10**6, 1)}
+    out = [chunker.chunk_documents(docs, cfg, counter).agg(F.count_if((F.col("num_tokens") > cfg.max_tokens) | (F.col("num_palabras") > cfg.max_words)).alias("pasados"), (F.sum("num_tokens") > F.sum("num_palabras")).alias("fichas")).withColumn("limite", F.lit(name)) for name, cfg in cases.items()]
+    return reduce(DataFrame.unionByName, out).select("limite", "pasados", "fichas")
+
+
 @query()
 def chunks(spark, d):
     return chunker.chunk_documents(_documents(spark, d), chunker.ChunkConfig(120, 120, 1))
@@ -516,7 +590,7 @@ def chunk_prefix_sums(spark, d):
 
 @query("SELECT 'k' AS path, count(DISTINCT event_id) AS documentos, count(*) AS apariciones, 0::bigint AS caracteres, NULL::int AS min_caracteres, NULL::int AS max_caracteres, 0::bigint AS urls, 0::bigint AS pdfs FROM events WHERE props->>'$.k' IS NOT NULL")
 def json_field_profile(spark, d):
-    return corpus.field_profile(t(spark, d, "events"), "props", "event_id")
+    return corpus.field_profile(t(spark, d, "events"), "props", "event_id").drop("muestras")
 
 
 @query("SELECT 'k' AS path, 'int' AS kind, count(*) AS n FROM events WHERE props->>'$.k' IS NOT NULL")
@@ -524,9 +598,50 @@ def json_field_kinds(spark, d):
     return corpus.field_kinds(t(spark, d, "events"), "props")
 
 
-@query()
+_ARTICLES = rf"""WITH m AS (SELECT DISTINCT doc_id, fenomeno, texto, string_split(texto, chr(10))[1] AS titulo, string_split_regex(texto, '\n\s*\n') AS ps FROM mini_corpus WHERE lower(formato) = 'json' AND texto IS NOT NULL),
+f AS (SELECT doc_id, CASE WHEN fenomeno = 1 THEN 'title' WHEN fenomeno = 2 THEN 'headline' ELSE 'titulo' END AS path, titulo AS v FROM m UNION ALL SELECT doc_id, 'pdf_url', 'https://x.org/a.pdf' FROM m WHERE fenomeno = 2
+  UNION ALL SELECT doc_id, 'resumen', texto FROM m WHERE coalesce(fenomeno, 0) NOT IN (1, 2) UNION ALL SELECT doc_id, 'body_paragraphs[]', unnest(ps) FROM m WHERE fenomeno = 1),
+g AS (SELECT doc_id, path, row_number() OVER () AS o, regexp_replace(v, '^{_SP}+|{_SP}+$', '', 'g') AS v FROM f),
+k AS (SELECT doc_id, path, v, o, CASE WHEN v = '' THEN 'empty_string' WHEN regexp_matches(v, '(?i)^https?://[^/?#\s]+') THEN 'url' WHEN lower(v) LIKE '%.pdf' OR lower(v) LIKE '%.pdf?%' OR lower(v) LIKE '%.pdf#%' THEN 'pdf_url' WHEN length(v) >= 160 THEN 'long_text' WHEN length(v) >= 40 THEN 'text' ELSE 'short_text' END AS kind FROM g
+  UNION ALL SELECT doc_id, 'body_paragraphs', array_to_string(list_filter(list_transform(ps, lambda x: regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10)), 0, 'list' FROM m WHERE fenomeno = 1)"""
+
+
+@query(_ARTICLES + """ SELECT path, count(DISTINCT doc_id) AS documentos, count(*) AS apariciones, coalesce(sum(length(v)) FILTER (WHERE v <> ''), 0)::bigint AS caracteres, min(length(v)) FILTER (WHERE v <> '')::int AS min_caracteres, max(length(v)) FILTER (WHERE v <> '')::int AS max_caracteres,
+count(*) FILTER (WHERE kind = 'url') AS urls, count(*) FILTER (WHERE kind = 'pdf_url' OR kind = 'url' AND regexp_matches(lower(v), '\\.pdf($|[?#])')) AS pdfs, sha256(min(v) FILTER (WHERE v <> '')) AS primera FROM k GROUP BY path""".replace("\\\\", "\\"))
+def json_article_profile(spark, d):
+    """The fields of nested documents: lists and their items, with a sample."""
+    return corpus.field_profile(_articles(spark, d), "j", "doc_id").withColumn("primera", F.sha2(F.try_element_at("muestras", F.lit(1)), 256)).drop("muestras")
+
+
+@query(_ARTICLES + " SELECT path, kind, count(*) AS n FROM k GROUP BY ALL")
+def json_article_kinds(spark, d):
+    return corpus.field_kinds(_articles(spark, d), "j")
+
+
+@query(_ARTICLES + """, p AS (SELECT path, count(DISTINCT doc_id) AS documentos, coalesce(sum(length(v)), 0) AS caracteres, count(*) FILTER (WHERE kind = 'url') AS urls, count(DISTINCT kind) AS tipos FROM k GROUP BY path),
+r AS (SELECT 'texto' AS lista, path, row_number() OVER (ORDER BY documentos DESC, caracteres DESC, path) AS puesto FROM p WHERE caracteres > 0 AND urls = 0 UNION ALL SELECT 'url', path, row_number() OVER (ORDER BY urls DESC, documentos DESC, path) FROM p WHERE urls > 0
+UNION ALL SELECT 'mixto', path, row_number() OVER (ORDER BY documentos DESC, tipos DESC, path) FROM p WHERE tipos > 1) SELECT lista, path, puesto::int AS puesto FROM r""")
+def json_field_rankings(spark, d):
+    a = _articles(spark, d)
+    profile, kinds = corpus.field_profile(a, "j", "doc_id"), corpus.field_kinds(a, "j")
+    w = {"texto": ("documentos", "caracteres"), "url": ("urls", "documentos"), "mixto": ("documentos", "tipos")}
+    out = [corpus.ranked_fields(profile, kinds, which, only_text=True).withColumn("puesto", F.row_number().over(W.orderBy(*(F.desc(c) for c in by), "path"))).select(F.lit(which).alias("lista"), "path", "puesto") for which, by in w.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(_ARTICLES + """, c AS (SELECT doc_id, string_agg(path || '=' || kinds || coalesce('#' || n, ''), ';' ORDER BY path) AS forma FROM (
+  SELECT doc_id, k.path, array_to_string(list(kind ORDER BY i)[1:12], ',') AS kinds, CASE WHEN k.path = 'body_paragraphs[]' THEN count(*) END AS n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, path ORDER BY o) AS i FROM k) k GROUP BY doc_id, k.path) GROUP BY doc_id)
+SELECT 'dict' AS raiz, count(*) AS documentos, array_to_string(list_sort(list(doc_id))[1:5], ',') AS rutas FROM c GROUP BY forma""")
 def json_schema_clusters(spark, d):
-    return corpus.schema_clusters(_articles(spark, d), "j", "doc_id")
+    return corpus.schema_report(_articles(spark, d), "j", "doc_id").select("raiz", "documentos", F.array_join("rutas", ",").alias("rutas"))
+
+
+@query("SELECT CASE event_id % 5 WHEN 0 THEN 'list' WHEN 1 THEN 'error' WHEN 2 THEN 'int' WHEN 3 THEN 'str' ELSE 'dict' END AS raiz, count(*) AS documentos FROM events GROUP BY 1")
+def json_root_kinds(spark, d):
+    """Kinds of roots, of which a fifth isn't JSON."""
+    n = F.col("event_id") % 5
+    j = F.when(n == 0, "[1, 2]").when(n == 1, '{"k": ').when(n == 2, "7").when(n == 3, '"x"').otherwise(F.col("props"))
+    return corpus.root_kinds(t(spark, d, "events").select(j.alias("j")), "j")
 
 
 def _articles(spark: SparkSession, d: str) -> DataFrame:
@@ -542,9 +657,13 @@ def json_resolution(spark, d):
     return _articles(spark, d).select("doc_id", jsonx.resolution(F.col("j"))["strategy"].alias("estrategia"))
 
 
-@query()
+@query(rf"""WITH m AS (SELECT DISTINCT doc_id, fenomeno, texto, string_split(texto, chr(10))[1] AS titulo, string_split_regex(texto, '\n\s*\n') AS ps FROM mini_corpus WHERE lower(formato) = 'json' AND texto IS NOT NULL),
+x AS (SELECT doc_id, regexp_replace(titulo, '^{_SP}+|{_SP}+$', '', 'g') AS a, array_to_string(list_filter(list_transform(ps, lambda x: regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10)) AS b FROM m WHERE fenomeno = 1)
+SELECT doc_id, sha256(regexp_replace(a || chr(10) || chr(10) || b, '^{_SP}+|{_SP}+$', '', 'g')) AS huella FROM x WHERE b <> ''""")
 def json_article_text(spark, d):
-    return _articles(spark, d).select("doc_id", jsonx.json_text(F.col("j")).alias("texto"))
+    """Of the articles with paragraphs."""
+    x = _articles(spark, d).filter(F.col("j").contains('"body_paragraphs"')).select("doc_id", "j", jsonx.resolution(F.col("j"))["strategy"].alias("e")).filter("e = 'local'")
+    return x.select("doc_id", F.sha2(jsonx.json_text(F.col("j")), 256).alias("huella"))
 
 
 @query("SELECT n_nationkey, 'n_nationkey: ' || n_nationkey || ' | n_name: ' || n_name || ' | n_regionkey: ' || n_regionkey AS linea FROM nation")
@@ -578,10 +697,34 @@ def diagnosis_by_category(spark, d):
     return x.groupBy("categoria").agg(F.count("*").alias("n"), F.count_if("valido").alias("validos"))
 
 
-@query(_DIAG + " SELECT count(*) AS total, count(*) FILTER (WHERE motivo = 'texto válido') AS validos, count(*) FILTER (WHERE categoria = 'PDF') AS pdf, count(*) FILTER (WHERE categoria = 'JSON') AS json, count(*) FILTER (WHERE contains(lower(motivo), 'ocr')) AS pdf_ocr, count(*) FILTER (WHERE categoria = 'PDF' AND caracteres = 0) AS pdf_vacios FROM c")
+@query(_DIAG + """ SELECT count(*) AS total, count(*) FILTER (WHERE motivo = 'texto válido') AS validos, count(*) FILTER (WHERE motivo <> 'texto válido') AS invalidos, count(*) FILTER (WHERE categoria = 'JSON') AS json, count(*) FILTER (WHERE categoria = 'PDF') AS pdf, count(*) FILTER (WHERE categoria = 'HTML') AS html,
+count(*) FILTER (WHERE categoria = 'IMAGEN') AS imagen, count(*) FILTER (WHERE categoria = 'EXCEL') AS excel, count(*) FILTER (WHERE categoria = 'TXT') AS txt, count(*) FILTER (WHERE categoria = 'ERROR') AS error, count(*) FILTER (WHERE categoria = 'DESCONOCIDO') AS desconocido, 0::bigint AS manifiestos, 0::bigint AS catalogos,
+count(*) FILTER (WHERE contains(lower(motivo), 'ocr')) AS pdf_ocr, 0::bigint AS pdf_corruptos, count(*) FILTER (WHERE categoria = 'PDF' AND caracteres = 0) AS pdf_vacios, 0::bigint AS json_desconocidos FROM c""")
 def diagnosis_statistics(spark, d):
-    x = reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct())
-    return reports.diagnosis_statistics(x).select("total", "validos", "pdf", "json", "pdf_ocr", "pdf_vacios")
+    return reports.diagnosis_statistics(reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct()))
+
+
+@query(_DIAG + " SELECT doc_id, caracteres, row_number() OVER (ORDER BY caracteres DESC, doc_id)::int AS puesto FROM c QUALIFY puesto <= 200")
+def documents_by_characters(spark, d):
+    x = reports.by_characters(reports.diagnose_documents(t(spark, d, "mini_corpus").select("doc_id", "formato", "texto").distinct()))
+    return x.select("doc_id", "caracteres", F.row_number().over(W.orderBy(F.desc("caracteres"), "doc_id")).alias("puesto"))
+
+
+@query(rf"""WITH r AS (SELECT DISTINCT doc_id, list_transform(string_split_regex(texto, '\n[ \t]*\n'), lambda x: regexp_replace(x, '^{_SP}+|{_SP}+$', '', 'g')) AS ps FROM mini_corpus WHERE lower(trim(formato)) = 'pdf' AND texto IS NOT NULL),
+a AS (SELECT doc_id, len(ps) AS n, list_filter(ps, lambda x: x <> '') AS f FROM r), b AS (SELECT doc_id, n, len(f) AS c, len(list_filter(f, lambda x: length(x) < 30)) AS q, array_to_string(f, chr(10) || chr(10)) AS w FROM a), e AS (SELECT *, CASE WHEN w = '' THEN 0 ELSE len(regexp_extract_all(w, '\p{{L}}')) / length(w) END AS l FROM b)
+SELECT doc_id, n::int AS paginas, (n - c)::int AS vacias, c::int AS con_texto, q::int AS ruido, length(w)::int AS caracteres, round(l, 6) AS letras,
+CASE WHEN w = '' THEN 'sin texto: necesita OCR' WHEN length(w) < 200 THEN 'texto corto' WHEN l < 0.40 THEN 'posible OCR deficiente' WHEN 2 * q > c THEN 'páginas casi vacías' ELSE 'texto válido' END AS motivo FROM e""")
+def pdf_page_diagnosis(spark, d):
+    """The pieces between blank lines taken as pages."""
+    x = t(spark, d, "mini_corpus").filter("lower(trim(formato)) = 'pdf' and texto is not null").select("doc_id", "texto").distinct()
+    return x.select("doc_id", reports.page_diagnosis(F.transform(F.split("texto", r"\n[ \t]*\n"), text.strip)).alias("q")).select("doc_id", "q.*")
+
+
+@query("SELECT n_nationkey, '{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || ',\"nada\":null}' AS registro FROM nation")
+def rows_as_json(spark, d):
+    """Rows as a log keeps them, nulls included."""
+    x = t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey", F.lit(None).cast("string").alias("nada"))
+    return reports.as_row(x).select(F.get_json_object("registro", "$.n_nationkey").cast(x.schema["n_nationkey"].dataType).alias("n_nationkey"), "registro")
 
 
 @query("SELECT k AS clave, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY k ORDER BY n DESC, k LIMIT 20")
@@ -589,12 +732,12 @@ def json_top_keys(spark, d):
     return reports.key_frequency(t(spark, d, "events"), "props")
 
 
-@query("SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS largo FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id IN (SELECT round(i * (n - 1) / 99)::bigint FROM range(100) r(i))")
+@query("SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS largo FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id IN (SELECT round(i * (n - 1) / (least(n, 1000) - 1))::bigint FROM range(1000) r(i) WHERE i < n)")
 def vector_norm_sample(spark, d):
-    """A hundred evenly spaced vectors' lengths (a sample is what it reports)."""
+    """A thousand evenly spaced vectors' lengths at most (a sample is what it reports)."""
     v = t(spark, d, "embeddings")
     n = v.count()
-    at = sorted({int(i * (n - 1) / 99 + 0.5) for i in range(100)}) if n else [-1]
+    at = sorted({int(i * (n - 1) / max(1, min(n, 1000) - 1) + 0.5) for i in range(min(n, 1000))}) if n else [-1]
     return v.filter(F.col("vec_id").isin(at)).select("vec_id", F.round(vectors.norm(F.col("embedding")), 6).alias("largo"))
 
 

@@ -23,14 +23,14 @@ def documents_from_files(spark: SparkSession, folder: str) -> tuple[DataFrame, D
 
 
 def answer(base: DataFrame, queries: DataFrame, encoder: vectorbase.Encoder, model: str = "fake", first: int = 60, documents: int = 3, fragments: int = 10, within: bool = False) -> DataFrame:
-    """query_id, documents, fragments for questions (query_id string, pregunta): the depth grows by tiers until enough documents and whole-sentence fragments are found."""
+    """query_id, documents, fragments for questions (query_id string, pregunta): the depth grows by tiers until enough documents and whole-sentence fragments are found; with `within`, until the best documents have enough hits, of which fragments are then taken."""
     n = base.count()
     vec = base.select(F.col("ordinal").alias("vec_id"), "embedding")
     q = vectorbase.encode(queries.select("query_id", "pregunta"), "pregunta", encoder, names.prefixes_for(model)[0])
     q = vectorbase.with_ordinals(q, ["query_id"]).withColumnRenamed("query_id", "nombre").withColumnRenamed("ordinal", "query_id")
     meta = base.select(F.col("ordinal").alias("vec_id"), "doc_id", "chunk_id", text.complete_sentences(F.col("texto")).alias("text"))
     usable = F.col("text").isNotNull()
-    hits = search.adaptive_hits(q.select("query_id", "embedding"), vec, meta, max(n, 1), usable, documents=documents, fragments=fragments, first=first)
+    hits = search.adaptive_hits(q.select("query_id", "embedding"), vec, meta, max(n, 1), usable, documents=documents, fragments=fragments, first=first, within=within)
     top = search.rank_documents(hits, documents)
     frags = search.fragments(hits, top if within else None, fragments, usable=usable)
     return search.results(top, frags).join(q.select("query_id", "nombre"), "query_id").select(F.col("nombre").alias("query_id"), "documents", "fragments")

@@ -50,3 +50,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
     return df.checkpoint()
+
+
+def write_together(spark: SparkSession, outputs: dict[str, DataFrame]) -> None:
+    """Writes tables to their paths, all or none: each beside its path first, and only when all are written they take their places."""
+    path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = {p: path(p).getFileSystem(spark._jsc.hadoopConfiguration()) for p in outputs}
+    staged = {p: f"{p.rstrip('/')}.part" for p in outputs}
+    try:
+        for p, df in outputs.items():
+            df.write.mode("overwrite").parquet(staged[p])
+        for p in outputs:
+            fs[p].delete(path(p), True)
+            if not fs[p].rename(path(staged[p]), path(p)):
+                raise OSError(f"{p} could not be put in its place")
+    finally:
+        for p in outputs:
+            fs[p].delete(path(staged[p]), True)

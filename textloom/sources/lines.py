@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +20,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
     if not strict:
         return rows.filter("_mal is null").drop("_mal")
     if bad := rows.filter("_mal is not null").limit(1).collect():
-        raise ConstraintError(f"{path}: {bad[0]['_mal'][:200]}")
+        # only then are lines counted, blank ones included
+        places = spark.read.text(path).rdd.zipWithIndex().filter(lambda x: x[0][0] == bad[0]["_mal"]).map(lambda x: x[1] + 1).take(1)
+        raise ConstraintError(f"{path}, line {places[0] if places else '?'}: {bad[0]['_mal'][:200]}")
     return rows.drop("_mal")
 
 
@@ -38,8 +38,3 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType, strict: bool
 def pairs_text(columns: list[str], separator: str = " | ") -> Column:
     """`column: value` of the columns that aren't null."""
     return F.concat_ws(separator, *(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns))
-
-
-def by_format(readers: dict[str, DataFrame]) -> DataFrame:
-    """The rows of several readers with their format."""
-    return reduce(DataFrame.unionByName, [df.withColumn("formato", F.lit(name)) for name, df in readers.items()])

@@ -1,4 +1,4 @@
-"""Listing of files: recursive, by suffix, without manifests, tiles of the largest zoom; the content is joined only afterwards."""
+"""Listing of files: recursive, by suffix, without manifests, tiles of the largest zoom."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators.corpus import deepest_tiles
+from ..operators.corpus import deepest_tiles, deepest_zooms
+from ..session import cut_lineage
 
 
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
@@ -25,13 +26,22 @@ def relative(path: Column, folder: str) -> Column:
     return F.regexp_replace(path, rf"^.*?/+{inner}/+", "")
 
 
+def known_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """The files of a known format that list no others."""
+    return files.filter(names.suffix(F.col(path)).isin(*names.FORMATS) & ~names.is_manifest(F.col(path)))
+
+
 def select_files(files: DataFrame, path: str = "path") -> DataFrame:
-    """The files of a known format that list no others; of tile pyramids only the deepest level."""
-    known = files.filter(names.suffix(F.col(path)).isin(*names.FORMATS) & ~names.is_manifest(F.col(path)))
-    return deepest_tiles(known, path)
+    """The known files; of tile pyramids only the deepest level."""
+    return deepest_tiles(known_files(files, path), path)
+
+
+#: Tile pyramids up to which their zooms go to every task.
+MOST_PYRAMIDS = 100_000
 
 
 def read_content(spark: SparkSession, folder: str) -> DataFrame:
-    """path, content of the selected files below a folder."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return raw.join(select_files(raw.select("path")), "path", "left_semi").select("path", "length", "content")
+    """path, length, content of the selected files below a folder. What decides is taken from paths alone; contents aren't shuffled unless there are more than MOST_PYRAMIDS tile pyramids."""
+    raw = known_files(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder))
+    zooms = cut_lineage(deepest_zooms(raw.select("path")))
+    return deepest_tiles(raw, zooms=F.broadcast(zooms) if zooms.count() <= MOST_PYRAMIDS else zooms).select("path", "length", "content")
