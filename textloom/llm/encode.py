@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import bit_filter, code_points, emit, map_arrow, spread
+from .common import bit_filter, code_points, cut_lineage, emit, map_arrow, spread
 
 #: Fixed value: the pattern that comes with the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -125,7 +125,6 @@ def join_pieces(enc, parts: list[tuple[list[int], int, int]]) -> list[int]:
 
 
 _HASHES = pa.schema([("h", pa.binary()), ("n", pa.int64())])
-_TEXTS = pa.schema([("h", pa.binary()), ("piece", pa.string())])
 _CODED = pa.schema([("h", pa.binary()), ("ids", pa.list_(pa.int32())), ("head", pa.int32()), ("tail", pa.int32())])
 
 
@@ -142,7 +141,7 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = path or f"{tokenizer_dir()}/byte_bpe_50k.tiktoken"
     id_type = to_arrow_type(df.schema[id_col].dataType)
     docs = spread(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    refs_schema = pa.schema([("doc_id", id_type), ("whole", pa.int64()), ("seq", pa.int32()), ("h", pa.binary())])
+    parts_schema = pa.schema([("doc_id", id_type), ("whole", pa.int64()), ("seq", pa.int32()), ("h", pa.binary()), ("piece", pa.string())])
     out_schema = pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
     filled = docs.filter(F.length("text") > 0)
 
@@ -160,28 +159,21 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def shares(text: str) -> bool:
         return any(shared.has(xxhash.xxh3_128_digest(p.encode())) for p in pieces(text))
 
-    def refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for b in batches:
             rows = []
             for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                if not shares(t):
+                cut = [(p, xxhash.xxh3_128_digest(p.encode())) for p in pieces(t)]
+                if not any(shared.has(h) for _, h in cut):
                     continue
                 whole = xxhash.xxh3_64_intdigest(t.encode()) - 2**63
-                rows += [(i, whole, k, xxhash.xxh3_128_digest(p.encode())) for k, p in enumerate(pieces(t))]
-            yield emit(rows, refs_schema)
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        for b in batches:
-            rows = []
-            for t in filter(shares, b["text"].to_pylist()):
-                for p in pieces(t):
-                    if (h := xxhash.xxh3_128_digest(p.encode())) not in seen:
-                        if len(seen) >= 500_000:  # only saves shuffling; the next stage keeps one of each anyway
-                            seen.clear()
-                        seen.add(h)
-                        rows.append((h, p))
-            yield emit(rows, _TEXTS)
+                for k, (p, h) in enumerate(cut):
+                    rows.append((i, whole, k, h, None if h in seen else p))
+                    if len(seen) >= 500_000:  # only saves keeping a piece again; the next stage takes one of each anyway
+                        seen.clear()
+                    seen.add(h)
+            yield emit(rows, parts_schema)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, last = encoder(path), None
@@ -208,8 +200,9 @@ def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if held:
             yield emit([(now[0], join_pieces(enc, held))], out_schema)
 
-    coded = map_arrow(map_arrow(filled.select("text"), texts, _TEXTS).repartition("h").sortWithinPartitions("h"), code, _CODED)
-    joined = map_arrow(filled, refs, refs_schema).distinct().join(coded, "h").select("doc_id", "whole", "seq", "ids", "head", "tail")
+    kept = cut_lineage(map_arrow(filled, parts, parts_schema))
+    coded = map_arrow(kept.filter("piece is not null").select("h", "piece").repartition("h").sortWithinPartitions("h"), code, _CODED)
+    joined = kept.drop("piece").distinct().join(coded, "h").select("doc_id", "whole", "seq", "ids", "head", "tail")
     whole = map_arrow(joined.repartition("doc_id", "whole").sortWithinPartitions("doc_id", "whole", "seq"), join, out_schema)
     empty = docs.filter(F.coalesce(F.length("text"), F.lit(0)) == 0).select("doc_id").distinct().select("doc_id", F.array().cast("array<int>").alias("ids"))
     return map_arrow(filled, alone, out_schema).unionByName(whole).unionByName(empty)
