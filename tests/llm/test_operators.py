@@ -49,6 +49,7 @@ OPERATORS = {
     "p1": lambda x, _: scans.noisy_lines(x),
     "p1_joined": lambda x, _: scans.noisy_lines(x, lexicon_bytes=0, block_bytes=1000),
     "p1_repaired": lambda x, _: scans.repaired(x),
+    "p1_measured": lambda x, _: scans.measured(x),
     "p2": lambda x, _: shape.not_prose(x),
     "p2_shapes": lambda x, _: shape.shapes(x, shape.learn_profiles(x)),
     "p2_stats": lambda x, _: shape.statistics(x),

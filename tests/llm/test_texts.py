@@ -287,6 +287,8 @@ def test_a_lexicon_that_is_too_large_for_every_task(spark, sf):
     want = rows(scans.noisy_lines(docs))
     assert want and rows(scans.noisy_lines(docs, lexicon_bytes=0, block_bytes=5_000)) == want
     assert rows(scans.repaired(docs, lexicon_bytes=0, block_bytes=20_000)) == rows(scans.repaired(docs))
+    before, after = (sum(x) for x in zip(*(r[2:4] for r in rows(scans.measured(docs)))))
+    assert after < before
 
 
 def test_sieve(spark):

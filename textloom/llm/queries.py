@@ -26,6 +26,11 @@ def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
     return scans.repaired(table(spark, d, "mini_corpus"))
 
 
+def p1_measured(spark: SparkSession, d: str) -> DataFrame:
+    """What the repair did to each document: unknown words before and after, lines before and paragraphs after."""
+    return scans.measured(table(spark, d, "mini_corpus"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return shape.not_prose(table(spark, d, "mini_corpus"))
 

@@ -606,3 +606,20 @@ def repaired(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", sou
     """doc_id, parrafo (from 1), texto: the continuous paragraphs of pdf documents, without running headers and page numbers, words whole and read right."""
     rows = lambda i, t, s, lex: [(i, k, p) for k, p in enumerate(paragraphs_of(analyse(t, s, lex)), 1)]
     return _decoded(df, rows, _REPAIRED, id_col, text_col, source_col, format_col, lexicon_bytes, block_bytes)
+
+
+_MEASURED = pa.schema([("doc_id", pa.string()), ("palabras", pa.int32()), ("desconocidas_antes", pa.int32()), ("desconocidas_despues", pa.int32()), ("renglones", pa.int32()), ("parrafos", pa.int32())])
+
+
+def measure(text: str, source: str | None, lex: Lexicon) -> tuple[int, int, int, int, int]:
+    """Of the lines left without headers: words, how many of them aren't known before and after the repair, lines before and paragraphs after."""
+    body = layout(text, source)[1]
+    before = [w for x in body for w in _WORD.findall(x.text.lower())]
+    after = paragraphs_of(analyse(text, source, lex))
+    unknown = lambda words: sum(w not in lex.counts for w in words)
+    return len(before), unknown(before), unknown(w for p in after for w in _WORD.findall(p.lower())), len(body), len(after)
+
+
+def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", source_col: str = "fuente", format_col: str = "formato", lexicon_bytes: int = LEXICON_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, palabras, desconocidas_antes, desconocidas_despues, renglones, parrafos: what the repair of each pdf document did."""
+    return _decoded(df, lambda i, t, s, lex: [(i, *measure(t, s, lex))], _MEASURED, id_col, text_col, source_col, format_col, lexicon_bytes, block_bytes)
