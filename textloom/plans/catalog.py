@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonx, names, text, vectors
 from ..operators import checks, chunker, corpus, reports, search, vectorbase
+from ..session import cut_lineage
 from ..sources import lines
 from . import pipeline
 
@@ -223,7 +224,7 @@ def ordinal_violations(spark, d):
 @query()
 def text_search_end_to_end(spark, d):
     """The questions answered over the corpus's chunks: three documents and ten whole-sentence fragments each."""
-    base = vectorbase.build(_chunks(spark, d), vectorbase.HashEncoder(16)).persist()  # a stored table in earnest
+    base = cut_lineage(vectorbase.build(_chunks(spark, d), vectorbase.HashEncoder(16)))  # a stored table in earnest
     return pipeline.answer(base, t(spark, d, "consultas"), vectorbase.HashEncoder(16))
 
 
