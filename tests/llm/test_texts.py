@@ -1,7 +1,7 @@
 import random
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -122,6 +122,22 @@ def test_share_of_common_words(spark):
     assert got == {"a": ("es", 0.6), "b": ("es", 0.666667), "c": ("es", 0.5), "d": ("zh", 0.333333), "e": ("zh", 0.333333), "f": (None, 0.0)}
 
 
+def test_profiles_of_prose_are_of_all_documents(spark):
+    words = [f"{a}{b}" for a in "bdfglmnprst" for b in "aeiou"]
+    texts = ["El río creció. " + " ".join(w for j, w in enumerate(words) if k % (j + 2) == 0) + f" {'Nadie lo vio. ' * (5 + k % 9)}" for k in range(3300)]
+    texts[7] += "sube " * 150_000
+    rows = [(f"d{k}", " TXT", "ES" if k % 2 else "spa", t) for k, t in enumerate(texts)]
+    rows += [*rows[:50], ("p", "pdf", "es", "zarpa " * 50), ("e", "txt", "en", "The river rose. " * 9), ("s", "txt", "es", "corto"), ("n", "txt", None, texts[0])]
+    p = shape.learn_profiles(spark.createDataFrame(rows, "doc_id string, formato string, idioma string, texto string"))
+    count = Counter(w for t in [*texts, "corto"] for w in {w.lower() for w in shape.WORD.findall(t)} if len(w) <= 5)
+    top = sorted(count, key=lambda w: (-count[w], w))[: shape.TOP_WORDS]
+    assert list(p.by_language["es"])[: shape.TOP_WORDS] == top
+    assert p.names.count("prosa") == sum(s == "prosa" for s, _ in shape.SAMPLES) + 1  # one text is too few for a profile
+    want = shape.np.mean([shape.describe(t, p.functions) for t in texts], axis=0)
+    assert p.profiles[-1] == pytest.approx(want, abs=1e-8)
+    assert p.zipf["es"] == pytest.approx(shape.np.mean([shape._norm(shape._on_functions(t, p.by_language["es"])) for t in texts], axis=0), abs=1e-8)
+
+
 @pytest.fixture(scope="module")
 def splitter(spark):
     rows = table(spark, "/root/testdata/sf0.01", "mini_corpus").filter("lower(formato) = 'txt' and texto is not null").select("texto").collect()

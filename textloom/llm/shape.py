@@ -2,8 +2,8 @@
 
 A text is described by distributions: of its characters over classes, of its words over kinds, of its lines
 over shapes, and of its words over a language's function words. Each is held against profiles by Jensen-Shannon
-divergence; the nearest profile names the structure. Profiles of prose are learned for each language from texts of the
-corpus; those of the other structures, and of prose for languages without texts, are those of short samples below,
+divergence; the nearest profile names the structure. Profiles of prose are learned for each language from all texts of
+format txt; those of the other structures, and of prose for languages without texts, are those of short samples below,
 written for this.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import emit, format_of, language_of, map_arrow, per_row, sample_rows, spread
+from .common import emit, format_of, language_of, map_arrow, per_row, spread
 
 WORD = re.compile(r"[^\W\d_]+(?:['’·][^\W\d_]+)*")
 END = re.compile(r"[.!?…。！？؟।]+[\"'”’»)\]」』]*$")
@@ -31,9 +31,11 @@ LEADER = re.compile(r"\S\s*(?:[.·…_]\s?){4,}\s*[\divxlcIVXLC]{1,6}$")
 CELL = re.compile(r"\t|\s*\|\s*|;|\S {2,}(?=\S)|, (?=[^\W\d]\w{0,24}: )")
 NUMBER = re.compile(r"[-+$€]?\d[\d.,:/%]*")
 WIDE = re.compile(r"[฀-๿぀-ヿ㐀-鿿]")
-TOP_WORDS, SAMPLE = 40, 3000
-#: Texts of a language from which its profile of prose is learned: at least, at most.
-LEAST_TEXTS, TEXTS = 5, 40
+TOP_WORDS = 40
+#: From how many texts of a language at least its profile of prose is learned, and how many characters such a text has at least.
+LEAST_TEXTS, LEAST_CHARS = 5, 80
+#: Shares are added up as whole numbers of this part, so that sums are the same in any order.
+PART = 1 << 30
 SEEDS = {"es": "de la el en y los con que un se por las una para no es".split(), "en": "the of and in to a is for that on by with it as at".split(), "pt": "de o a e do da em os um para com no na que as se".split(), "fr": "le la de les et des en un du une à dans pour que est".split()}
 STRUCTURES = ("prosa", "lista", "tabla", "basura")
 
@@ -201,7 +203,7 @@ def _salad(text: str, tokens: list[str]) -> bool:
 class Profiles:
     """What structure() needs: function words by language, and the structural profiles."""
 
-    def __init__(self, functions: dict[str, list[str]], prose: dict[str, list[str]] | None = None):
+    def __init__(self, functions: dict[str, list[str]], prose: dict[str, tuple[np.ndarray, np.ndarray]] | None = None):
         self.by_language = {k: {w: i for i, w in enumerate(v)} for k, v in functions.items()}
         self.functions = frozenset(w for v in functions.values() for w in v)
         self.names = [s for s, _ in SAMPLES]
@@ -209,11 +211,10 @@ class Profiles:
         self.profiles = np.stack([describe(t, own) for _, t in SAMPLES])
         # of each language the mean profile of its prose, and how its words fall on its function words
         self.zipf: dict[str, np.ndarray] = {}
-        for lang, texts in sorted((prose or {}).items()):
-            if len(texts) >= LEAST_TEXTS:
-                self.names.append("prosa")
-                self.profiles = np.vstack([self.profiles, np.mean([describe(t, self.functions) for t in texts], axis=0)])
-                self.zipf[lang] = np.mean([_norm(_on_functions(t, self.by_language.get(lang, {}))) for t in texts], axis=0)
+        for lang, (profile, usual) in sorted((prose or {}).items()):
+            self.names.append("prosa")
+            self.profiles = np.vstack([self.profiles, profile])
+            self.zipf[lang] = usual
 
     def distances(self, text: str) -> np.ndarray:
         d = describe(text, self.functions)
@@ -233,18 +234,73 @@ class Profiles:
         return name
 
 
-def learn_profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", language_col: str = "idioma", most: int = SAMPLE) -> Profiles:
-    """Function words of each language: the words of which most sampled texts of the language have one. Sampled are at most `most` texts of format txt (of any, if there is none)."""
-    docs = df.filter(F.length(text_col) >= 80)
-    rows = sample_rows(docs.filter(format_of(format_col) == "txt"), id_col, text_col, [language_col, text_col], most) or sample_rows(docs, id_col, text_col, [language_col, text_col], most)
-    df_of: dict[str, Counter] = {}
-    prose: dict[str, list[str]] = {}
-    for label, text in rows:
-        if lang := language_of(label):
-            prose.setdefault(lang, []).append(text)
-            df_of.setdefault(lang, Counter()).update(set(w.lower() for w in WORD.findall(text)))
-    tops = {k: sorted((w for w, n in c.items() if len(w) <= 5), key=lambda w: (-c[w], w))[:TOP_WORDS] for k, c in df_of.items()}
-    return Profiles({k: list(dict.fromkeys([*tops.get(k, []), *SEEDS.get(k, [])])) for k in {*tops, *SEEDS}}, {k: v[:TEXTS] for k, v in prose.items()})
+_WORDS = pa.schema([("idioma", pa.string()), ("palabra", pa.string()), ("n", pa.int64())])
+_SUMS = pa.schema([("idioma", pa.string()), ("lugar", pa.int32()), ("n", pa.int64())])
+
+
+def _word_counts(words: Callable[[str], Iterable[str]]) -> Callable:
+    """For mapInArrow over idioma, texto: how many texts of each language have each of the words that words(text) gives."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c: Counter = Counter()
+        for b in batches:
+            for label, text in zip(b["idioma"].to_pylist(), b["texto"].to_pylist()):
+                if lang := language_of(label):
+                    c.update((lang, w) for w in set(words(text)))
+            if len(c) > 200_000:
+                yield emit([(*k, n) for k, n in c.items()], _WORDS)
+                c = Counter()
+        yield emit([(*k, n) for k, n in c.items()], _WORDS)
+
+    return count
+
+
+def _top_words(docs: DataFrame, words: Callable[[str], Iterable[str]], least: int) -> dict[str, list[str]]:
+    """Of each language the TOP_WORDS words that most texts have, of those that at least so many have."""
+    counts = map_arrow(docs, _word_counts(words), _WORDS).groupBy("idioma", "palabra").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    first = Window.partitionBy("idioma").orderBy(F.desc("n"), "palabra")
+    out: dict[str, list[str]] = {}
+    for r in counts.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= TOP_WORDS).orderBy("idioma", "_k").collect():
+        out.setdefault(r["idioma"], []).append(r["palabra"])
+    return out
+
+
+def _prose(docs: DataFrame, functions: dict[str, list[str]]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Of each language with enough texts the mean of their profiles, and of how their words fall on its function words."""
+    every = frozenset(w for v in functions.values() for w in v)
+    places = {k: {w: i for i, w in enumerate(v)} for k, v in functions.items()}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            for label, text in zip(b["idioma"].to_pylist(), b["texto"].to_pylist()):
+                if lang := language_of(label):
+                    v = np.concatenate([[1.0], describe(text, every), _norm(_on_functions(text, places.get(lang, {})))])
+                    sums[lang] = sums.get(lang, 0) + np.rint(v * PART).astype(np.int64)
+        yield emit([(lang, k, int(n)) for lang, v in sums.items() for k, n in enumerate(v)], _SUMS)
+
+    found: dict[str, dict[int, int]] = {}
+    for lang, k, n in map_arrow(docs, add, _SUMS).groupBy("idioma", "lugar").agg(F.sum("n")).collect():
+        found.setdefault(lang, {})[k] = n
+    means = {lang: np.array([v[k] / v[0] for k in range(1, len(v))]) for lang, v in found.items() if v[0] >= LEAST_TEXTS * PART}
+    size = _PARTS[-1].stop
+    return {lang: (v[:size], v[size:]) for lang, v in means.items()}
+
+
+def learn_profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", language_col: str = "idioma") -> Profiles:
+    """Function words and prose of each labelled language, over all distinct documents of format txt (of any, if there is none).
+
+    Function words are the TOP_WORDS words of up to five letters that most of its texts have, with the seeds; its prose is
+    the mean profile of its texts of LEAST_CHARS characters and more, if it has LEAST_TEXTS of these. Tables of both are
+    added up in the tasks: the driver gets TOP_WORDS words and one profile a language, whatever the size of the corpus.
+    """
+    docs = _docs(df, id_col, text_col, format_col, F.col(language_col).alias("idioma")).filter(F.col("texto").rlike(r"\S"))
+    txt = docs.filter("formato = 'txt'")
+    # rows that repeat a document count once; distinct rows are spread by the shuffle
+    docs = (docs if txt.isEmpty() else txt).select("doc_id", "idioma", "texto").distinct()
+    tops = _top_words(docs, lambda text: (w for w in map(str.lower, WORD.findall(text)) if len(w) <= 5), 1)
+    functions = {k: list(dict.fromkeys([*tops.get(k, []), *SEEDS.get(k, [])])) for k in sorted({*tops, *SEEDS})}
+    return Profiles(functions, _prose(docs.filter(F.length("texto") >= LEAST_CHARS), functions))
 
 
 _FOUND = pa.schema([("doc_id", pa.string()), ("clase", pa.string())])
@@ -323,7 +379,6 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto") -
 _MARKS = "".join(c for c in map(chr, range(0x10000)) if unicodedata.category(c)[0] == "M")
 _TOKEN = re.compile(f"{WIDE.pattern}|(?:(?!{WIDE.pattern})[\\w{re.escape(_MARKS)}])+")
 _RUN = re.compile(f"[\\w{re.escape(_MARKS)}]+")
-_WORDS = pa.schema([("idioma", pa.string()), ("palabra", pa.string()), ("n", pa.int64())])
 _COMMON = pa.schema([("doc_id", pa.string()), ("idioma", pa.string()), ("comunes", pa.float64())])
 
 
@@ -335,27 +390,13 @@ def words_of(text: str) -> list[str]:
 
 def common_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", language_col: str = "idioma") -> dict[str, frozenset[str]]:
     """The TOP_WORDS words of each labelled language that most documents have (two at least), numbers left out, with the seeds; counted over all distinct documents of format txt (of any, if there is none)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
-        for b in batches:
-            for label, text in zip(b["idioma"].to_pylist(), b["texto"].to_pylist()):
-                if lang := language_of(label):
-                    c.update((lang, w) for w in set(words_of(text)) if not w.isnumeric())
-            if len(c) > 200_000:
-                yield emit([(*k, n) for k, n in c.items()], _WORDS)
-                c = Counter()
-        yield emit([(*k, n) for k, n in c.items()], _WORDS)
-
     docs = _docs(df, id_col, text_col, format_col, F.col(language_col).alias("idioma")).filter(F.col("texto").rlike(r"\S"))
     out = {k: set(v) for k, v in SEEDS.items()}
     for part in (docs.filter("formato = 'txt'"), docs):
         # rows that repeat a document count once; distinct rows are spread by the shuffle
-        counts = map_arrow(part.select("doc_id", "idioma", "texto").distinct(), count, _WORDS).groupBy("idioma", "palabra").agg(F.sum("n").alias("n")).filter("n >= 2")
-        first = Window.partitionBy("idioma").orderBy(F.desc("n"), "palabra")
-        if rows := counts.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= TOP_WORDS).collect():
-            for r in rows:
-                out.setdefault(r["idioma"], set()).add(r["palabra"])
+        if tops := _top_words(part.select("doc_id", "idioma", "texto").distinct(), lambda text: (w for w in words_of(text) if not w.isnumeric()), 2):
+            for lang, words in tops.items():
+                out.setdefault(lang, set()).update(words)
             break
     return {k: frozenset(v) for k, v in out.items()}
 
