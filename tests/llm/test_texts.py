@@ -177,6 +177,34 @@ def test_candidates_of_every_script_are_classified():
     assert cut("我来了。你走了。") == ["我来了。", "你走了。"] and cut("ผู้คนรอคอย ไม่มีใครรู้ มี 3 คน") == ["ผู้คนรอคอย", "ไม่มีใครรู้", "มี 3 คน"]
 
 
+def test_sentences_are_learned_from_all_documents(spark):
+    texts = [f"El río creció en el tramo {k}. Nadie lo vio. Zalba {'calló' if k % 3 else 'habló'}. El Bq. Undarte llegó." + " La villa dormía." * (k % 4) for k in range(2700)]
+    texts[5] = "La orilla del valle estaba vacía. Quizá volvió la barca. " * 15_000
+    texts += [f"船在天亮之前离开了港口{k}。没有人知道。" for k in range(3)]
+    rows = [(f"d{k}", "Txt ", t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, *rows[:400], ("p", "pdf", "Orzal vino. Orzal fue."), ("n", "txt", None), ("b", "txt", " ")], "doc_id string, formato string, texto string")
+    got, want = sentences.learn(df), sentences.train(texts)
+    assert got.dotted.get("bq") == 1.0 and got.starts.get("Quizá") == 1.0 and got.starts.get("Orzal") is None
+    assert len(got.starts.hashes) == len(want.starts.hashes) and got.starts.levels == want.starts.levels and got.dotted.hashes == want.dotted.hashes
+    assert got.weights == want.weights and "Kwide" in got.weights
+
+
+def test_a_title_after_a_mark_that_is_no_full_stop_begins_a_sentence():
+    model = sentences.train(["La nuit tombait sur le port. M. Rivera ferma la porte. Personne ne bougea ! M. Salas attendit. Le p. 4 et le no. 5 parlent de H. B. Mora."] * 20)
+    assert [t for t in ("Que dit la loi ?", "Rien !") for a, b in sentences.split_sentences(f"{t} M. Mora se leva.", model)[:1] if b == len(t)] == ["Que dit la loi ?", "Rien !"]
+
+
+def test_rates_keep_the_side_of_every_threshold():
+    p = sentences.np.array([k / n for n in (1, 3, 7, 20, 50, 100, 400) for k in range(n + 1)])
+    hashes = sentences.np.array([sentences._hash(f"w{k}") for k in range(len(p))], sentences.np.uint64)
+    rates = sentences.Rates(hashes, p)
+    for k, x in enumerate(p):
+        y = rates.get(f"w{k}")
+        assert sentences._bucket(y) == sentences._bucket(x) and (y < 0.02) == (x < 0.02)
+        assert all((y > t) == (x > t) for t in (0.25, 0.75, 0.9, 0.95))
+    assert rates.get("none") is None and rates.get("none", 1) == 1
+
+
 def test_paragraphs_and_labels():
     assert paragraphs("a\n\n  b \n c\n \n") == [(1, 0, 1), (2, 5, 10)] and paragraphs(" \n") == []
     got = [language_of(x) for x in ("ES", "es_CO", "spa", "por", "und", "", None, "n/a", "??", "zh-CN", "xx")]

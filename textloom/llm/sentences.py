@@ -7,26 +7,30 @@ tokens behave in the corpus) decides each. It is trained on boundaries that are
 between a common word and one that begins paragraphs, an ideographic mark outside quotations, or a space between Thai
 clauses, and on sure non-boundaries, such as a full stop before a small letter, a mark within a quotation after which a
 comma or a small letter follows, or a space beside a number. Of a kind of candidate that training hasn't met, what is
-sure decides.
+sure decides. Nothing is sampled: tokens are counted over all documents, and sure cases, of which many are alike, come to
+the driver as how often each set of features occurs.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import format_of, map_arrow, paragraphs, per_row, sample_rows, spread
+from .common import emit, format_of, map_arrow, paragraphs, per_row, spread
 
-#: Sampled texts; how far before a mark its token may begin, and the token before that one.
-SAMPLE, REACH = 2500, 64
+#: How far before a mark its token may begin, and the token before that one.
+REACH = 64
 _CANDIDATE = re.compile(r"(?:[.!?…؟]+(?:\s?[»›]|[\"'”’)\]」』])*(?=\s|$)|[.!?…؟]+[”」』](?=[^\W\d_])|[。！？।॥｡]+(?:\s?[»›]|[\"'”’)\]」』）])*)")
 _PREV = re.compile(r"[^\s«»“”\"„()\[\]¿¡「」『』]*$")
 _NEXT = re.compile(r"\s*[«“\"„(\[¿¡「『‘'—–\-]*\s?([^\W_][\w.]*)?")
@@ -53,8 +57,32 @@ def _bucket(part: float | None) -> str:
 _AFTER = re.compile(r"(?:[!?…]|\.\.\.|[^\W\d_]{4,}\.|(?<![^\W\d_])(?!(?:dra?|sra?|mrs?|art|fig|sec|abs|núm|fr|pr|st|см|рис|стр|роф)\.)[a-zà-ÿа-я]{2,3}\.)[\"”»’)]*\s+[\"«“„¿¡—]*\s?$")
 
 
+#: What stands for a rate: each threshold of _bucket(), features() and _sure() has it on the same side as the rate.
+LEVELS = (0.0, 0.02, 0.25, 0.75, 0.9, 0.95, 0.97, 1.0)
+#: An abbreviation of the corpus is followed by a full stop more often than this; other tokens are as good as never dotted.
+DOTTED = 0.9
+
+
+def _hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+
+
+class Rates:
+    """The rate of each of any number of tokens, found by their 64-bit hashes: nine bytes a token."""
+
+    def __init__(self, hashes: np.ndarray, rates: np.ndarray):
+        order, p = np.argsort(hashes), rates
+        self.hashes = array("Q", hashes[order].astype(np.uint64).tobytes())
+        self.levels = np.sum([p >= 0.02, p > 0.02, p > 0.25, p > 0.75, p > 0.9, p > 0.95, p >= 0.98], axis=0, dtype=np.uint8)[order].tobytes()
+
+    def get(self, token: str, default: float | None = None) -> float | None:
+        h = _hash(token)
+        k = bisect_left(self.hashes, h)
+        return LEVELS[self.levels[k]] if k < len(self.hashes) and self.hashes[k] == h else default
+
+
 class Model:
-    def __init__(self, dotted: dict[str, float], starts: dict[str, float], weights: dict[str, float]):
+    def __init__(self, dotted: Rates, starts: Rates, weights: dict[str, float]):
         self.dotted, self.starts, self.weights = dotted, starts, weights
 
     def ends(self, c: dict) -> bool:
@@ -146,49 +174,123 @@ def _sure(model: Model, c: dict) -> int | None:
         return 0
     if case == "U" and (not dot or len(prev) >= 3 and prev.isalpha() and prev.islower()) and model.starts.get(nxt, 0) > 0.25:
         return 1
+    # tokens are counted without the full stop behind them: "! M. Rivera", but not "etc. M. Rivera"
+    if case == "U" and not dot and model.starts.get(nxt.rstrip("."), 0) > 0.25:
+        return 1
     if case == "x" and len(prev) >= 3 and prev.isalpha() and dot:
         return 1
     return None
 
 
+class _Tokens:
+    """How often each short token occurs and has a full stop behind it, how often each capitalised one occurs and begins a sentence."""
+
+    def __init__(self) -> None:
+        self.every, self.dot, self.cased, self.first = Counter(), Counter(), Counter(), Counter()
+
+    def add(self, text: str) -> None:
+        for _, a, b in paragraphs(text):
+            s = text[a:b]
+            for m in _WORD.finditer(s):
+                w = m.group()
+                low = w.lower()
+                if len(low) <= 6:
+                    self.every[low] += 1
+                    self.dot[low] += s[m.end() : m.end() + 1] == "."
+                if w[0].isupper():
+                    self.cased[w] += 1
+                    self.first[w] += m.start() < 3 or _AFTER.search(s, max(0, m.start() - 30), m.start()) is not None
+
+    def __len__(self) -> int:
+        return len(self.every) + len(self.cased)
+
+    def rows(self) -> list[tuple[bool, int, int, int]]:
+        """Dotted or start, hash as a signed number, times, times that it was so."""
+        return [(kind, h - 2**64 if (h := _hash(w)) >= 2**63 else h, n, part[w]) for kind, whole, part in ((True, self.every, self.dot), (False, self.cased, self.first)) for w, n in whole.items()]
+
+
+def _counted(kind: np.ndarray, hashes: np.ndarray, rates: np.ndarray) -> Model:
+    """A model without weights from the rows of _Tokens, added up."""
+    hashes = hashes.view(np.uint64)
+    return Model(Rates(hashes[kind], rates[kind]), Rates(hashes[~kind], rates[~kind]), {})
+
+
+def _cases(texts: Iterable[str], model: Model) -> Counter:
+    """How often each set of features is a sure boundary (1) or none (0)."""
+    out: Counter = Counter()
+    for text in texts:
+        for _, a, b in paragraphs(text):
+            for c in _candidates(text[a:b]):
+                if (y := _sure(model, c)) is not None:
+                    out["\n".join(model.features(c)), y] += 1
+    return out
+
+
+def _fit(cases: dict[tuple[str, int], int], rounds: int = 300) -> dict[str, float]:
+    """Weights of the features, from how often each set of them is a boundary and none."""
+    if not cases:
+        return {}
+    index: dict[str, int] = {}
+    known = sorted(cases.items())
+    x = np.array([[index.setdefault(f, len(index)) for f in features.split("\n")] for (features, _), _ in known])
+    y, n = np.array([y for (_, y), _ in known], float), np.array([n for _, n in known], float)
+    mean = (n * y).sum() / n.sum()
+    w, speed = np.zeros(len(index)), np.zeros(len(index))
+    balance = np.where(y == 1, 0.5 / max(mean, 1e-6), 0.5 / max(1 - mean, 1e-6)) * n / n.sum()
+    for _ in range(rounds):
+        g = (1 / (1 + np.exp(-w[x].sum(1))) - y) * balance
+        grad = np.bincount(x.ravel(), np.repeat(g, x.shape[1]), len(index)) + 1e-4 * w
+        speed = 0.9 * speed + grad
+        w = w - 0.3 * speed
+    return {f: round(float(w[k]), 6) for f, k in index.items()}
+
+
 def train(texts: list[str], rounds: int = 300) -> Model:
     """The classifier from the sure cases of some texts."""
-    dot, every, first, cased = Counter(), Counter(), Counter(), Counter()
-    paras = [t[a:b] for t in texts for _, a, b in paragraphs(t)]
-    for s in paras:
-        for m in _WORD.finditer(s):
-            w = m.group()
-            every[w.lower()] += 1
-            dot[w.lower()] += s[m.end() : m.end() + 1] == "."
-            if w[0].isupper():
-                cased[w] += 1
-                first[w] += m.start() < 3 or _AFTER.search(s, max(0, m.start() - 30), m.start()) is not None
-    model = Model({w: dot[w] / every[w] for w in every if dot[w] and len(w) <= 6}, {w: first[w] / cased[w] for w in cased}, {})
-    index: dict[str, int] = {}
-    rows, labels = [], []
-    for s in paras:
-        for c in _candidates(s):
-            if (y := _sure(model, c)) is not None:
-                rows.append([index.setdefault(f, len(index)) for f in model.features(c)])
-                labels.append(y)
-    if rows:
-        x, y = np.array(rows), np.array(labels, float)
-        w, speed = np.zeros(len(index)), np.zeros(len(index))
-        balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)) / len(y)
-        for _ in range(rounds):
-            g = (1 / (1 + np.exp(-w[x].sum(1))) - y) * balance
-            grad = np.bincount(x.ravel(), np.repeat(g, x.shape[1]), len(index)) + 1e-4 * w
-            speed = 0.9 * speed + grad
-            w = w - 0.3 * speed
-        model.weights = {f: round(float(w[k]), 6) for f, k in index.items()}
+    tokens = _Tokens()
+    for t in texts:
+        tokens.add(t)
+    rows = [(kind, h, k / n) for kind, h, n, k in tokens.rows() if not kind or k / n > DOTTED]
+    model = _counted(*(np.array([r[k] for r in rows], t) for k, t in enumerate((bool, np.int64, float))))
+    model.weights = _fit(_cases(texts, model), rounds)
     return model
 
 
-def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato", most: int = SAMPLE) -> Model:
-    """A model from at most about `most` sampled texts of format txt (of any, if there is none)."""
-    docs = df.filter(F.col(text_col).rlike(r"\S"))
-    rows = sample_rows(docs.filter(format_of(format_col) == "txt"), id_col, text_col, [text_col], most) or sample_rows(docs, id_col, text_col, [text_col], most)
-    return train([r[0] for r in rows])
+_TOKENS = pa.schema([("punto", pa.bool_()), ("ficha", pa.int64()), ("n", pa.int64()), ("k", pa.int64())])
+_CASES = pa.schema([("rasgos", pa.string()), ("fin", pa.int32()), ("n", pa.int64())])
+
+
+def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "texto", format_col: str = "formato") -> Model:
+    """The model of train() over all distinct documents of format txt (of any, if there is none).
+
+    Tokens and cases are counted in the tasks. The driver and each task get nine bytes for every capitalised token and
+    every abbreviation of the corpus; sets of features are as many as they can be, whatever the size of the corpus.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = _Tokens()
+        for b in batches:
+            for t in b["texto"].to_pylist():
+                tokens.add(t)
+                if len(tokens) > 200_000:
+                    yield emit(tokens.rows(), _TOKENS)
+                    tokens = _Tokens()
+        yield emit(tokens.rows(), _TOKENS)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cases = _cases((t for b in batches for t in b["texto"].to_pylist()), model)
+        yield emit([(*k, n) for k, n in cases.items()], _CASES)
+
+    docs = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("texto"), format_of(format_col).alias("formato")).filter(F.col("texto").rlike(r"\S"))
+    txt = docs.filter("formato = 'txt'")
+    # rows that repeat a document count once; distinct rows are spread by the shuffle
+    docs = (docs if txt.isEmpty() else txt).select("doc_id", "texto").distinct()
+    counts = map_arrow(docs, count, _TOKENS).groupBy("punto", "ficha").agg((F.sum("k") / F.sum("n")).alias("parte"))
+    rates = counts.filter(~F.col("punto") | (F.col("parte") > DOTTED)).toArrow()
+    model = _counted(*(rates[c].to_numpy() for c in ("punto", "ficha", "parte")))
+    cases = map_arrow(docs, judge, _CASES).groupBy("rasgos", "fin").agg(F.sum("n")).collect()
+    model.weights = _fit({(f, y): n for f, y, n in cases})
+    return model
 
 
 def split_sentences(text: str, model: Model) -> list[tuple[int, int]]:
